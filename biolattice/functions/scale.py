@@ -133,7 +133,7 @@ def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
     near = F.struct(F.col("_o").alias("_p"), *[F.col(c) for c in carry])
     pts = (src.groupBy(*keys, "_o")
               .agg(F.max(F.when(F.col(marked), near)).alias("_m")))
-    span = src.groupBy(*keys).agg(F.min("_o").alias("_mn"), F.max("_o").alias("_mx"))
+    span = pts.groupBy(*keys).agg(F.min("_o").alias("_mn"), F.max("_o").alias("_mx"))
     pts = (pts.join(span, keys)
               .withColumn("_b", F.when(F.col("_mx") > F.col("_mn"),
                           F.floor((F.col("_o") - F.col("_mn")) / (F.col("_mx") - F.col("_mn"))

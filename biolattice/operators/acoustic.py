@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scale import exact_quantiles, nearest_marked, ordered_index, value_bucket
+from ..functions.scale import cut_lineage, exact_quantiles, nearest_marked
 
 # Confidence words with their risk in percent, effort and activity words, groups.
 CONFIDENCE = {"": 99, "POSSIBLE": 50, "PROBABLE": 10, "SUR": 1}
@@ -73,8 +73,11 @@ def validated_files(df: DataFrame, species: str = "id_extrap", file: str = "file
 
 def validation_effort(df: DataFrame, species: str = "id_extrap", prob: str = "prob", time: str = "time_num",
                       valid: str = "id_valid", conf: str = "conf_valid") -> DataFrame:
-    """A-04: median gap in score and in time to the nearest validated record, effort and its word."""
-    d = df.withColumn("_mark", F.col(valid) != "")
+    """A-04: median gap in score and in time to the nearest validated record, effort and its word.
+
+    The records are read several times, so they are stored once (five narrow columns).
+    """
+    d = cut_lineage(df.select(species, prob, time, conf, (F.col(valid) != "").alias("_mark")))
     out = d.groupBy(species).agg(F.max(confidence_rank(conf)).alias("conf_rank"))
     for col, name in ((prob, "gap_score"), (time, "gap_time")):
         near = nearest_marked(d.select(species, col, "_mark"), [species], col, "_mark", [], "_near_")
@@ -103,7 +106,8 @@ def activity_level(counts: DataFrame, reference: DataFrame, species: str = "id_e
     words = F.array(*[F.lit(w) for w in ACTIVITY_WORDS])
     d = counts.join(reference.select(species, "q25", "q75", "q98"), species, "left")
     return (d.withColumn(f"{out}_rank", activity_rank(count))
-             .withColumn(out, F.element_at(words, F.col(f"{out}_rank"))).drop("q25", "q75", "q98"))
+             .withColumn(out, F.when(F.col(f"{out}_rank").isNotNull(), F.element_at(words, F.col(f"{out}_rank"))))
+             .drop("q25", "q75", "q98"))
 
 
 def group_rank(group: str) -> Column:
@@ -121,6 +125,7 @@ def contacts_per_night(df: DataFrame, species: str = "id_extrap", night: str = "
 def site_summary(df: DataFrame, reference: DataFrame, groups: DataFrame, species: str = "id_extrap",
                  night: str = "night", group: str = "group") -> DataFrame:
     """A-06: risk, validation, effort, contacts per night and activity of each listed species."""
+    df = cut_lineage(df)
     counts = activity_level(contacts_per_night(df, species, night), reference, species)
     out = (groups.join(error_risk(df, species), species).join(validated_files(df, species), species)
                  .join(validation_effort(df, species).select(species, "effort_class"), species)
@@ -173,6 +178,7 @@ def stereo_channel(df: DataFrame, file: str = "file", end: str = "end_time", che
 def transect_summary(df: DataFrame, ref_expansion: DataFrame, ref_direct: DataFrame, groups: DataFrame,
                      species: str = "id_extrap", group: str = "group", channel: str = "channel") -> DataFrame:
     """A-10: contacts and activity per channel, with risk, validation and effort."""
+    df = cut_lineage(df)
     n = df.groupBy(species).pivot(channel, ["Expansion", "Direct"]).agg(F.count(F.lit(1)))
     out = n
     for c, ref in (("Expansion", ref_expansion), ("Direct", ref_direct)):

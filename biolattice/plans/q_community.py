@@ -310,7 +310,7 @@ def detection_top(spark, sf):
 @query("detection_recap", "O-26", sql=f"""WITH {DET} SELECT file, taxon AS species, array_to_string(list_sort(list(k)), ',') AS frames, count(*) AS count, round(avg(prob), 4) AS conf_mean,
   round(min(prob), 4) AS conf_min, round(max(prob), 4) AS conf_max FROM det GROUP BY file, taxon""", r="conf_mean:3 conf_min:3 conf_max:3", i="count")
 def detection_recap(spark, sf):
-    d = op.detection_recap(detections(spark, sf), species="taxon", frame="k", score="prob")
+    d = op.detection_recap(detections(spark, sf), species="taxon", frame="k", score="prob").withColumnRenamed("taxon", "species")
     return d.withColumn("frames", F.array_join("frames", ","))
 
 
