@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.scalars import ln_choose_ratio
-from ..functions.scale import exact_quantiles, first_per_key
+from ..functions.scale import cut_lineage, exact_quantiles, first_per_key
 
 SITE = ["chrom", "pos"]
 
@@ -108,20 +108,25 @@ def _alleles(g: DataFrame) -> DataFrame:
     return one.groupBy("locus", "pop", "allele").agg(F.count(F.lit(1)).alias("n"), F.sum("het").alias("het"))
 
 
-def _locus_pop(g: DataFrame) -> DataFrame:
+def allele_table(g: DataFrame) -> DataFrame:
+    """The counts every statistic below starts from, stored once: genotypes are read a single time,
+    and what follows works on one row per locus, population and allele."""
+    return cut_lineage(_alleles(g))
+
+
+def _locus_pop(al: DataFrame) -> DataFrame:
     """Per locus and population: genotypes called, observed heterozygosity, sum of p squared."""
-    al = _alleles(g)
     size = al.groupBy("locus", "pop").agg(F.sum("n").alias("_2n"), F.sum("het").alias("_h"),
                                           F.sum(F.col("n") * F.col("n")).alias("_q"))
     return size.select("locus", "pop", (F.col("_2n") / 2).alias("n"), (F.col("_h") / F.col("_2n")).alias("ho"),
                        (F.col("_q") / (F.col("_2n") * F.col("_2n"))).alias("sp2"))
 
 
-def basic_stats(g: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def basic_stats(g: DataFrame | None, al: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """G-10: (per locus and population: n, ho, hs, fis), (per locus: ho, hs, ht, dst, fst, fis),
     (overall means). Nei's estimators with harmonic-mean sample sizes."""
-    al = _alleles(g)
-    lp = _locus_pop(g)
+    al = al if al is not None else allele_table(g)
+    lp = _locus_pop(al)
     hs = F.col("n") / (F.col("n") - 1) * (1 - F.col("sp2") - F.col("ho") / (2 * F.col("n")))
     per_pop = lp.withColumn("hs", F.when(F.col("n") > 1, hs)).withColumn("fis", 1 - F.try_divide(F.col("ho"), F.col("hs")))
     per = lp.groupBy("locus").agg(F.count(F.lit(1)).cast("double").alias("np"), F.avg("ho").alias("ho"), F.avg("sp2").alias("_m2"),
@@ -145,17 +150,17 @@ def basic_stats(g: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def null_allele_outliers(g: DataFrame, low: float = .25, high: float = .75, k: float = 1.5) -> DataFrame:
     """G-09: drop loci whose Fis is outside the quartiles -+ k times their distance."""
-    _, loci, _ = basic_stats(g)
+    loci = cut_lineage(basic_stats(g)[1].select("locus", "fis"))
     q = exact_quantiles(loci, [], "fis", {"a": low, "b": high})
     a, b = q.select("a").scalar(), q.select("b").scalar()
     bad = loci.filter((F.col("fis") < a - k * (b - a)) | (F.col("fis") > b + k * (b - a))).select("locus")
     return g.join(bad, "locus", "left_anti")
 
 
-def allelic_richness(g: DataFrame) -> tuple[DataFrame, DataFrame]:
+def allelic_richness(g: DataFrame | None, al: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """G-11: (per locus and population, mean per population) alleles expected in the smallest sample
     of the locus. Alleles of equal count are one row."""
-    al = _alleles(g)
+    al = al if al is not None else allele_table(g)
     size = al.groupBy("locus", "pop").agg(F.sum("n").alias("_tot"))
     least = size.groupBy("locus").agg(F.min("_tot").alias("_min"))
     same = (al.groupBy("locus", "pop", "n").agg(F.count(F.lit(1)).alias("_times"))
@@ -165,14 +170,13 @@ def allelic_richness(g: DataFrame) -> tuple[DataFrame, DataFrame]:
     return per, per.groupBy("pop").agg(F.avg("ar").alias("ar"))
 
 
-def _pair_base(g: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _pair_base(al: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Allele counts of both populations of every pair, an absent allele being 0.
 
     Populations per locus are few (they are survey groups); the pairs of populations are the
     answer's own rows. Pairs meet on the locus, alleles on (locus, allele).
     """
-    al = _alleles(g)
-    lp = _locus_pop(g)
+    lp = _locus_pop(al)
     a = lp.select("locus", F.col("pop").alias("pop_a"), F.col("n").alias("na"), F.col("ho").alias("ha"), F.col("sp2").alias("qa"))
     b = lp.select("locus", F.col("pop").alias("pop_b"), F.col("n").alias("nb"), F.col("ho").alias("hb"), F.col("sp2").alias("qb"))
     pairs = a.join(b, "locus").filter(F.col("pop_a") < F.col("pop_b"))
@@ -186,9 +190,9 @@ def _pair_base(g: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, both
 
 
-def pairwise_fst(g: DataFrame) -> DataFrame:
+def pairwise_fst(g: DataFrame | None, al: DataFrame | None = None) -> DataFrame:
     """G-12: Weir-Cockerham theta per pair of populations, variance components added over loci."""
-    _, d = _pair_base(g)
+    _, d = _pair_base(al if al is not None else allele_table(g))
     na, nb = F.col("na"), F.col("nb")
     n = na + nb
     nbar = n / 2
@@ -205,10 +209,10 @@ def pairwise_fst(g: DataFrame) -> DataFrame:
              .agg(F.try_divide(F.sum(va), F.sum(va + vb + vc)).alias("fst")))
 
 
-def pairwise_gst_jost(g: DataFrame) -> DataFrame:
+def pairwise_gst_jost(g: DataFrame | None, al: DataFrame | None = None) -> DataFrame:
     """G-13: Nei's Gst and Jost's D per pair, with Nei's small-sample heterozygosities averaged
     over loci."""
-    pairs, d = _pair_base(g)
+    pairs, d = _pair_base(al if al is not None else allele_table(g))
     p1, p2 = F.col("ca") / (2 * F.col("na")), F.col("cb") / (2 * F.col("nb"))
     mean2 = d.groupBy("locus", "pop_a", "pop_b").agg(F.sum(F.pow((p1 + p2) / 2, 2)).alias("_pm2"))
     x = pairs.join(mean2, ["locus", "pop_a", "pop_b"])
@@ -222,20 +226,23 @@ def pairwise_gst_jost(g: DataFrame) -> DataFrame:
 
 def diversity_summary(g: DataFrame, combined: str = "All_populations_combined", digits: int = 5) -> DataFrame:
     """G-14: one row per population, one for all individuals together, one of means."""
-    def stats(x: DataFrame) -> DataFrame:
+    def stats(x: DataFrame, al: DataFrame) -> DataFrame:
         n = x.select("pop", "ind").distinct().groupBy("pop").agg(F.count(F.lit(1)).alias("n_ind"))
-        per, _, _ = basic_stats(x)
+        per, _, _ = basic_stats(None, al)
         # one population alone: Ht equals Hs with its own sample size
         h = per.groupBy("pop").agg(F.avg("ho").alias("hobs"), F.avg("hs").alias("hexp"), F.avg("fis").alias("fis"))
-        return n.join(h, "pop", "left").join(allelic_richness(x)[1], "pop", "left")
+        return n.join(h, "pop", "left").join(allelic_richness(None, al)[1], "pop", "left")
 
-    pairs = pairwise_fst(g).join(pairwise_gst_jost(g), ["pop_a", "pop_b"])
+    al = allele_table(g)
+    pairs = cut_lineage(pairwise_fst(None, al).join(pairwise_gst_jost(None, al), ["pop_a", "pop_b"]))
     both = (pairs.select(F.col("pop_a").alias("pop"), "fst", "gst", "jost_d")
                  .unionByName(pairs.select(F.col("pop_b").alias("pop"), "fst", "gst", "jost_d")))
     mean_pair = both.groupBy("pop").agg(*[F.avg(c).alias(f"mean_{c}") for c in ("fst", "gst", "jost_d")])
     cols = ["hobs", "hexp", "ar", "fis", "mean_fst", "mean_gst", "mean_jost_d"]
-    pop = stats(g).join(mean_pair, "pop", "left").select("pop", "n_ind", *cols)
-    one = stats(g.withColumn("pop", F.lit(combined)))
+    pop = stats(g, al).join(mean_pair, "pop", "left").select("pop", "n_ind", *cols)
+    pop = cut_lineage(pop)
+    both_al = al.groupBy("locus", F.lit(combined).alias("pop"), "allele").agg(F.sum("n").alias("n"), F.sum("het").alias("het"))
+    one = stats(g.withColumn("pop", F.lit(combined)), both_al)
     one = one.select("pop", "n_ind", "hobs", "hexp", "ar", "fis", *[F.lit(None).cast("double").alias(c) for c in cols[4:]])
     mean = pop.agg(F.lit("mean").alias("pop"), F.sum("n_ind").alias("n_ind"), *[F.avg(c).alias(c) for c in cols])
     out = reduce(DataFrame.unionByName, [pop, one, mean])

@@ -102,7 +102,8 @@ def closest_bands(wavelengths: Mapping[str, float], wanted: Mapping[str, float]
 
 def index_from_expression(df: DataFrame, text: str, out: str = "index") -> DataFrame:
     """R-13: any band formula."""
-    return df.withColumn(out, checked_expr(df, safe_formula(text)))
+    checked_expr(df, text)
+    return df.withColumn(out, F.expr(safe_formula(text)))
 
 
 def continuum_ratio(target, w, low, w_low, high, w_high) -> Column:
