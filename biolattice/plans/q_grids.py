@@ -120,7 +120,7 @@ def continuum_removal(spark, sf):
 
 
 @query("area_under_continuum", "R-14", sql=f"""WITH {PIX}, d AS (SELECT row, col, 1 - B5 / (B4 + (B7 - B4) * ((703.9 - 664.5) / 118.0::DOUBLE)) AS d5, 1 - B6 / (B4 + (B7 - B4) * ((740.2 - 664.5) / 118.0::DOUBLE)) AS d6 FROM pix)
-SELECT row, col, d5 / 2 * (703.9 - 664.5) + (d5 + d6) / 2 * (740.2 - 703.9) + d6 / 2 * (782.5 - 740.2) AS auc FROM d""", r="auc:3", i="row col")
+SELECT row, col, d5 / 2 * (703.9 - 664.5) + (d5 + d6) / 2 * (740.2 - 703.9) + d6 / 2 * (782.5 - 740.2) AS auc FROM d""", r="auc:6", i="row col")
 def area_under_continuum(spark, sf):
     return px.area_under_continuum(pixels(spark, sf), "B4", "B7").select("row", "col", "auc")
 

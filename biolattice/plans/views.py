@@ -139,17 +139,17 @@ VAR = """var AS (SELECT 'c' || (l_partkey % 5) AS chrom, l_partkey AS pos, 'i' |
 
 
 def ocean_grid(spark, sf) -> DataFrame:
-    """Monthly grid: time, lat, lon, chl (mean price per thousand, NULL in a tenth of the cells)."""
+    """Monthly grid: time, lat, lon, chl (mean price, scaled, NULL in a tenth of the cells)."""
     l = table(spark, sf, "lineitem")
     g = l.groupBy(F.trunc("l_shipdate", "month").alias("m"), (F.col("l_suppkey") % 19).alias("i"), (F.col("l_partkey") % 23).alias("j")).agg(
         F.avg("l_extendedprice").alias("v"))
     hole = (F.col("i") * 5 + F.col("j") * 3) % 10 == 0
     return g.select(F.col("m").cast("timestamp").alias("time"), (30 + F.col("i") * 0.5).alias("lat"), (-10 + F.col("j") * 0.5).alias("lon"),
-                    F.when(~hole, F.round(F.col("v") / 1000, 6)).alias("chl"))
+                    F.when(~hole, F.col("v") / 1009).alias("chl"))
 
 
 GRID = """grid AS (SELECT CAST(m AS TIMESTAMP) AS time, 30 + i * 0.5::DOUBLE AS lat, -10 + j * 0.5::DOUBLE AS lon,
-  CASE WHEN (i * 5 + j * 3) % 10 <> 0 THEN round(v / 1000, 6) END AS chl
+  CASE WHEN (i * 5 + j * 3) % 10 <> 0 THEN v / 1009 END AS chl
   FROM (SELECT date_trunc('month', l_shipdate) AS m, l_suppkey % 19 AS i, l_partkey % 23 AS j, avg(l_extendedprice) AS v
         FROM lineitem GROUP BY ALL))"""
 
