@@ -94,6 +94,14 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
     return out.select(*by, *cols)
 
 
+def exact_quantiles_many(df: DataFrame, by: Sequence[str], values: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """exact_quantiles of several columns in one pass; result columns are value_name."""
+    by = list(by)
+    rows = F.array(*[F.struct(F.lit(v).alias("_col"), F.col(v).cast("double").alias("_val")) for v in values])
+    q = exact_quantiles(df.select(*by, F.inline(rows)), [*by, "_col"], "_val", probs)
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("_col") == v, F.col(n))).alias(f"{v}_{n}") for v in values for n in probs])
+
+
 def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
                   bucket: Column, name: str = "idx") -> DataFrame:
     """0-based rank within by; bucket must not decrease along the order."""

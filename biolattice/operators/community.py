@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hill_number, ln_choose_ratio, safe_div
-from ..functions.scale import dense_index, exact_quantiles
+from ..functions.scale import cut_lineage, dense_index, exact_quantiles, exact_quantiles_many
 from .joins import pairs_within
 
 
@@ -247,9 +247,7 @@ def turned_block_score(df: DataFrame, group: Sequence[str], turned: str = "turne
     stats = [f(c).alias(f"{c}_{n}") for c in ("score", "share", "rest") for n, f in
              (("mean", F.avg), ("sd", F.stddev_samp), ("min", F.min), ("max", F.max))]
     out = q.groupBy(*group).agg(*stats, F.count(F.lit(1)).alias("n"))
-    for c in ("score", "share", "rest"):
-        out = out.join(exact_quantiles(q, group, c, {f"{c}_median": .5}), list(group))
-    return out
+    return out.join(exact_quantiles_many(q, group, ["score", "share", "rest"], {"median": .5}), list(group))
 
 
 def rarefy(df: DataFrame, sizes: Sequence[int] | None = None, unit: Sequence[str] = ("site",),
@@ -313,7 +311,7 @@ def beta_diversity(df: DataFrame, site: str = "site", species: str = "species",
 
     Means run over all sites with at least one individual, zeros included by closed form.
     """
-    y = hellinger(df, site, species, number)
+    y = cut_lineage(hellinger(df, site, species, number))  # one row per site and species
     n = y.agg(F.count_distinct(site).cast("double")).scalar()
     sp = (y.groupBy(species).agg(F.sum("_y").alias("_s"), F.sum(F.col("_y") * F.col("_y")).alias("_q"))
            .withColumn("ss", F.col("_q") - F.col("_s") * F.col("_s") / n))
@@ -333,31 +331,37 @@ def lcbd_over(df: DataFrame, by: Sequence[str], lcbd: str = "lcbd") -> DataFrame
 # ---------------------------------------------------------------- dissimilarity
 
 def bray_curtis(df: DataFrame, group: Sequence[str], sample: str, species: str = "species",
-                number: str = "number", differ: str | None = None, transform: str = "sqrt") -> DataFrame:
+                number: str = "number", differ: str | None = None, transform: str = "sqrt",
+                species_per_sample: str = "few") -> DataFrame:
     """O-18: Bray-Curtis of the samples of a group, on square roots by default.
 
-    1 - 2 * sum(min) / sum(a + b); shared species come from an equi-join on (group, species), the
-    rest follows from sample totals. `differ` keeps pairs with different values of that column.
+    1 - 2 * sum(min) / sum(a + b). With few species per sample (dozens) a sample travels as one row
+    with its species map and a pair is settled where it meets; with `many` the shared species come
+    from an equi-join on (group, species), cut into blocks like the pairs. `differ` keeps pairs with
+    different values of that column.
     """
     group = list(group)
     f = {"sqrt": F.sqrt, "none": lambda c: F.col(c), "log": F.log1p}[transform]
     extra = [differ] if differ else []
     t = (df.groupBy(*group, sample, *extra, species).agg(F.sum(number).cast("double").alias("_n"))
            .withColumn("_v", f("_n")))
-    samples = t.groupBy(*group, sample, *extra).agg(F.sum("_v").alias("_t"))
+    keep = [*group, f"{sample}_a", f"{sample}_b", *[f"{c}_{s}" for c in extra for s in "ab"]]
+    out = lambda shared: (1 - F.try_divide(2 * shared, F.col("_t_a") + F.col("_t_b"))).alias("dissimilarity")
+    if species_per_sample == "few":
+        samples = t.groupBy(*group, sample, *extra).agg(
+            F.sum("_v").alias("_t"), F.map_from_entries(F.collect_list(F.struct(species, "_v"))).alias("_m"))
+    else:
+        samples = t.groupBy(*group, sample, *extra).agg(F.sum("_v").alias("_t"))
     pairs = pairs_within(samples, group, sample)
     if differ:
         pairs = pairs.filter(F.col(f"{differ}_a") != F.col(f"{differ}_b"))
-    a = t.filter("_v > 0").select(*group, species, F.col(sample).alias(f"{sample}_a"), F.col("_v").alias("_va"))
-    b = t.filter("_v > 0").select(*group, species, F.col(sample).alias(f"{sample}_b"), F.col("_v").alias("_vb"))
-    shared = (pairs.select(*group, f"{sample}_a", f"{sample}_b").join(a, [*group, f"{sample}_a"])
-                   .join(b, [*group, f"{sample}_b", species])
-                   .groupBy(*group, f"{sample}_a", f"{sample}_b")
-                   .agg(F.sum(F.least("_va", "_vb")).alias("_min")))
+    if species_per_sample == "few":
+        low = F.transform(F.map_entries("_m_a"), lambda e: F.least(e["value"], F.coalesce(F.try_element_at("_m_b", e["key"]), F.lit(0.0))))
+        return pairs.select(*keep, out(F.aggregate(low, F.lit(0.0), lambda s, x: s + x)))
+    both = pairs_within(t.filter("_v > 0").select(*group, species, sample, "_v"), [*group, species], sample)
+    shared = both.groupBy(*group, f"{sample}_a", f"{sample}_b").agg(F.sum(F.least("_v_a", "_v_b")).alias("_min"))
     d = pairs.join(shared, [*group, f"{sample}_a", f"{sample}_b"], "left")
-    return d.select(*group, f"{sample}_a", f"{sample}_b", *[f"{c}_{s}" for c in extra for s in "ab"],
-                    (1 - F.try_divide(2 * F.coalesce(F.col("_min"), F.lit(0.0)), F.col("_t_a") + F.col("_t_b")))
-                    .alias("dissimilarity"))
+    return d.select(*keep, out(F.coalesce(F.col("_min"), F.lit(0.0))))
 
 
 def dissimilarity_summary(df: DataFrame, by: Sequence[str], value: str = "dissimilarity") -> DataFrame:

@@ -194,6 +194,7 @@ def two_way_loglinear(df: DataFrame, by: Sequence[str], site: str = "site", year
     factor = design is factor_design
     y = (src.groupBy(*keys, site, F.col(year).cast("double").alias("_t")).agg(F.sum(count).cast("double").alias("_y"))
             .filter("_y IS NOT NULL"))
+    y = cut_lineage(y)  # the raw counts are read once; what follows works on site-year totals
     lev = y.groupBy(*keys, "_t").agg(F.sum("_y").alias("_c"))
     if factor:
         lev = lev.filter("_c > 0")

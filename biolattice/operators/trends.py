@@ -4,9 +4,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import area_between, week_of_year
+from ..functions.scalars import area_between
 from ..functions.scale import exact_quantiles, ordered_index, previous_row, value_bucket
 from ..functions.tails import t_tail
 from .community import weighted_geometric_mean
@@ -27,21 +27,52 @@ def day_grid(df: DataFrame, species: str = "species", site: str = "site", date:
     the species and year over all sites) are set to 0 and flagged; where they would leave the
     year they become its first or last five days. Counts of one site and day are added up.
     """
+    d, n = _yearly_visits(df, species, site, date, count), F.col("_n")
+    day = F.explode(F.sequence(F.lit(1), n)).alias("dayno")
+    # the year's counts travel with the site as a small map, so the daily rows never shuffle
+    g = d.select(species, site, "year", "_n", "_anchors", "_w0", F.map_from_entries("_obs").alias("_m"), day)
+    date = F.date_add(F.make_date("year", F.lit(1), F.lit(1)), F.col("dayno") - 1)
+    anchor = F.array_contains("_anchors", F.col("dayno"))
+    return g.select(species, site, "year", F.month(date).alias("month"), _week(F.col("dayno"), F.col("_w0")).alias("week"),
+                    F.dayofmonth(date).alias("day"), (_weekday(F.col("dayno"), F.col("_w0")) + 1).alias("day_week"), "dayno",
+                    F.when(anchor, F.lit(0.0)).otherwise(F.try_element_at("_m", F.col("dayno"))).alias("count"),
+                    anchor.cast("int").alias("anchor"))
+
+
+def _weekday(dayno: Column, w0: Column) -> Column:
+    """0 = Monday, from the weekday of January 1."""
+    return (w0 + dayno - 1) % 7
+
+
+def _week(dayno: Column, w0: Column) -> Column:
+    return F.floor((dayno + 6 - _weekday(dayno, w0)) / 7).cast("int")
+
+
+def _yearly_visits(df: DataFrame, species: str, site: str, date: str, count: str) -> DataFrame:
+    """One row per species, site and year: its counted days (at most 366) and the anchor days of the
+    species' season, with the length of the year and the weekday of January 1."""
     d = (df.withColumn("year", F.year(date)).withColumn("dayno", F.dayofyear(date))
-           .groupBy(species, site, "year", "dayno").agg(F.sum(count).cast("double").alias(count)))
-    season = d.filter(F.col(count).isNotNull()).groupBy(species, "year").agg(F.min("dayno").alias("_a"), F.max("dayno").alias("_z"))
+           .groupBy(species, site, "year", "dayno").agg(F.sum(count).cast("double").alias("count")))
+    season = d.filter(F.col("count").isNotNull()).groupBy(species, "year").agg(F.min("dayno").alias("_a"), F.max("dayno").alias("_z"))
     n = F.dayofyear(F.make_date("year", F.lit(12), F.lit(31)))
-    sites = d.select(species, site, "year").distinct().join(season, [species, "year"])
-    day = F.explode(F.sequence(F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31)))).alias("date")
-    g = sites.select(species, site, "year", "_a", "_z", day).withColumn("dayno", F.dayofyear("date"))
-    lo = F.when(F.col("_a") - 11 < 1, F.col("dayno").between(1, 5)).otherwise(
-        F.col("dayno").between(F.col("_a") - 11, F.col("_a") - 7))
-    hi = F.when(F.col("_z") + 11 > n, F.col("dayno").between(n - 4, n)).otherwise(
-        F.col("dayno").between(F.col("_z") + 7, F.col("_z") + 11))
-    g = g.withColumn("anchor", (lo | hi).cast("int")).join(d, [species, site, "year", "dayno"], "left")
-    return g.select(species, site, "year", F.month("date").alias("month"), week_of_year("date").alias("week"),
-                    F.dayofmonth("date").alias("day"), (F.weekday("date") + 1).alias("day_week"), "dayno",
-                    F.when(F.col("anchor") == 1, F.lit(0.0)).otherwise(F.col(count)).alias("count"), "anchor")
+    lo = F.when(F.col("_a") - 11 < 1, F.sequence(F.lit(1), F.lit(5))).otherwise(F.sequence(F.col("_a") - 11, F.col("_a") - 7))
+    hi = F.when(F.col("_z") + 11 > n, F.sequence(n - 4, n)).otherwise(F.sequence(F.col("_z") + 7, F.col("_z") + 11))
+    season = season.select(species, "year", F.array_distinct(F.concat(lo, hi)).alias("_anchors"), n.alias("_n"),
+                           F.weekday(F.make_date("year", F.lit(1), F.lit(1))).alias("_w0"))
+    obs = d.groupBy(species, site, "year").agg(F.collect_list(F.struct("dayno", "count")).alias("_obs"))
+    return obs.join(season, [species, "year"])
+
+
+def counted_days(df: DataFrame, species: str = "species", site: str = "site", date: str = "date", count: str = "count") -> DataFrame:
+    """The days of the grid that carry a count: visits and anchors. All a fit needs."""
+    d = _yearly_visits(df, species, site, date, count)
+    return d.select(species, site, "year", F.inline(_counted()))
+
+
+def _counted() -> Column:
+    real = F.filter("_obs", lambda x: x["count"].isNotNull() & ~F.array_contains(F.col("_anchors"), x["dayno"]))
+    zero = F.transform("_anchors", lambda a: F.struct(a.alias("dayno"), F.lit(0.0).alias("count")))
+    return F.concat(real, zero)
 
 
 def spline_design(first: float, last: float, pieces: int = 6):
@@ -62,8 +93,8 @@ def spline_design(first: float, last: float, pieces: int = 6):
     return make
 
 
-def flight_curve(grid: DataFrame, species: str = "species", site: str = "site", first: int = 60, last: int = 305,
-                 pieces: int = 6, penalty: float = 0.05) -> DataFrame:
+def flight_curve(visits: DataFrame, species: str = "species", site: str = "site", date: str = "date", count: str = "count",
+                 first: int = 60, last: int = 305, pieces: int = 6, penalty: float = 0.05) -> DataFrame:
     """T-02: share of the year's count expected on each day, per species and year.
 
     Log-linear fit of the counts on a cubic spline of the day and a site level, all species and
@@ -72,17 +103,20 @@ def flight_curve(grid: DataFrame, species: str = "species", site: str = "site",
     curve, 0 before `first` and after `last`; nm sums to 1 over the year.
     """
     make = spline_design(first, last, pieces)
-    obs = grid.filter(F.col("count").isNotNull() & F.col("dayno").between(first, last))
+    obs = counted_days(visits, species, site, date, count).filter(F.col("dayno").between(first, last))
     fit = two_way_loglinear(obs, [species, "year"], site, "dayno", "count", design=make, penalty=penalty)
-    days = grid.select(species, "year", "dayno", "week").distinct()
     basis = make(np.arange(first, last + 1, dtype=float))
-    table = days.sparkSession.createDataFrame(
+    table = visits.sparkSession.createDataFrame(
         [(int(d), [float(v) for v in row]) for d, row in zip(range(first, last + 1), basis)], "dayno int, _z array<double>")
-    d = days.join(fit.select(species, "year", "beta"), [species, "year"]).join(table, "dayno", "left")
+    jan1 = F.make_date("year", F.lit(1), F.lit(1))
+    days = fit.select(species, "year", "beta", F.weekday(jan1).alias("_w0"),
+                      F.explode(F.sequence(F.lit(1), F.dayofyear(F.make_date("year", F.lit(12), F.lit(31))))).alias("dayno"))
+    d = days.join(table, "dayno", "left")
     dot = F.aggregate(F.zip_with("_z", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     d = d.withColumn("_f", F.when(F.col("_z").isNotNull(), F.exp(dot)).otherwise(0.0))
     tot = d.groupBy(species, "year").agg(F.sum("_f").alias("_s"))
-    return d.join(tot, [species, "year"]).select(species, "year", "week", "dayno", (F.col("_f") / F.col("_s")).alias("nm"))
+    return d.join(tot, [species, "year"]).select(species, "year", _week(F.col("dayno"), F.col("_w0")).alias("week"), "dayno",
+                                                 (F.col("_f") / F.col("_s")).alias("nm"))
 
 
 def imputed_counts(grid: DataFrame, curve: DataFrame, species: str = "species", site: str = "site") -> DataFrame:
@@ -95,39 +129,73 @@ def imputed_counts(grid: DataFrame, curve: DataFrame, species: str = "species",
         "count_imputed", F.coalesce(F.col("_c"), F.col("_level") * F.col("nm")))
 
 
-def abundance_index(grid: DataFrame, curve: DataFrame, species: str = "species", site: str = "site") -> DataFrame:
-    """T-03: area under the daily counts of a site and year over 7, and the share of the flight
-    period that was sampled. Missing days count on Thursdays of weeks without any visit only."""
-    keys = [species, site, "year"]
-    d = imputed_counts(grid, curve, species, site)
-    seen = F.max(F.col("_c").isNotNull().cast("int")).over(W.partitionBy(*keys, "week"))
-    d = d.withColumn("_seen", seen).filter(F.col("_c").isNotNull() | ((F.col("day_week") == 4) & (F.col("_seen") == 0)))
-    area = trapezoid(d, "dayno", "count_imputed", keys, bounded=True)
-    idx = area.select(*keys, F.round(F.col("area") / 7, 1).alias("regional_index"))
-    return idx.join(phenology_sampled(grid, curve, species, site), keys, "left")
+def _year_curve(curve: DataFrame, species: str) -> DataFrame:
+    """The curve as one row per species and year: nm per week, and the Thursdays with their nm."""
+    jan1 = F.weekday(F.make_date("year", F.lit(1), F.lit(1)))
+    c = curve.withColumn("_k", _week(F.col("dayno"), jan1)).withColumn("_w", _weekday(F.col("dayno"), jan1))
+    weeks = c.groupBy(species, "year", "_k").agg(F.sum("nm").alias("nm"))
+    weeks = weeks.groupBy(species, "year").agg(F.collect_list(F.struct(F.col("_k").alias("week"), "nm")).alias("_weeks"))
+    thu = c.filter("_w = 3").groupBy(species, "year").agg(F.collect_list(F.struct("dayno", F.col("_k").alias("week"), "nm")).alias("_thu"))
+    return weeks.join(thu, [species, "year"])
 
 
-def trapezoid(df: DataFrame, x: str, y: str, by: Sequence[str], bounded: bool = False) -> DataFrame:
-    """T-04: area under y over x per group, missing pairs dropped.
+def _site_years(visits: DataFrame, curve: DataFrame, species: str, site: str, date: str, count: str) -> DataFrame:
+    """One row per site-year: its points (counted days with nm other than 0), level and weeks.
 
-    With bounded=True groups are known to be small (days of a year) and one window does it;
-    otherwise neighbours are found across ordered buckets of the group.
+    Only visits and anchor days become rows, each meeting the curve (one small table per species
+    and year); the daily grid of all sites is never written out. A site-year holds at most 366
+    entries.
     """
+    jan1 = F.weekday(F.make_date("year", F.lit(1), F.lit(1)))
+    d = (counted_days(visits, species, site, date, count)
+         .join(curve.select(species, "year", "dayno", "nm"), [species, "year", "dayno"], "left")
+         .withColumn("_k", _week(F.col("dayno"), jan1)).withColumn("_live", F.coalesce(F.col("nm") != 0, F.lit(False))))
+    g = d.groupBy(species, site, "year").agg(
+        F.try_divide(F.sum(F.when(F.col("nm") > 0, F.col("count"))), F.sum(F.when(F.col("nm") > 0, F.col("nm")))).alias("_level"),
+        F.collect_set("_k").alias("_any"), F.collect_set(F.when(F.col("_live"), F.col("_k"))).alias("_seen"),
+        F.collect_list(F.when(F.col("_live"), F.struct("dayno", "count"))).alias("_pts"))
+    return g.join(_year_curve(curve, species), [species, "year"], "left")
+
+
+def _sampled() -> Column:
+    """1 - sum of nm over the weeks without a count; NULL when every week has one."""
+    lost = F.filter("_weeks", lambda w: ~F.array_contains("_any", w["week"]))
+    return F.aggregate(lost, F.lit(None).cast("double"), lambda s, w: F.coalesce(s, F.lit(0.0)) + F.coalesce(w["nm"], F.lit(0.0)), lambda s: 1 - s)
+
+
+def abundance_index(visits: DataFrame, curve: DataFrame, species: str = "species", site: str = "site", date: str = "date",
+                    count: str = "count") -> DataFrame:
+    """T-03: area under the daily counts of a site and year over 7, and the share of the flight
+    period that was sampled.
+
+    The site level is sum(count) / sum(nm) over counted days with nm > 0 (the log-linear fit in
+    closed form). Missing days take level x nm, on Thursdays of weeks without any count only. The
+    curve has a row for every day of the year.
+    """
+    d = _site_years(visits, curve, species, site, date, count)
+    fill = F.transform(F.filter("_thu", lambda x: ~F.array_contains("_seen", x["week"])),
+                       lambda x: F.struct(x["dayno"].alias("dayno"), (F.col("_level") * x["nm"]).alias("count")))
+    pts = F.array_sort(F.concat("_pts", F.filter(fill, lambda x: x["count"].isNotNull())))
+    start = F.struct(F.lit(None).cast("int").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(0.0).alias("s"))
+    area = F.aggregate(pts, start, lambda a, p: F.struct(
+        p["dayno"].alias("x"), p["count"].alias("y"),
+        (a["s"] + F.coalesce((a["y"] + p["count"]) / 2 * (p["dayno"] - a["x"]), F.lit(0.0))).alias("s")), lambda a: a["s"])
+    return d.select(species, site, "year", F.round(area / 7, 1).alias("regional_index"), _sampled().alias("prop_pheno_sampled"))
+
+
+def trapezoid(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
+    """T-04: area under y over x per group, missing pairs dropped; neighbours are found across
+    ordered buckets of the group, so a long series is shared by many tasks."""
     d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if bounded:
-        w = W.partitionBy(*by).orderBy(x)
-        d = d.withColumn(f"prev_{x}", F.lag(x).over(w)).withColumn(f"prev_{y}", F.lag(y).over(w))
-    else:
-        d = previous_row(d, by, x, [x, y])
+    d = previous_row(d, by, x, [x, y])
     return d.groupBy(*by).agg(F.coalesce(F.sum(area_between(f"prev_{x}", f"prev_{y}", x, y)), F.lit(0.0)).alias("area"))
 
 
-def phenology_sampled(grid: DataFrame, curve: DataFrame, species: str = "species", site: str = "site") -> DataFrame:
-    """T-05: 1 - sum of nm over the site's weeks without a count."""
-    keys = [species, site, "year"]
-    d = grid.join(curve.select(species, "year", "dayno", "nm"), [species, "year", "dayno"], "left")
-    wk = d.groupBy(*keys, "week").agg(F.count("count").alias("_n"), F.sum("nm").alias("_s")).filter("_n = 0")
-    return wk.groupBy(*keys).agg((1 - F.sum(F.coalesce(F.col("_s"), F.lit(0.0)))).alias("prop_pheno_sampled"))
+def phenology_sampled(visits: DataFrame, curve: DataFrame, species: str = "species", site: str = "site", date: str = "date",
+                      count: str = "count") -> DataFrame:
+    """T-05: 1 - sum of nm over the site's weeks without a count; only site-years with such weeks."""
+    d = _site_years(visits, curve, species, site, date, count).withColumn("prop_pheno_sampled", _sampled())
+    return d.filter(F.col("prop_pheno_sampled").isNotNull()).select(species, site, "year", "prop_pheno_sampled")
 
 
 # ---------------------------------------------------------------- yearly indices

@@ -87,7 +87,26 @@ def coordinate_values(spark, sf):
 
 
 def _sql_formula(text: str) -> str:
-    return px.safe_formula(text)
+    """The formula with NULL for a zero divisor: each operand after a slash goes through nullif."""
+    out, i = "", 0
+    while i < len(text):
+        if text[i] != "/":
+            out, i = out + text[i], i + 1
+            continue
+        j = i + 1
+        while text[j] == " ":
+            j += 1
+        k = j
+        while k < len(text) and (text[k].isalnum() or text[k] in "._"):
+            k += 1
+        if k < len(text) and text[k] == "(":
+            depth = 1
+            while depth:
+                k += 1
+                depth += (text[k] == "(") - (text[k] == ")")
+            k += 1
+        out, i = f"{out}/ nullif({_sql_formula(text[j:k])}, 0)", k
+    return out
 
 
 NAMES = px.ALL_INDICES + ["NDWI"]

@@ -30,9 +30,10 @@ CURVE = """cv0 AS (SELECT DISTINCT species, year, dayno, CASE WHEN dayno BETWEEN
 cv AS (SELECT species, year, dayno, f / sum(f) OVER (PARTITION BY species, year) AS nm FROM cv0)"""
 
 
-def _curve(grid):
+def _curve(visits):
     d = F.col("dayno")
-    c = grid.select("species", "year", "dayno").distinct().withColumn("f", F.when(d.between(60, 305), ((d - 59) * (306 - d)).cast("double")).otherwise(0.0))
+    last = F.dayofyear(F.make_date("year", F.lit(12), F.lit(31)))
+    c = visits.select("species", F.year("date").alias("year")).distinct().withColumn("dayno", F.explode(F.sequence(F.lit(1), last))).withColumn("f", F.when(d.between(60, 305), ((d - 59) * (306 - d)).cast("double")).otherwise(0.0))
     return c.join(c.groupBy("species", "year").agg(F.sum("f").alias("s")), ["species", "year"]).select("species", "year", "dayno", (F.col("f") / F.col("s")).alias("nm"))
 
 
@@ -45,7 +46,7 @@ def day_grid(spark, sf):
 
 @query("flight_curve", "T-02")
 def flight_curve(spark, sf):
-    return op.flight_curve(cut_lineage(op.day_grid(_visits(spark, sf))))
+    return op.flight_curve(_visits(spark, sf))
 
 
 @query("abundance_index", "T-03", sql=f"""WITH {VIS}, {CURVE}, g AS (SELECT grid.*, nm, CASE WHEN nm <> 0 THEN grid.count END AS c FROM grid JOIN cv USING (species, year, dayno)),
@@ -57,8 +58,8 @@ wk AS (SELECT species, site, year, week, sum(nm) AS s FROM g GROUP BY ALL HAVING
 SELECT t.species, t.site, t.year, round(coalesce(sum(ar), 0) / 7, 1) AS regional_index, any_value(p) AS prop_pheno_sampled FROM t LEFT JOIN ps USING (species, site, year) GROUP BY ALL""",
        r="regional_index:1 prop_pheno_sampled", i="site year")
 def abundance_index(spark, sf):
-    g = cut_lineage(op.day_grid(_visits(spark, sf)))
-    return op.abundance_index(g, _curve(g))
+    v = _visits(spark, sf)
+    return op.abundance_index(v, _curve(v))
 
 
 @query("trapezoid", "T-04", sql=f"""WITH {OBS}, d AS (SELECT species, epoch(date) / 86400 AS x, sum(abundance) AS y FROM obs GROUP BY ALL),
@@ -71,8 +72,8 @@ def trapezoid(spark, sf):
 @query("phenology_sampled", "T-05", sql=f"""WITH {VIS}, {CURVE}, wk AS (SELECT species, site, year, week, sum(nm) AS s FROM grid JOIN cv USING (species, year, dayno) GROUP BY ALL HAVING count(count) = 0)
 SELECT species, site, year, 1 - sum(s) AS prop_pheno_sampled FROM wk GROUP BY ALL""", r="prop_pheno_sampled", i="site year")
 def phenology_sampled(spark, sf):
-    g = cut_lineage(op.day_grid(_visits(spark, sf)))
-    return op.phenology_sampled(g, _curve(g))
+    v = _visits(spark, sf)
+    return op.phenology_sampled(v, _curve(v))
 
 
 # Every site has a count in every year here, so the fit equals the ratio of yearly totals.

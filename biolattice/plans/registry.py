@@ -5,7 +5,7 @@ import importlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MODULES = ("q_sources", "q_clean", "q_joins", "q_community", "q_acoustic", "q_trends", "q_models",
            "q_genetics", "q_grids", "q_live")
@@ -21,9 +21,16 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def half_away(x: Column, digits: int) -> Column:
+    s = 10.0 ** digits
+    big = F.isnan(x) | (F.abs(x) * s > 4e15)
+    return F.when(big, x).otherwise(F.signum(x) * F.floor(F.abs(x) * s + 0.5) / s + F.lit(0.0))
+
+
 def shaped(df: DataFrame, digits: dict[str, int], whole: list[str]) -> DataFrame:
-    """Doubles rounded for comparison, counts as bigint."""
-    out = {c: F.round(F.col(c).cast("double"), d) + F.lit(0.0) for c, d in digits.items()}
+    """Doubles rounded for comparison (half away from zero, in plain double arithmetic), counts as
+    bigint."""
+    out = {c: half_away(F.col(c).cast("double"), d) for c, d in digits.items()}
     out |= {c: F.col(c).cast("bigint") for c in whole}
     return df.withColumns(out) if out else df
 
