@@ -22,7 +22,7 @@ def great_circle_m(lat1, lon1, lat2, lon2) -> Column:
     p1, p2 = F.radians(as_col(lat1)), F.radians(as_col(lat2))
     dp, dl = p2 - p1, F.radians(as_col(lon2)) - F.radians(as_col(lon1))
     h = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    return F.when(h.isNotNull(), F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(h))))
 
 
 def unit_vector(lat, lon) -> list[Column]:

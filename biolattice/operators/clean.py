@@ -350,9 +350,10 @@ def accretion_correct(df: DataFrame, cols: Sequence[str], keys: Sequence[str], f
     low = df.filter(F.col(face) == lower).join(up, list(keys), "left")
     apply = F.coalesce(F.col("_bright"), F.lit(False)) & (
         ~F.col(region).isin(list(strict_regions)) | ((F.col(covered) != 0) & (F.col("_mus") == 0)))
-    fix = {c: F.coalesce(F.least(F.lit(100.0), F.when(apply, F.try_divide(
-        F.col(c).cast("double"), 100 - F.col(covered).cast("double")) * 100)
-        .otherwise(F.col(c).cast("double"))), F.lit(0.0)) for c in cols}
+    value = lambda c: F.when(apply, F.try_divide(F.col(c).cast("double"), 100 - F.col(covered).cast("double")) * 100).otherwise(
+        F.col(c).cast("double"))
+    # least() skips NULL, so a result that is not finite becomes 0 first
+    fix = {c: F.least(F.lit(100.0), F.coalesce(value(c), F.lit(0.0))) for c in cols}
     rest = df.filter(F.col(face) != lower).withColumns({c: F.col(c).cast("double") for c in cols})
     return low.withColumns(fix).select(*df.columns).unionByName(rest)
 

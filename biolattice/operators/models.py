@@ -30,7 +30,7 @@ def _levels(df: DataFrame, col: str, limit: int = 200) -> list:
 
 def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequence[str] = (),
                 factors: Mapping[str, Sequence] | Sequence[str] = (), family: str = "gaussian",
-                max_iter: int = 25, tol: float = 1e-8) -> tuple[DataFrame, DataFrame]:
+                max_iter: int = 25, tol: float = 1e-6) -> tuple[DataFrame, DataFrame]:
     """M-01: one fit per group by reweighted least squares, for all groups at once.
 
     Returns (coefficients, fits). Equal design rows are merged first, so a model on factors works
@@ -153,9 +153,10 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
                     .when(F.col("_rank") < p, "columns left out").otherwise("ok").alias("status"))
     terms = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("term"), F.col("_beta").alias("b"),
                          F.col("_cov").alias("v"))
+    kept = F.col("c.v").isNotNull() & ~F.isnan("c.v")
     co = d.select(*by, "_phi", dfres.alias("_df"), F.explode(terms).alias("c")).select(
-        *by, F.col("c.term").alias("term"), F.when(~F.isnan("c.v"), F.col("c.b")).alias("estimate"),
-        F.when(~F.isnan("c.v"), F.sqrt(F.col("c.v") * F.col("_phi"))).alias("std_error"), "_df")
+        *by, F.col("c.term").alias("term"), F.when(kept, F.col("c.b")).alias("estimate"),
+        F.when(kept, F.sqrt(F.col("c.v") * F.col("_phi"))).alias("std_error"), "_df")
     stat = F.try_divide(F.col("estimate"), F.col("std_error"))
     pv = t_tail(stat, F.col("_df")) if family in ("gaussian", "quasipoisson") else normal_tail(stat)
     co = co.select(*by, "term", "estimate", "std_error", stat.alias("statistic"), pv.alias("p_value"),
@@ -176,7 +177,7 @@ def linear_design(levels: np.ndarray) -> np.ndarray:
 
 def two_way_loglinear(df: DataFrame, by: Sequence[str], site: str = "site", year: str = "year",
                       count: str = "count", design: Callable[[np.ndarray], np.ndarray] = factor_design,
-                      penalty: float = 0.0, max_iter: int = 40, tol: float = 1e-9) -> DataFrame:
+                      penalty: float = 0.0, max_iter: int = 40, tol: float = 1e-6) -> DataFrame:
     """M-02: log(count) ~ site + year terms, quasi-Poisson, one fit per group.
 
     Site effects are removed exactly by conditioning on the site totals. What is left depends only

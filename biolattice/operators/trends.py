@@ -30,7 +30,8 @@ def day_grid(df: DataFrame, species: str = "species", site: str = "site", date:
     d, n = _yearly_visits(df, species, site, date, count), F.col("_n")
     day = F.explode(F.sequence(F.lit(1), n)).alias("dayno")
     # the year's counts travel with the site as a small map, so the daily rows never shuffle
-    g = d.select(species, site, "year", "_n", "_anchors", "_w0", F.map_from_entries("_obs").alias("_m"), day)
+    g = d.select(species, site, "year", "_n", "_anchors", "_w0", F.map_from_entries("_obs").alias("_m"))
+    g = g.select("*", day)
     date = F.date_add(F.make_date("year", F.lit(1), F.lit(1)), F.col("dayno") - 1)
     anchor = F.array_contains("_anchors", F.col("dayno"))
     return g.select(species, site, "year", F.month(date).alias("month"), _week(F.col("dayno"), F.col("_w0")).alias("week"),

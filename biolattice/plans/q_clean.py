@@ -168,8 +168,8 @@ def clip_and_fill(spark, sf):
 
 @query("accretion_correct", "C-19", sql=f"""WITH {OBS}, u AS (SELECT visit, rotation % 3 AS block, max(kind IN ('PROMO', 'SMALL')) AS bright, max(size_class % 2) AS mus FROM obs WHERE rotation <= 3 GROUP BY ALL),
 l AS (SELECT o.*, rotation % 3 AS block FROM obs o WHERE rotation > 3)
-SELECT l.visit, l.rotation, l.part, l.site, sum(coalesce(least(100, CASE WHEN coalesce(bright, false) AND (kind NOT IN ('LARGE', 'MEDIUM') OR (floor(discount * 1000) <> 0 AND mus = 0)) THEN abundance / (100 - floor(discount * 1000)) * 100 ELSE abundance END), 0)) AS cover
-FROM l LEFT JOIN u ON u.visit = l.visit AND u.block = l.block GROUP BY ALL""", r="cover", i="visit rotation part site")
+SELECT l.visit, l.rotation, l.part, l.site, sum(CASE WHEN fix AND floor(discount * 1000) = 100 THEN 0 WHEN fix THEN least(100, abundance / (100 - floor(discount * 1000)) * 100) ELSE least(100, abundance) END) AS cover
+FROM (SELECT l.*, coalesce(bright, false) AND (kind NOT IN ('LARGE', 'MEDIUM') OR (floor(discount * 1000) <> 0 AND mus = 0)) AS fix FROM l LEFT JOIN u ON u.visit = l.visit AND u.block = l.block) l GROUP BY ALL""", r="cover", i="visit rotation part site")
 def accretion_correct(spark, sf):
     d = observations(spark, sf).select("visit", (F.col("rotation") % 3).alias("block"), "rotation", "part", "site", F.when(F.col("rotation") <= 3, "upper").otherwise("lower").alias("face"),
                                        F.col("kind").alias("colour"), F.floor(F.col("discount") * 1000).alias("covered"), (F.col("size_class") % 2).alias("mussels"),

@@ -48,16 +48,14 @@ def tree_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
     joins is the logarithm of the tree height.
     """
     up = edges.select(F.col(node).alias("a"), F.col(parent).alias("b")).filter("b IS NOT NULL")
-    reach = cut_lineage(up)
-    hop = reach
+    pair = lambda x, y: (x.withColumnRenamed("b", "m").join(y.withColumnRenamed("a", "m"), "m")
+                         .select(F.col("a").alias("a"), F.col("b").alias("b")))
+    reach = hop = cut_lineage(up)
     for _ in range(max_rounds):
-        hop = cut_lineage(hop.alias("x").join(hop.alias("y"), F.col("x.b") == F.col("y.a"))
-                          .select("x.a", "y.b").distinct())
+        hop = cut_lineage(pair(hop, hop).distinct())
         if hop.isEmpty():
             break
-        grown = (reach.alias("x").join(hop.alias("y"), F.col("x.b") == F.col("y.a"))
-                 .select("x.a", "y.b"))
-        reach = cut_lineage(reach.union(hop).union(grown).distinct())
+        reach = cut_lineage(reach.union(hop).union(pair(reach, hop)).distinct())
     tips = edges.filter(F.col(tip).isNotNull()).select(F.col(node).alias("a"), F.col(tip).alias("tip"))
     pairs = (tips.select("a", F.col("a").alias("b"), "tip")
              .union(tips.join(reach, "a").select("a", "b", "tip")))
