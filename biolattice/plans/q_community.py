@@ -15,7 +15,7 @@ tot AS (SELECT site, year, sum(n) AS t FROM per GROUP BY ALL), p AS (SELECT per.
 SELECT site, year, sum(n) AS number, count(*) AS species_richness, sum(p * p) AS simpson, 1 - sum(p * p) AS simpson_l,
   -sum(p * ln(p)) AS shannon, CASE WHEN count(*) > 1 THEN -sum(p * ln(p)) / ln(count(*)) END AS pielou,
   (1 - sum(p * p)) / exp(-sum(p * ln(p))) AS hill FROM p GROUP BY site, year""",
-       r="number:2 simpson simpson_l shannon pielou hill", i="site year species_richness")
+       r="number:2 simpson simpson_l shannon pielou hill", d=10, i="site year species_richness")
 def community_metrics(spark, sf):
     return op.community_metrics(observations(spark, sf), ["site", "year"], "species", "abundance")
 
@@ -113,7 +113,7 @@ t AS (SELECT cell, species, CAST(count(*) AS DOUBLE) AS n FROM c GROUP BY ALL),
 p AS (SELECT t.*, n0, n / n0 AS p FROM t JOIN tot USING (cell))
 SELECT cell, n0 AS n, count(*) AS sp, -sum(p * ln(p)) AS shannon, sum(p * p) AS simpson, max(p) AS maxp,
   CASE WHEN n0 >= 50 THEN {ES} END AS es, exp(-sum(p * ln(p))) AS hill_1, 1 / sum(p * p) AS hill_2, 1 / max(p) AS hill_inf
-FROM p GROUP BY cell, n0""", r="n:2 shannon simpson maxp es hill_1 hill_2 hill_inf", i="sp")
+FROM p GROUP BY cell, n0""", r="n:2 shannon simpson maxp es:8 hill_1 hill_2 hill_inf", d=10, i="sp")
 def grid_indicators(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_custkey").alias("sighting_id"), F.col("o_orderpriority").alias("kind"))
     d = op.assign_cell(sightings(spark, sf).drop("species"), 20.0).join(o, "sighting_id").withColumn("one", F.lit(1))
@@ -131,7 +131,7 @@ def equal_area_cell(spark, sf):
 SELECT site, year, count(*) AS richness, 1 - sum(p * p) AS gini_simpson, sum(p * p) AS simpson, -sum(p * ln(p)) AS shannon,
   (count(*) - 1) / ln(sum(n)) AS margalef, count(*) / sqrt(sum(n)) AS menhinick,
   (sum(n) - sqrt(sum(n * n))) / (sum(n) - sqrt(sum(n))) AS mcintosh FROM p GROUP BY site, year""",
-       r="gini_simpson simpson shannon margalef menhinick mcintosh", i="site year richness")
+       r="gini_simpson simpson shannon margalef menhinick mcintosh", d=10, i="site year richness")
 def species_diversity(spark, sf):
     return op.species_diversity(observations(spark, sf), ["site", "year"], number="abundance")
 
