@@ -3,10 +3,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, mixing, packing, sharding, simhash
+from . import exact, licenses, lines, lm, mixing, neighbours, packing, quality, sharding, simhash
 from .common import table, text_or_empty
 
 
+def op1_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     t = text_or_empty(d)
@@ -15,6 +27,14 @@ def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+def op6_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -31,5 +51,8 @@ def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_shuffle_shards, op7_entropy_mix, op8_chunk_recipes, op9_sum_of_squares_packing, op10_simhash_bytes)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_license_join, op2_pruned_graph, op3_attention_scores, op4_shuffle_shards, op5_line_join, op6_factorisation_machine,
+    op7_entropy_mix, op8_chunk_recipes, op9_sum_of_squares_packing, op10_simhash_bytes)}
+
+SQL: dict[str, str] = {"op1_license_join": licenses.scan_sql(), "op5_line_join": lines.report_sql()}

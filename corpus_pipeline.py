@@ -6,7 +6,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from biolattice.llm import mixing, packing, simhash
+from biolattice.llm import lines, mixing, packing, quality, simhash
+from biolattice.llm.common import table
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on `labels`, does not reject."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat an earlier line."""
+    return lines.dedup_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +35,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("mix_sources", mix_sources), ("pack_sequences", pack_sequences)]
+STAGES = [("quality_filter", quality_filter), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources),
+          ("pack_sequences", pack_sequences)]
 
 ORACLE_SQL = None
 
