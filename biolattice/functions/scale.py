@@ -43,27 +43,45 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
               .select(*df.columns))
 
 
-def value_bucket(v) -> Column:
-    """A step function that never decreases in v; about 0.4 % of the value wide."""
-    v = as_col(v).cast("double")
-    step = F.floor(F.ln(F.abs(v)) * 256) + 200000
-    return F.when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0)).cast("long")
+def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 16) -> DataFrame:
+    """big joined to a table with few rows for each key, such as an aggregate of big itself; keys may be empty.
+
+    A key may hold most of big: its rows are dealt over salts by their hash, and small is repeated for each salt,
+    so that no task gets a whole key. Spark still broadcasts small where it is small enough.
+    """
+    hashed = [F.col(f"`{c}`") for c, t in big.dtypes if "map<" not in t]
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
+def range_buckets(df: DataFrame, by: Sequence[str], value: str, name: str = "_b", parts: int = 128) -> DataFrame:
+    """df with an int column that never decreases in value within a group and cuts every group into up to
+    `parts` ranges of about equal numbers of rows, whatever the values' scale or outliers.
+
+    Range edges are quantile sketches, combined before the shuffle; equal values share a bucket.
+    """
+    v = F.col(value).cast("double")
+    at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    edges = df.groupBy(*by).agg(F.percentile_approx(v, at, F.lit(2000)).alias("_edges"))
+    out = join_small(df, edges, by, "left")
+    return out.withColumn(name, F.coalesce(F.size(F.filter("_edges", lambda e: e < v)), F.lit(0))).drop("_edges").select(*df.columns, name)
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
                     ) -> DataFrame:
     """Exact interpolated quantiles (the usual (n-1)p rule) per group.
 
-    Equal values are counted before the shuffle, groups are cut into value buckets, and only
-    the buckets that hold a wanted rank are sorted.
+    Equal values are counted before the shuffle, groups are cut into ranges of equal numbers of values, and
+    only the ranges that hold a wanted rank are sorted.
     """
     by = list(by)
     keys = by or ["_all"]
     src = df if by else df.withColumn("_all", F.lit(1))
     val = F.col(value).cast("double")
     counts = (src.filter(val.isNotNull() & ~F.isnan(val))
-                 .groupBy(*keys, val.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-                 .withColumn("_b", value_bucket("_v")))
+                 .groupBy(*keys, val.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    counts = range_buckets(counts, keys, "_v")
     w = W.partitionBy(*keys).orderBy("_b")
     ps = list(probs.items())
     edges = (counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
@@ -118,6 +136,11 @@ def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str
              .select(*df.columns, name))
 
 
+def value_index(df: DataFrame, by: Sequence[str], value: str, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
+    """0-based rank within by in the given order, which starts with the numeric column `value`."""
+    return ordered_index(range_buckets(df, by, value, "_range"), by, order, F.col("_range"), name).drop("_range")
+
+
 def dense_index(df: DataFrame, key: str, name: str = "idx", buckets: int = 4096) -> DataFrame:
     """Distinct keys numbered 0..n-1 in hash order; the same keys always get the same numbers."""
     return ordered_index(df.select(key).distinct(), [], [key],
@@ -125,7 +148,7 @@ def dense_index(df: DataFrame, key: str, name: str = "idx", buckets: int = 4096)
 
 
 def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
-                   carry: Sequence[str], prefix: str = "near_", buckets: int = 512) -> DataFrame:
+                   carry: Sequence[str], prefix: str = "near_", buckets: int = 128) -> DataFrame:
     """For each row the carried columns of the marked row of its group nearest in `order`.
 
     At equal distance the later marked row wins; among marked rows at one point the last in
@@ -141,12 +164,7 @@ def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
     near = F.struct(F.col("_o").alias("_p"), *[F.col(c) for c in carry])
     pts = (src.groupBy(*keys, "_o")
               .agg(F.max(F.when(F.col(marked), near)).alias("_m")))
-    span = pts.groupBy(*keys).agg(F.min("_o").alias("_mn"), F.max("_o").alias("_mx"))
-    pts = (pts.join(span, keys)
-              .withColumn("_b", F.when(F.col("_mx") > F.col("_mn"),
-                          F.floor((F.col("_o") - F.col("_mn")) / (F.col("_mx") - F.col("_mn"))
-                                  * buckets)).otherwise(F.lit(0)).cast("int"))
-              .drop("_mn", "_mx"))
+    pts = range_buckets(pts, keys, "_o", parts=buckets)
     wb = W.partitionBy(*keys).orderBy("_b")
     edge = (pts.groupBy(*keys, "_b").agg(F.max("_m").alias("_l"), F.min("_m").alias("_f"))
                .withColumn("_before", F.last("_l", True).over(wb.rowsBetween(W.unboundedPreceding, -1)))
@@ -212,18 +230,13 @@ def permuted_index(i, n, *key) -> Column:
 
 
 def previous_row(df: DataFrame, by: Sequence[str], order: str, carry: Sequence[str],
-                 prefix: str = "prev_", buckets: int = 512) -> DataFrame:
+                 prefix: str = "prev_", buckets: int = 128) -> DataFrame:
     """The carried columns of the row before each row of its group, across bucket edges."""
     by = list(by)
     keys = by or ["_all"]
     src = df if by else df.withColumn("_all", F.lit(1))
     src = src.withColumn("_o", F.col(order).cast("double"))
-    span = src.groupBy(*keys).agg(F.min("_o").alias("_mn"), F.max("_o").alias("_mx"))
-    d = (src.join(span, keys)
-            .withColumn("_b", F.when(F.col("_mx") > F.col("_mn"),
-                        F.floor((F.col("_o") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * buckets))
-                        .otherwise(F.lit(0)).cast("int"))
-            .withColumn("_s", F.struct("_o", *carry)))
+    d = range_buckets(src, keys, "_o", parts=buckets).withColumn("_s", F.struct("_o", *carry))
     wb = W.partitionBy(*keys).orderBy("_b")
     edge = (d.groupBy(*keys, "_b").agg(F.max("_s").alias("_l"))
              .withColumn("_before", F.lag("_l").over(wb)).select(*keys, "_b", "_before"))

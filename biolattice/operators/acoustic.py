@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scale import cut_lineage, exact_quantiles, nearest_marked
+from ..functions.scale import cut_lineage, exact_quantiles, join_small, nearest_marked
 
 # Confidence words with their risk in percent, effort and activity words, groups.
 CONFIDENCE = {"": 99, "POSSIBLE": 50, "PROBABLE": 10, "SUR": 1}
@@ -40,7 +40,7 @@ def extrapolate_ids(df: DataFrame, taxon: str = "taxon", valid: str = "id_valid"
         F.max(F.when(wrong, F.col(prob))).alias("_pw"), F.max(F.when(right, F.col(prob))).alias("_pr"),
         F.max_by(F.when(v, F.col(valid)), F.when(v, tie)).alias("_top"))
     # the validated score just above the highest error
-    above = (df.filter(v).join(g.select(taxon, "_pw"), taxon).filter(F.col(prob) > F.col("_pw"))
+    above = (join_small(df.filter(v), g.select(taxon, "_pw"), [taxon]).filter(F.col(prob) > F.col("_pw"))
                .groupBy(taxon).agg(F.min(prob).alias("_next")))
     g = (g.join(above, taxon, "left")
           .withColumn("_case", F.when(F.col("_v1").isNull(), 0).when(F.col("_v1") == F.col("_v2"), 1)
@@ -48,7 +48,7 @@ def extrapolate_ids(df: DataFrame, taxon: str = "taxon", valid: str = "id_valid"
           .withColumn("_thr", (F.col("_pw") + F.coalesce(F.col("_next"), F.col("_pw"))) / 2)
           .select(taxon, "_case", "_v1", "_top", "_thr"))
     near = nearest_marked(df.withColumn("_mark", v), [taxon], time, "_mark", [valid], "_near_")
-    d = near.join(g, taxon)
+    d = join_small(near, g, [taxon])
     sure = (F.col("_case") == 2) & (F.col(prob) > F.col("_thr"))
     return (d.withColumn("id_extrap", F.when(F.col("_case") == 0, F.col(taxon)).when(F.col("_case") == 1, F.col("_v1"))
                          .when(sure, F.col("_top")).otherwise(F.col(f"_near_{valid}")))
@@ -171,7 +171,7 @@ def stereo_channel(df: DataFrame, file: str = "file", end: str = "end_time", che
     side = d.groupBy("right_mic").agg((F.max(end) > 0.5).alias("direct"))
     if check and side.filter("direct").count() > 1:
         raise ValueError("both channels look like direct recordings")
-    return d.join(side, "right_mic").withColumn(
+    return join_small(d, side, ["right_mic"]).withColumn(
         "channel", F.when(F.col("direct"), "Direct").otherwise("Expansion"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hill_number, ln_choose_ratio, safe_div
-from ..functions.scale import cut_lineage, dense_index, exact_quantiles, exact_quantiles_many
+from ..functions.scale import cut_lineage, dense_index, exact_quantiles, exact_quantiles_many, join_small
 from .joins import pairs_within
 
 
@@ -251,7 +251,7 @@ def turned_block_score(df: DataFrame, group: Sequence[str], turned: str = "turne
 
 
 def rarefy(df: DataFrame, sizes: Sequence[int] | None = None, unit: Sequence[str] = ("site",),
-           species: str = "species", number: str = "number", step: int = 10, max_size: int | None = None) -> DataFrame:
+           species: str = "species", number: str = "number", step: int = 10) -> DataFrame:
     """O-13: rarefaction curve: expected species in m draws for every m up to the unit's total.
 
     Species of equal count are one row, so the work per unit grows with distinct counts. The sizes
@@ -262,10 +262,9 @@ def rarefy(df: DataFrame, sizes: Sequence[int] | None = None, unit: Sequence[str
     cells = t.groupBy(*unit).agg(F.sum("_n").alias("_tot"))
     same = t.groupBy(*unit, "_n").agg(F.count(F.lit(1)).alias("_times")).join(cells, unit)
     if sizes is None:
-        top = F.col("_tot") if max_size is None else F.least(F.col("_tot"), F.lit(max_size))
-        sizes_col = F.sequence(F.lit(1), top.cast("int"), F.lit(step))
+        sizes_col = F.sequence(F.lit(1).cast("long"), F.col("_tot").cast("long"), F.lit(step).cast("long"))
     else:
-        sizes_col = F.array(*[F.lit(int(m)) for m in sizes])
+        sizes_col = F.array(*[F.lit(int(m)).cast("long") for m in sizes])
     e = 1 - F.coalesce(F.exp(ln_choose_ratio("_tot", "_n", "sample_size")), F.lit(0.0))
     return (same.withColumn("sample_size", F.explode(sizes_col)).filter(F.col("sample_size") <= F.col("_tot"))
                 .groupBy(*unit, "sample_size").agg(F.sum(e * F.col("_times")).alias("expected_species")))
@@ -299,7 +298,7 @@ def site_contributions(y: DataFrame, by: Sequence[str], site: str, species: str,
     s = (y.join(sp.select(*by, species, "_m"), [*by, species])
           .groupBy(*by, site).agg(F.sum(F.col("_y") * F.col("_y") - 2 * F.col("_y") * F.col("_m")).alias("_d")))
     if by:
-        s = s.join(tot, by)
+        s = join_small(s, tot, by)
         return s.select(*by, site, ((F.col("_d") + F.col("_m2")) / F.col("_ss")).alias("lcbd"))
     m2, ss = tot.agg(F.first("_m2")).scalar(), tot.agg(F.first("_ss")).scalar()
     return s.select(site, ((F.col("_d") + m2) / ss).alias("lcbd"))

@@ -49,13 +49,22 @@ def annotations_to_yolo(df: DataFrame, klass: str = "class_id", box: str = "bbox
     return df.withColumn("line", line)
 
 
-def profile_table(df: DataFrame, max_codes: int = 100) -> DataFrame:
-    """O-28: per column name, class, number of values and of distinct values, range; and for text
-    columns with few distinct values the sorted list of codes (NULL when there are more)."""
+def profile_codes(df: DataFrame) -> DataFrame:
+    """O-28: the codes of every text column in long form: attribute, code, n; all of them."""
+    text = [c for c, t in df.dtypes if t == "string"]
+    if not text:
+        return df.sparkSession.createDataFrame([], "attribute string, code string, n long")
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).alias("code")) for c in text])))
+    return cells.filter("code IS NOT NULL").groupBy("attribute", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def profile_table(df: DataFrame) -> DataFrame:
+    """O-28: per column name, class, number of values and of distinct values, and range. The codes of
+    text columns are rows of their own, see profile_codes."""
     kinds = dict(df.dtypes)
     aggs = []
     for i, c in enumerate(df.columns):
-        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c).alias(f"d{i}"),
+        aggs += [F.count(c).alias(f"n{i}"), F.count_distinct(c).alias(f"d{i}"),
                  F.min(F.col(c).cast("string") if kinds[c] != "string" else F.col(c)).alias(f"a{i}"),
                  F.max(F.col(c).cast("string") if kinds[c] != "string" else F.col(c)).alias(f"z{i}")]
         if kinds[c] not in ("string", "date", "timestamp", "timestamp_ntz", "boolean") and not kinds[c].startswith(("array", "map", "struct")):
@@ -66,16 +75,7 @@ def profile_table(df: DataFrame, max_codes: int = 100) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(c).alias("attribute"), F.lit(klass(kinds[c])).alias("class"), F.col(f"n{i}").alias("n"),
                               F.col(f"d{i}").alias("n_distinct"), F.col(f"a{i}").alias("min"), F.col(f"z{i}").alias("max"))
                      for i, c in enumerate(df.columns)])
-    out = df.agg(*aggs).select(F.inline(rows))
-    text = [c for c in df.columns if kinds[c] == "string"]
-    if not text:
-        return out.withColumn("codes", F.lit(None).cast("array<string>"))
-    # codes: distinct (column, value) pairs first, at most max_codes + 1 per column are gathered
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).alias("v")) for c in text])).alias("x")).select("x.*")
-    vals = cells.filter("v IS NOT NULL").distinct()
-    few = vals.groupBy("attribute").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= max_codes).select("attribute")
-    codes = vals.join(few, "attribute", "left_semi").groupBy("attribute").agg(F.array_sort(F.collect_list("v")).alias("codes"))
-    return out.join(codes, "attribute", "left")
+    return df.agg(*aggs).select(F.inline(rows))
 
 
 def geographic_coverage(df: DataFrame, lat: str = "lat", lon: str = "lon", site: str = "site") -> DataFrame:

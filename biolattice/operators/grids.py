@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scale import nearest_marked, ordered_index, value_bucket
+from ..functions.scale import nearest_marked, value_index
 from .joins import nearest_point
 
 
@@ -108,7 +108,7 @@ def index_select(df: DataFrame, dim: str, start: int, stop: int) -> DataFrame:
     """R-06: rows whose coordinate is at position start .. stop - 1 among the sorted values."""
     vals = df.select(dim).distinct()
     num = F.unix_micros(F.col(dim)) if dict(df.dtypes)[dim].startswith("timestamp") else F.col(dim)
-    idx = ordered_index(vals, [], [dim], value_bucket(num), "_i").filter(F.col("_i").between(start, stop - 1))
+    idx = value_index(vals.withColumn("_num", num), [], "_num", [dim], "_i").filter(F.col("_i").between(start, stop - 1))
     return df.join(idx.select(dim), dim, "left_semi")
 
 
@@ -164,7 +164,7 @@ def dimension_summary(df: DataFrame, dims: Sequence[str], variables: Mapping[str
 def coordinate_values(df: DataFrame, dim: str) -> DataFrame:
     """R-10: position and value of each coordinate."""
     num = F.unix_micros(F.col(dim)) if dict(df.dtypes)[dim].startswith("timestamp") else F.col(dim)
-    return ordered_index(df.select(dim).distinct(), [], [dim], value_bucket(num), "position").select("position", F.col(dim).alias("value"))
+    return value_index(df.select(dim).distinct().withColumn("_num", num), [], "_num", [dim], "position").select("position", F.col(dim).alias("value"))
 
 
 def bracketing_cells(df: DataFrame, west: float, east: float, south: float, north: float, lat: str = "lat", lon: str = "lon") -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.scale import cut_lineage, exact_quantiles
+from ..functions.scale import cut_lineage, exact_quantiles, join_small
 from ..functions.tails import f_tail, normal_tail, t_tail
 
 Z95 = 1.959963984540054
@@ -126,7 +126,7 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
             yield pd.DataFrame(rows, columns=[f.name for f in out_t])
 
     for _ in range(max_iter):
-        s = (cells.join(state.select(*keys, "_beta"), keys).groupBy(*keys, "_beta")
+        s = (join_small(cells, state.select(*keys, "_beta"), keys).groupBy(*keys, "_beta")
                   .agg(*[F.sum(c).alias(f"_h{i}") for i, c in enumerate(cols)],
                        *[F.sum(c).alias(f"_g{i}") for i, c in enumerate(resid)],
                        F.sum(dev).alias("_dev"), F.sum(pear).alias("_pear"))
@@ -281,7 +281,7 @@ def two_way_loglinear(df: DataFrame, by: Sequence[str], site: str = "site", year
 
     state = cut_lineage(lev.select(*keys, "levels", "totals").mapInPandas(start, state_t))
     for _ in range(max_iter):
-        sums = (compact.join(lev.select(*keys, "levels").join(state.select(*keys, "_beta"), keys), keys)
+        sums = (join_small(compact, lev.select(*keys, "levels").join(state.select(*keys, "_beta"), keys), keys)
                        .select(*keys, "levels", "_beta", "_pat", "_cs", "_qs").mapInPandas(partial, part_t)
                        .groupBy(*keys, "_i").agg(F.sum("_v").alias("_v")).groupBy(*keys)
                        .agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
@@ -343,7 +343,7 @@ def rate_models(df: DataFrame, fits: DataFrame, metric: str, by: Sequence[str],
                         (F.col("_same") > 0.9 * prod).alias("_even")))
     rows = whole.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.sum("_gap").alias("_g"), F.avg(m).alias("_mean"),
                                   F.stddev_samp(m).alias("_sd"), F.avg((m == 0).cast("double")).alias("_z"))
-    far = (whole.join(rows.select(*by, "_mean", "_sd"), by).groupBy(*by)
+    far = (join_small(whole, rows.select(*by, "_mean", "_sd"), by).groupBy(*by)
                 .agg(F.avg((F.abs(m - F.col("_mean")) > 4 * F.col("_sd")).cast("double")).alias("_far")))
     d = plan.join(rows, by).join(far, by).join(fits.select(*by, "pearson_ratio", "df_residual"), by)
     if random_effect:
@@ -408,7 +408,7 @@ def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
     """M-10: F test on absolute deviations from group medians."""
     med = exact_quantiles(df, [group], value, {"_med": .5})
-    z = df.filter(F.col(value).isNotNull()).join(med, group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
+    z = join_small(df.filter(F.col(value).isNotNull()), med, [group]).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
     g = z.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("_z").alias("m"),
                              F.coalesce(F.var_pop("_z"), F.lit(0.0)).alias("v"))
     t = g.agg(F.count(F.lit(1)).cast("double").alias("k"), F.sum("n").alias("nn"), F.sum(F.col("n") * F.col("v")).alias("w"),
@@ -425,7 +425,7 @@ def median_and_dispersion(df: DataFrame, value: str, species: str = "species") -
     q = exact_quantiles(df, [species], value, {"q1": .25, "median": .5, "q3": .75})
     i = F.col("q3") - F.col("q1")
     q = q.withColumn("low", F.col("q1") - 1.5 * i).withColumn("high", F.col("q3") + 1.5 * i)
-    out = df.join(q, species).groupBy(species).agg(
+    out = join_small(df, q, [species]).groupBy(species).agg(
         F.count_if((F.col(value) < F.col("low")) | (F.col(value) > F.col("high"))).alias("outliers"))
     return q.join(out, species)
 

@@ -94,6 +94,17 @@ def closest_bands(wavelengths: Mapping[str, float], wanted: Mapping[str, float]
     return {w: min(wavelengths, key=lambda b: abs(wavelengths[b] - v)) for w, v in wanted.items()}
 
 
+def nearest_bands(spectra: DataFrame, by: Sequence[str], band: str = "band", wavelength: str = "wavelength", value: str = "value",
+                  order: str | None = None, wanted: Mapping[str, float] = BAND_WAVELENGTHS) -> DataFrame:
+    """R-12 on data: for every spectrum (rows of band, wavelength, value) and reference band the band of nearest wavelength, the
+    first in `order` on ties: by, wanted, band, value. One partial aggregate."""
+    ref = F.array(*[F.struct(F.lit(n).alias("wanted"), F.lit(float(w)).alias("_w")) for n, w in wanted.items()])
+    d = spectra.select(*by, band, wavelength, value, *([order] if order else []), F.inline(ref))
+    first = F.struct(F.abs(F.col(wavelength) - F.col("_w")), F.col(order or band))
+    return (d.groupBy(*by, "wanted").agg(F.min_by(F.struct(F.col(band), F.col(value)), first).alias("_b"))
+             .select(*by, "wanted", F.col(f"_b.{band}").alias("band"), F.col(f"_b.{value}").alias("value")))
+
+
 def index_from_expression(df: DataFrame, text: str, out: str = "index") -> DataFrame:
     """R-13: any band formula."""
     return df.withColumn(out, formula(text))

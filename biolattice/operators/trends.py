@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import area_between
-from ..functions.scale import exact_quantiles, ordered_index, previous_row, value_bucket
+from ..functions.scale import exact_quantiles, join_small, previous_row, value_index
 from ..functions.tails import t_tail
 from .community import weighted_geometric_mean
 from .models import Z95, factor_design, linear_design, two_way_loglinear
@@ -120,16 +120,6 @@ def flight_curve(visits: DataFrame, species: str = "species", site: str = "site"
                                                  (F.col("_f") / F.col("_s")).alias("nm"))
 
 
-def imputed_counts(grid: DataFrame, curve: DataFrame, species: str = "species", site: str = "site") -> DataFrame:
-    """Site level sum(count) / sum(nm) over counted days with nm > 0; missing days are filled."""
-    d = (grid.join(curve.select(species, "year", "dayno", "nm"), [species, "year", "dayno"], "left")
-             .withColumn("_c", F.when(F.col("nm") != 0, F.col("count"))))
-    lv = (d.filter(F.col("_c").isNotNull() & (F.col("nm") > 0)).groupBy(species, site, "year")
-           .agg((F.sum("_c") / F.sum("nm")).alias("_level")))
-    return d.join(lv, [species, site, "year"], "left").withColumn(
-        "count_imputed", F.coalesce(F.col("_c"), F.col("_level") * F.col("nm")))
-
-
 def _year_curve(curve: DataFrame, species: str) -> DataFrame:
     """The curve as one row per species and year: nm per week, and the Thursdays with their nm."""
     jan1 = F.weekday(F.make_date("year", F.lit(1), F.lit(1)))
@@ -229,10 +219,10 @@ def autocorrelation(df: DataFrame, value: str, order: str, by: Sequence[str] = (
     """
     by = list(by)
     d = df.filter(F.col(value).isNotNull()).select(*by, F.col(order).cast("double").alias("_o"), F.col(value).cast("double").alias("_v"))
-    d = ordered_index(d, by, ["_o", "_v"], value_bucket("_o"), "_i")
+    d = value_index(d, by, "_o", ["_o", "_v"], "_i")
     g = d.groupBy(*by).agg(F.avg("_v").alias("_m"), F.count(F.lit(1)).alias("n"), (F.var_pop("_v") * F.count(F.lit(1))).alias("_ss"))
     if by:
-        d = d.join(g.select(*by, "_m"), by).withColumn("_v", F.col("_v") - F.col("_m")).drop("_m")
+        d = join_small(d, g.select(*by, "_m"), by).withColumn("_v", F.col("_v") - F.col("_m")).drop("_m")
     else:
         d = d.withColumn("_v", F.col("_v") - g.select("_m").scalar())
     lagged = d.select(*by, F.col("_v").alias("_w"), F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag"), "_i")
@@ -329,15 +319,15 @@ def group_index(annual: DataFrame, trend: DataFrame, groups: DataFrame, bias: Da
     """T-13: weighted geometric mean of the species of a group per year, and each group's slope.
 
     An uncertain species weighs the bias at the largest threshold not above its median occupancy,
-    a reliable one 1; no upper bound means 0. `bias` has columns threshold, bias (a short list).
+    a reliable one 1; no upper bound means 0. `bias` has columns threshold, bias.
     """
     d = annual.join(trend.select(species, "valid", "median_occupied"), species).join(groups.select(species, group), species)
     if bias is not None:
-        steps = sorted((float(r["threshold"]), float(r["bias"])) for r in bias.limit(1000).collect())
-        w = F.lit(None).cast("double")
-        for th, b in reversed(steps):
-            w = F.coalesce(w, F.when(F.col("median_occupied") >= th, F.lit(b)))
-        weight = F.when(F.col("valid") == "Incertain", w).otherwise(1.0)
+        step = F.struct(F.col("threshold").cast("double").alias("t"), F.col("bias").cast("double").alias("b"))
+        steps = bias.agg(F.array_sort(F.collect_list(step)).alias("_steps"))  # the list is one sorted value for all rows
+        below = F.filter("_steps", lambda s: s["t"] <= F.col("median_occupied"))
+        d = join_small(d, steps, []).withColumn("_w", F.when(F.size(below) > 0, F.element_at(below, -1)["b"])).drop("_steps")
+        weight = F.when(F.col("valid") == "Incertain", F.col("_w")).otherwise(1.0)
     else:
         weight = F.lit(1.0)
     d = d.withColumn("weight", F.when(F.col("ci_high").isNull(), 0.0).otherwise(weight)).withColumn(

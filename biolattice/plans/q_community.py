@@ -159,12 +159,12 @@ def turned_block_score(spark, sf):
 
 
 @query("rarefaction", "O-13", sql=f"""WITH {OBS}, t AS (SELECT site, kind, CAST(count(*) AS DOUBLE) AS n FROM obs GROUP BY ALL),
-tot AS (SELECT site, sum(n) AS n0 FROM t GROUP BY ALL), m AS (SELECT unnest([1, 11, 21, 31, 41]) AS m)
-SELECT site, m AS sample_size, sum(1 - list_reduce(list_prepend(1.0::DOUBLE, [CASE WHEN n0 - n >= m THEN (n0 - n - j) / (n0 - j) ELSE 0 END FOR j IN range(0, m)]), lambda x, y: x * y)) AS expected_species
-FROM t JOIN tot USING (site) CROSS JOIN m WHERE n0 >= m GROUP BY site, m""", r="expected_species", i="site sample_size")
+tot AS (SELECT site, sum(n) AS n0 FROM t GROUP BY ALL), m AS (SELECT site, n0, unnest(range(1, CAST(n0 AS BIGINT) + 1, 10)) AS m FROM tot)
+SELECT site, m AS sample_size, sum(1 - CASE WHEN n0 - n >= m THEN exp(lgamma(n0 - n + 1) - lgamma(n0 - n - m + 1) - lgamma(n0 + 1) + lgamma(n0 - m + 1)) ELSE 0 END) AS expected_species
+FROM t JOIN m USING (site) GROUP BY site, m""", r="expected_species", i="site sample_size")
 def rarefaction(spark, sf):
     d = observations(spark, sf).withColumn("one", F.lit(1))
-    return op.rarefy(d, unit=["site"], species="kind", number="one", step=10, max_size=50)
+    return op.rarefy(d, unit=["site"], species="kind", number="one", step=10)
 
 
 @query("location_summary", "O-14", sql=f"""WITH {SIGHTINGS} SELECT nation, min(lat) AS lat_min, max(lat) AS lat_max, min(lon) AS lon_min, max(lon) AS lon_max,
@@ -340,13 +340,21 @@ def annotations_yolo(spark, sf):
     return coverage.annotations_to_yolo(_boxes(spark, sf)).select("position", "line")
 
 
+@query("profile_codes", "O-28", sql="""SELECT 'o_orderstatus' AS attribute, o_orderstatus AS code, count(*) AS n FROM orders GROUP BY ALL
+UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL UNION ALL SELECT 'p_name', p_name, count(*) FROM part GROUP BY ALL""", i="n")
+def profile_codes(spark, sf):
+    o, p = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority"), table(spark, sf, "part").select("p_name")
+    return coverage.profile_codes(o).union(coverage.profile_codes(p))
+
+
 @query("profile_table", "O-28", sql="""
-SELECT 'o_orderstatus' AS attribute, 'character' AS class, count(o_orderstatus) AS n, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS codes FROM orders
-UNION ALL SELECT 'o_orderpriority', 'character', count(o_orderpriority), array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') FROM orders
-UNION ALL SELECT 'o_totalprice', 'numeric', count(o_totalprice), NULL FROM orders UNION ALL SELECT 'o_orderdate', 'Date', count(o_orderdate), NULL FROM orders""", i="n")
+SELECT 'o_orderstatus' AS attribute, 'character' AS class, count(o_orderstatus) AS n, count(DISTINCT o_orderstatus) AS n_distinct, min(o_orderstatus) AS min, max(o_orderstatus) AS max FROM orders
+UNION ALL SELECT 'o_orderpriority', 'character', count(o_orderpriority), count(DISTINCT o_orderpriority), min(o_orderpriority), max(o_orderpriority) FROM orders
+UNION ALL SELECT 'o_custkey', 'numeric', count(o_custkey), count(DISTINCT o_custkey), CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM orders
+UNION ALL SELECT 'day', 'Date', count(o_orderdate), count(DISTINCT CAST(o_orderdate AS DATE)), CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR), CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) FROM orders""", i="n n_distinct")
 def profile_table(spark, sf):
-    d = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
-    return coverage.profile_table(d).select("attribute", "class", "n", F.array_join("codes", ",").alias("codes"))
+    d = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    return coverage.profile_table(d)
 
 
 @query("geographic_coverage", "O-29", sql=f"WITH {SIGHTINGS} SELECT species AS site, max(lat) AS north, min(lat) AS south, max(lon) AS east, min(lon) AS west FROM sightings GROUP BY species",

@@ -120,12 +120,14 @@ def spectral_indices(spark, sf):
     return px.spectral_indices(pixels(spark, sf), NAMES).drop("code", "priority", "LAI_SAVI")
 
 
-@query("closest_bands", "R-12", sql="""WITH w AS (SELECT n, w FROM (VALUES ('B2', 496.6), ('B3', 560.0), ('B4', 664.5), ('B5', 703.9), ('B6', 740.2), ('B7', 782.5), ('B8', 835.1), ('B8A', 864.8), ('B11', 1613.7), ('B12', 2202.4)) t(n, w)),
-s AS (SELECT i, 400 + i * 29.0::DOUBLE AS x FROM range(0, (SELECT max(len(embedding)) FROM embeddings)) r(i)) SELECT n AS wanted, 'e' || arg_min(i, abs(x - w)) AS band FROM w, s GROUP BY n""")
+@query("closest_bands", "R-12", i="vec_id", sql="""WITH w AS (SELECT n, w FROM (VALUES ('B2', 496.6), ('B3', 560.0), ('B4', 664.5), ('B5', 703.9), ('B6', 740.2), ('B7', 782.5), ('B8', 835.1), ('B8A', 864.8), ('B11', 1613.7), ('B12', 2202.4)) t(n, w)),
+s AS (SELECT vec_id, i, 400 + (vec_id % 7) * 3 + i * 29.0::DOUBLE AS x, v FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS i FROM embeddings)),
+k AS (SELECT vec_id, n, i, v, row_number() OVER (PARTITION BY vec_id, n ORDER BY abs(x - w), i) AS r FROM w, s)
+SELECT vec_id, n AS wanted, 'e' || i AS band, CAST(v AS DOUBLE) AS value FROM k WHERE r = 1""", r="value")
 def closest_bands(spark, sf):
-    size = table(spark, sf, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
-    m = px.closest_bands({f"e{i}": 400 + i * 29.0 for i in range(size)})
-    return spark.createDataFrame(list(m.items()), "wanted string, band string")
+    spectra = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "value")).select(
+        "vec_id", F.concat(F.lit("e"), F.col("i").cast("string")).alias("band"), "i", (400 + F.col("vec_id") % 7 * 3 + F.col("i") * 29.0).alias("wavelength"), "value")
+    return px.nearest_bands(spectra, ["vec_id"], order="i").select("vec_id", "wanted", "band", "value")
 
 
 @query("index_from_expression", "R-13", sql=f"WITH {PIX} SELECT row, col, (B8 - B4) / nullif(B8 + B4 + 0.5, 0) AS index FROM pix", r="index", i="row col")

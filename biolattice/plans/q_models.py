@@ -47,12 +47,18 @@ def two_way_loglinear(spark, sf):
     return f.select("species", "n_obs", "n_sites", "df_residual", "dispersion", "deviance", "null_deviance", "converged")
 
 
-@query("choose_family", "M-03", sql="SELECT column_name AS metric, CASE WHEN column_name = 'presence_absence' THEN 'binomial' WHEN column_name = 'size_class' THEN 'poisson' ELSE 'gaussian' END AS family "
-       "FROM (SELECT unnest(['presence_absence', 'size_class', 'abundance']) AS column_name) WHERE (SELECT count(*) FROM lineitem) > 0")
+@query("choose_family", "M-03", sql=f"""WITH {OBS}, m AS (SELECT count(*) AS n, avg(CASE WHEN discount > 0.05 THEN 1.0 ELSE 0.0 END::DOUBLE) AS p, avg(size_class) AS z, avg(abundance) AS a, stddev_samp(abundance) AS s FROM obs)
+SELECT 'presence_absence' AS metric, 'binomial' AS family, n, ln(p / (1 - p)) AS estimate, sqrt(1 / (n * p * (1 - p))) AS std_error FROM m
+UNION ALL SELECT 'size_class', 'poisson', n, ln(z), sqrt(1 / (n * z)) FROM m UNION ALL SELECT 'abundance', 'gaussian', n, a, s / sqrt(n) FROM m""", r="estimate std_error", i="n")
 def choose_family(spark, sf):
-    d = observations(spark, sf).withColumn("presence_absence", (F.col("discount") > 0.05).cast("int"))
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(op.choose_family(d, m)).alias("family")) for m in ("presence_absence", "size_class", "abundance")])
-    return d.agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(F.inline(rows))
+    d = cut_lineage(observations(spark, sf).withColumn("presence_absence", (F.col("discount") > 0.05).cast("int")).select("presence_absence", "size_class", "abundance"))
+    out = None
+    for m in d.columns:
+        family = op.choose_family(d, m)
+        co, fits = op.grouped_glm(d, m, [], family=family)
+        one = co.select(F.lit(m).alias("metric"), F.lit(family).alias("family"), fits.select("n").scalar().alias("n"), "estimate", "std_error")
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query("rate_models", "M-04")
@@ -114,14 +120,12 @@ def levene(spark, sf):
     return op.levene(observations(spark, sf), "kind", "biomass").drop("p_value")
 
 
-@query("ks_normal", "M-11", sql=f"""WITH {OBS}, s AS (SELECT (abundance - 25) / 15 AS x FROM obs), r AS (SELECT x, count(*) AS c FROM s GROUP BY x), k AS (SELECT x, sum(c) OVER (ORDER BY x) AS hi, sum(c) OVER () AS n, c FROM r)
-SELECT count(*) AS points, max(n) AS n FROM k""", i="points n")
+@query("ks_normal", "M-11", sql=f"""WITH {OBS}, r AS (SELECT (abundance - 25) / 15 AS x, count(*) AS c FROM obs GROUP BY ALL),
+k AS (SELECT x, CAST(sum(c) OVER (ORDER BY x) AS DOUBLE) / sum(c) OVER () AS hi, CAST(sum(c) OVER (ORDER BY x) - c AS DOUBLE) / sum(c) OVER () AS lo,
+  0.5 + list_sum([pow(-1, j) * pow(x, 2 * j + 1) / (pow(2, j) * gamma(j + 1) * (2 * j + 1)) FOR j IN range(0, 40)]) / sqrt(2 * pi()) AS f FROM r)
+SELECT max(greatest(hi - f, f - lo)) AS statistic FROM k""", r="statistic")
 def ks_normal(spark, sf):
-    d = observations(spark, sf).select(((F.col("abundance") - 25) / 15).alias("x"))
-    t = dist.ks_normal(d, "x")
-    points = d.agg(F.count_distinct("x")).scalar()
-    n = d.agg(F.count("x")).scalar()
-    return t.filter("statistic BETWEEN 0 AND 1").select(points.alias("points"), n.alias("n"))
+    return dist.ks_normal(observations(spark, sf).select(((F.col("abundance") - 25) / 15).alias("x")), "x").select("statistic")
 
 
 @query("ks_statistic", "M-11")

@@ -5,8 +5,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
-    """S-07: one row per record, the sequence joined over its lines."""
-    rec = spark.read.option("lineSep", ">").text(path).filter(F.trim("value") != "")
+    """S-07: one row per record, the sequence joined over its lines.
+
+    A record begins at a `>` that begins a line; a `>` elsewhere belongs to the name or sequence it stands in.
+    """
+    rec = spark.read.option("lineSep", "\n>").text(path).filter(F.trim("value") != "")
+    rec = rec.withColumn("value", F.regexp_replace("value", r"^\s*>", ""))  # the mark of a file's first record
     lines = F.split("value", "\r?\n")
     return rec.select(F.trim(lines[0]).alias("name"),
                       F.regexp_replace(F.array_join(F.slice(lines, 2, F.size(lines)), ""), r"\s", "")

@@ -1,12 +1,14 @@
 """Scale helpers against brute force, and tails against published values."""
 import numpy as np
 import pandas as pd
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from biolattice.functions import (MissingColumns, dense_index, exact_quantiles, first_per_key, ln_choose_ratio, nearest_marked,
                                   ordered_index, permuted_index, previous_row, require_columns, week_of_year)
-from biolattice.functions.scale import value_bucket
+from biolattice.functions.scale import join_small, range_buckets, value_index
 from biolattice.functions.tails import f_upper, t_two_sided, z_two_sided
 
 
@@ -68,7 +70,7 @@ def test_indexes_are_dense_and_ordered(spark):
     p = frame(4)
     d = dense_index(spark.createDataFrame(p), "id").toPandas()
     assert sorted(d.idx) == list(range(len(p)))
-    o = ordered_index(spark.createDataFrame(p), ["g"], ["v", "id"], value_bucket("v")).toPandas().sort_values(["g", "v", "id"])
+    o = value_index(spark.createDataFrame(p), ["g"], "v", ["v", "id"]).toPandas().sort_values(["g", "v", "id"])
     assert (o.idx == o.groupby("g").cumcount()).all()
 
 
@@ -90,6 +92,35 @@ def test_choose_ratio(spark):
     assert got.r == pytest.approx(35 / 210) and got.n is None
 
 
+@pytest.mark.parametrize("total,ni,n", [(10_000_000, 3, 4_000_000), (10_000_000, 5000, 2000), (10_000_000, 4_000_000, 7), (30, 2, 28), (12, 1, 1), (1000, 500, 500), (3, 0, 2)])
+def test_choose_ratio_of_large_counts(spark, total, ni, n):
+    got = spark.range(1).select(ln_choose_ratio(F.lit(total), F.lit(ni), F.lit(n)).alias("r")).first().r
+    small, large = min(ni, n), max(ni, n)
+    exact = sum(math.log((total - large - j) / (total - j)) for j in range(small))
+    assert got == pytest.approx(exact, rel=1e-9, abs=1e-10)
+
+
+@pytest.mark.parametrize("shape", ["narrow", "outlier", "hot"])
+def test_range_buckets_split_any_scale(spark, shape):
+    d = spark.range(5000)
+    v = {"narrow": 1.7e9 + F.col("id") * 100, "outlier": F.when(F.col("id") == 0, 1e12).otherwise(F.col("id") * 1.0), "hot": F.col("id") * 1.0}[shape]
+    g = F.when(F.col("id") % 100 == 0, "rare").otherwise("hot") if shape == "hot" else F.lit("one")
+    b = range_buckets(d.select(g.alias("g"), v.alias("v")), ["g"], "v").groupBy("g", "_b").count().toPandas()
+    top = b[b.g != "rare"]
+    assert len(top) > 60 and top["count"].max() < 4 * top["count"].mean()
+
+
+def test_join_small_is_a_join_and_splits_a_key(spark):
+    big = spark.range(1000).selectExpr("id", "case when id < 990 then 'a' when id < 999 then 'b' end as k")
+    small = big.groupBy("k").count()
+    got = join_small(big, small, ["k"]).toPandas()
+    assert len(got) == 999 and (got[got.k == "a"]["count"] == 990).all()
+    assert join_small(big, small.filter("k = 'b'"), ["k"], "left_anti").count() == 991
+    assert join_small(big, big.agg(F.max("id").alias("m")), []).filter("m = 999").count() == 1000
+    plan = join_small(big, small, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+
+
 def test_week_number(spark):
     d = spark.sql("SELECT explode(sequence(date'2015-12-25', date'2018-01-10')) AS d").select("d", week_of_year("d").alias("w")).toPandas()
     assert all(int(x.d.strftime("%W")) == x.w for x in d.itertuples())
