@@ -1,6 +1,8 @@
 """Column expressions shared by several operators."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 EARTH_RADIUS_M = 6371010.0
@@ -43,6 +45,11 @@ def ln_choose_ratio(total, ni, n) -> Column:
     return F.when(n == 0, F.lit(0.0)).when(total - ni >= n, value)
 
 
+def ln_gamma(z: Column) -> Column:
+    """ln gamma(z) for z > 0."""
+    return (z - 0.5) * F.ln(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + stirling_rest(z)
+
+
 def stirling_rest(z: Column, least: int = 12) -> Column:
     """ln gamma(z) less ((z - 1/2) ln z - z + ln(2 pi)/2), for z > 0; below `least` by steps of one."""
     series = lambda x: 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0))) - 1 / (1680 * F.pow(x, F.lit(7.0)))

@@ -31,6 +31,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a checkpointed frame that nothing reads any more, such as the state of the last round."""
+    plan = df._jdf.queryExecution().logical()
+    if plan.getClass().getSimpleName() != "LogicalRDD":
+        return
+    at = plan.rdd().getCheckpointFile()
+    if at.isDefined():
+        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(at.get())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                   last: bool = False) -> DataFrame:
     """Row with the smallest (last=True: largest) order per key, combined before the shuffle."""

@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.scale import cut_lineage, exact_quantiles, join_small
+from ..functions.scale import cut_lineage, drop_checkpoint, exact_quantiles, join_small
+from ..functions.scalars import ln_gamma
 from ..functions.tails import f_tail, normal_tail, t_tail
 
 Z95 = 1.959963984540054
@@ -16,11 +17,6 @@ Z95 = 1.959963984540054
 
 # ---------------------------------------------------------------- M-01 generalised linear models
 
-@F.pandas_udf(T.DoubleType())
-def _ln_factorial(y: pd.Series) -> pd.Series:
-    return y.map(lambda v: math.lgamma(v + 1) if v is not None and v >= 0 else float("nan")).astype(float)
-
-
 def _levels(df: DataFrame, col: str, limit: int = 200) -> list:
     vals = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).limit(limit + 1).collect()]
     if len(vals) > limit:
@@ -58,7 +54,7 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
     raw = src.select(*keys, *[e.alias(f"_x{i}") for i, e in enumerate(exprs)], y.alias("_y"))
     xs = [f"_x{i}" for i in range(p)]
     cells = raw.groupBy(*keys, *xs, "_y").agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    lf = _ln_factorial("_y") if family == "poisson" else F.lit(0.0)
+    lf = F.when(F.col("_y") >= 0, ln_gamma(F.col("_y") + 1)) if family == "poisson" else F.lit(0.0)
     yln = F.when(F.col("_y") > 0, F.col("_y") * F.ln("_y")).otherwise(0.0)
     cells = cut_lineage(cells.withColumn("_lf", lf).groupBy(*keys, *xs).agg(
         F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_y")).alias("_sy"),
@@ -132,7 +128,8 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
                        F.sum(dev).alias("_dev"), F.sum(pear).alias("_pear"))
                   .select(*keys, "_beta", "_dev", "_pear", F.array(*[f"_h{i}" for i in range(len(cols))]).alias("_h"),
                           F.array(*[f"_g{i}" for i in range(p)]).alias("_g")))
-        state = cut_lineage(s.mapInPandas(solve, out_t))
+        state, old = cut_lineage(s.mapInPandas(solve, out_t)), state
+        drop_checkpoint(old)
         if (state.agg(F.max("_step")).first()[0] or 0.0) < tol:
             break
 
@@ -226,27 +223,26 @@ def two_way_loglinear(df: DataFrame, by: Sequence[str], site: str = "site", year
 
     def partial(batches):
         for pdf in batches:
-            acc: dict = {}
-            zs: dict = {}
-            for r in pdf.to_dict("records"):
-                key = tuple(r[k] for k in keys)
-                levels = np.asarray(r["levels"], float)
-                if key not in zs:
-                    zs[key] = design(levels)
-                pos = np.searchsorted(levels, np.asarray(r["_pat"], float))
-                z, c, q = zs[key][pos], np.asarray(r["_cs"], float), np.asarray(r["_qs"], float)
-                b, n = np.asarray(r["_beta"], float), float(np.sum(r["_cs"]))
-                eta = z @ b
-                lse = eta.max() + np.log(np.exp(eta - eta.max()).sum())
-                pr = np.exp(eta - lse)
-                zbar = pr @ z
-                grad = c @ z - n * zbar
-                hess = n * ((z * pr[:, None]).T @ z - np.outer(zbar, zbar))
-                ll = float(c @ (eta - lse))
-                pear = float((q / np.maximum(pr, 1e-300)).sum() - n)
-                v = np.concatenate([[ll, pear], grad, hess.ravel()])
-                acc[key] = acc[key] + v if key in acc else v
-            rows = [(*k, i, float(x)) for k, v in acc.items() for i, x in enumerate(v)]
+            rows = []
+            for key, g in pdf.groupby(keys, dropna=False, sort=False):
+                # all patterns of a group at once: flat arrays over (pattern, level), sums by pattern
+                levels, b = np.asarray(g["levels"].iloc[0], float), np.asarray(g["_beta"].iloc[0], float)
+                size = g["_pat"].map(len).to_numpy()
+                starts = np.cumsum(size) - size
+                flat = lambda c: np.concatenate(g[c].to_list()).astype(float)
+                c, q = flat("_cs"), flat("_qs")
+                z = design(levels)[np.searchsorted(levels, flat("_pat"))]
+                eta, n = z @ b, np.add.reduceat(c, starts)
+                top = np.maximum.reduceat(eta, starts)
+                e = np.exp(eta - np.repeat(top, size))
+                total = np.add.reduceat(e, starts)
+                pr = e / np.repeat(total, size)
+                zbar = np.add.reduceat(z * pr[:, None], starts)
+                grad = c @ z - n @ zbar
+                hess = (z * (pr * np.repeat(n, size))[:, None]).T @ z - (zbar * n[:, None]).T @ zbar
+                ll = float(c @ (eta - np.repeat(top + np.log(total), size)))
+                pear = float((q / np.maximum(pr, 1e-300)).sum() - n.sum())
+                rows += [(*key, i, float(x)) for i, x in enumerate(np.concatenate([[ll, pear], grad, hess.ravel()]))]
             yield pd.DataFrame(rows, columns=[f.name for f in part_t])
 
     arr = T.ArrayType(T.DoubleType())
@@ -286,8 +282,9 @@ def two_way_loglinear(df: DataFrame, by: Sequence[str], site: str = "site", year
                        .groupBy(*keys, "_i").agg(F.sum("_v").alias("_v")).groupBy(*keys)
                        .agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
                        .select(*keys, F.col("_s._v").alias("_v")))
-        state = cut_lineage(sums.join(state.select(*keys, "_beta"), keys).select(*keys, "_v", "_beta")
-                                .mapInPandas(step, state_t))
+        state, old = cut_lineage(sums.join(state.select(*keys, "_beta"), keys).select(*keys, "_v", "_beta")
+                                     .mapInPandas(step, state_t)), state
+        drop_checkpoint(old)
         if (state.agg(F.max("_step")).first()[0] or 0.0) < tol:
             break
 

@@ -110,14 +110,14 @@ def flight_curve(visits: DataFrame, species: str = "species", site: str = "site"
     table = visits.sparkSession.createDataFrame(
         [(int(d), [float(v) for v in row]) for d, row in zip(range(first, last + 1), basis)], "dayno int, _z array<double>")
     jan1 = F.make_date("year", F.lit(1), F.lit(1))
-    days = fit.select(species, "year", "beta", F.weekday(jan1).alias("_w0"),
+    days = fit.select(species, "year", "beta", "converged", F.weekday(jan1).alias("_w0"),
                       F.explode(F.sequence(F.lit(1), F.dayofyear(F.make_date("year", F.lit(12), F.lit(31))))).alias("dayno"))
     d = days.join(table, "dayno", "left")
     dot = F.aggregate(F.zip_with("_z", "beta", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     d = d.withColumn("_f", F.when(F.col("_z").isNotNull(), F.exp(dot)).otherwise(0.0))
     tot = d.groupBy(species, "year").agg(F.sum("_f").alias("_s"))
     return d.join(tot, [species, "year"]).select(species, "year", _week(F.col("dayno"), F.col("_w0")).alias("week"), "dayno",
-                                                 (F.col("_f") / F.col("_s")).alias("nm"))
+                                                 (F.col("_f") / F.col("_s")).alias("nm"), "converged")
 
 
 def _year_curve(curve: DataFrame, species: str) -> DataFrame:
@@ -198,7 +198,7 @@ def collated_index(df: DataFrame, by: Sequence[str] = ("species",), site: str =
     d = annual_coefficients(fit, by)
     mean = d.groupBy(*by).agg(F.avg("estimate").alias("_m"))
     return d.join(mean, list(by)).select(*by, "year", "estimate",
-                                         ((F.col("estimate") - F.col("_m")) / F.ln(F.lit(10.0)) + 2).alias("collated_index"))
+                                         ((F.col("estimate") - F.col("_m")) / F.ln(F.lit(10.0)) + 2).alias("collated_index"), "converged")
 
 
 def linear_trend(df: DataFrame, x: str = "year", y: str = "index", by: Sequence[str] = ()) -> DataFrame:
@@ -240,9 +240,9 @@ def annual_coefficients(fit: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per year of a factor fit: estimate 0 and p 1 in the first year."""
     rows = F.arrays_zip(F.col("levels"), F.concat(F.array(F.lit(0.0)), F.col("beta")).alias("b"),
                         F.concat(F.array(F.lit(0.0)), F.col("var")).alias("v"))
-    d = fit.select(*by, "df_residual", "dispersion", F.posexplode(rows).alias("_i", "r"))
+    d = fit.select(*by, "df_residual", "dispersion", "converged", F.posexplode(rows).alias("_i", "r"))
     se = F.sqrt(F.col("r.v") * F.col("dispersion"))
-    d = d.select(*by, F.col("r.levels").cast("int").alias("year"), F.col("r.b").alias("estimate"), se.alias("std_error"), "_i", "df_residual")
+    d = d.select(*by, F.col("r.levels").cast("int").alias("year"), F.col("r.b").alias("estimate"), se.alias("std_error"), "_i", "df_residual", "converged")
     p = t_tail(F.try_divide(F.col("estimate"), F.col("std_error")), F.col("df_residual"))
     return d.withColumn("p_value", F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(p)).drop("_i", "df_residual")
 
@@ -266,7 +266,7 @@ def annual_variation(df: DataFrame, by: Sequence[str] = ("species",), site: str
         F.exp(e - Z95 * F.col("std_error")).alias("ci_low"),
         F.when((F.col("squares_occupied") > 0) & (high <= 1e20), high).alias("ci_high"),
         (F.col("std_error") * F.exp(e)).alias("std_error"), "p_value", (F.col("p_value") < alpha).alias("significant"),
-        "squares", "squares_occupied", "total")
+        "squares", "squares_occupied", "total", "converged")
 
 
 def overall_trend(df: DataFrame, by: Sequence[str] = ("species",), site: str = "site", year: str = "year",
@@ -279,9 +279,9 @@ def overall_trend(df: DataFrame, by: Sequence[str] = ("species",), site: str = "
     an = annual_fit if annual_fit is not None else two_way_loglinear(df, by, site, year, count)
     e, se = F.col("beta")[0], F.sqrt(F.col("var")[0] * F.col("dispersion"))
     d = fit.select(*by, e.alias("estimate"), se.alias("_se"), "df_residual", (F.col("deviance") / F.col("null_deviance")).alias("ratio_trend"),
-                   F.element_at("levels", 1).cast("int").alias("first_year"), F.element_at("levels", -1).cast("int").alias("last_year"))
+                   F.element_at("levels", 1).cast("int").alias("first_year"), F.element_at("levels", -1).cast("int").alias("last_year"), F.col("converged").alias("_c1"))
     d = d.withColumn("p_value", t_tail(F.try_divide(F.col("estimate"), F.col("_se")), F.col("df_residual")))
-    d = d.join(an.select(*by, (F.col("deviance") / F.col("null_deviance")).alias("ratio_annual")), by)
+    d = d.join(an.select(*by, (F.col("deviance") / F.col("null_deviance")).alias("ratio_annual"), F.col("converged").alias("_c2")), by)
     occ = (df.groupBy(*by, year, site).agg(F.sum(count).alias("_n")).groupBy(*by, year)
              .agg(F.count_if(F.col("_n") > 0).alias("_occ")))
     d = d.join(exact_quantiles(occ, by, "_occ", {"median_occupied": .5}), by)
@@ -291,7 +291,7 @@ def overall_trend(df: DataFrame, by: Sequence[str] = ("species",), site: str = "
                  F.round(F.exp(F.col("estimate") + Z95 * F.col("_se")), 3).alias("ci_high"),
                  F.round((F.exp(F.col("estimate") * span) - 1) * 100, 3).alias("change_percent"),
                  (F.col("_se") * F.exp("estimate")).alias("std_error"), "p_value", (F.col("p_value") < alpha).alias("significant"),
-                 "median_occupied", "ratio_trend", "ratio_annual")
+                 "median_occupied", "ratio_trend", "ratio_annual", (F.col("_c1") & F.col("_c2")).alias("converged"))
     d = reliability(d, min_squares)
     return d.withColumn("category", trend_category("trend", "p_value", "ci_low", "ci_high"))
 

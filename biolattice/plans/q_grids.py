@@ -1,6 +1,8 @@
 """Grid and raster queries (R)."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions.scale import cut_lineage
@@ -206,12 +208,12 @@ def land_cover_transition(spark, sf):
     return px.land_cover_transition(b, a, {110: 100, 120: 200, 130: 300}, [100, 200, 300], {12: -1, 13: -1, 21: 1, 31: 1, 11: 0, 22: 0, 33: 0}, {11: 1, 22: 2, 33: 3})
 
 
-@query("mosaic", "R-21", sql=f"WITH {PIX} SELECT row, col, CASE WHEN priority LIKE '1%' AND code <> 0 THEN B4 ELSE B3 END AS value FROM pix WHERE row BETWEEN 2 AND 11", r="value:2", i="row col")
+@query("mosaic", "R-21", sql=f"WITH {PIX} SELECT row, col, CASE WHEN priority LIKE '1%' AND code <> 0 THEN B4 ELSE B3 END AS value FROM pix", r="value:2", i="row col")
 def mosaic(spark, sf):
     p = pixels(spark, sf)
     a = p.select("row", "col", F.col("B3").alias("value"))
     b = p.filter("priority LIKE '1%'").select("row", "col", F.when(F.col("code") != 0, F.col("B4")).otherwise(-1.0).alias("value"))
-    return px.mosaic([a, b], nodata=-1.0, extent=(2, 11, 0, 99))
+    return px.mosaic([a, b], nodata=-1.0)
 
 
 @query("stack_bands", "R-22", sql=f"WITH {PIX} SELECT row, col, B2 AS blue, CASE WHEN code > 2 THEN B4 END AS red FROM pix", r="blue:2 red:2", i="row col")
@@ -225,10 +227,13 @@ def overviews(spark, sf):
     return px.overviews(pixels(spark, sf), [2, 4, 8], ["B8"])
 
 
-@query("resample", "R-24", sql=f"""WITH {PIX}, t AS (SELECT r, c, 0.0 + (c + 0.5) * 2.5 AS x, 100.0 - (r + 0.5) * 1.6 AS y FROM range(0, 60) a(r), range(0, 40) b(c))
+@query("resample", "R-24", sql=f"""WITH {PIX}, e AS (SELECT CAST(ceil((max(row) + 1) / 1.6) AS BIGINT) AS h, CAST(ceil((max(col) + 1) / 2.5) AS BIGINT) AS w FROM pix),
+t AS (SELECT r, c, 0.0 + (c + 0.5) * 2.5 AS x, 100.0 - (r + 0.5) * 1.6 AS y FROM (SELECT unnest(range(0, (SELECT h FROM e))) AS r) a, (SELECT unnest(range(0, (SELECT w FROM e))) AS c) b)
 SELECT r AS row, c AS col, B8 FROM t JOIN pix ON pix.col = CAST(floor(x) AS BIGINT) AND pix.row = CAST(floor(100.0 - y) AS BIGINT)""", r="B8:2", i="row col")
 def resample(spark, sf):
-    return px.resample(pixels(spark, sf), (0, 100, 1, 1), (0, 100, 2.5, 1.6), (60, 40), ["B8"])
+    p = pixels(spark, sf)
+    rows, cols = p.agg(F.max("row") + 1, F.max("col") + 1).first()
+    return px.resample(p, (0, 100, 1, 1), (0, 100, 2.5, 1.6), (math.ceil(rows / 1.6), math.ceil(cols / 2.5)), ["B8"])
 
 
 @query("project_points", "R-24", sql=f"""WITH {SIGHTINGS}, p AS (SELECT sighting_id, radians(lat) AS la, radians(((lon - 10 + 180) % 360 + 360) % 360 - 180) AS lo, radians(52) AS p0 FROM sightings),

@@ -80,7 +80,7 @@ def phenology_sampled(spark, sf):
 FULL = f"""{OBS}, yr AS (SELECT year, sum(abundance) AS t FROM obs GROUP BY year), ix AS (SELECT year, ln(t / first_value(t) OVER (ORDER BY year)) AS e FROM yr)"""
 
 
-@query("collated_index", "T-06", sql=f"""WITH {FULL} SELECT 'all' AS species, year, e AS estimate, (e - avg(e) OVER ()) / ln(10) + 2 AS collated_index FROM ix""", r="estimate collated_index", i="year")
+@query("collated_index", "T-06", sql=f"""WITH {FULL} SELECT 'all' AS species, year, e AS estimate, (e - avg(e) OVER ()) / ln(10) + 2 AS collated_index, true AS converged FROM ix""", r="estimate collated_index", i="year")
 def collated_index(spark, sf):
     d = observations(spark, sf).withColumn("species", F.lit("all"))
     return op.collated_index(d, index="abundance")
@@ -104,10 +104,10 @@ def autocorrelation(spark, sf):
 
 
 @query("annual_variation", "T-09 M-02", sql=f"""WITH {FULL}, n AS (SELECT year, count(DISTINCT site) AS squares, sum(abundance) AS total FROM obs GROUP BY year)
-SELECT 'all' AS species, year, exp(e) AS relative_abundance, squares, squares AS squares_occupied, total FROM ix JOIN n USING (year)""", r="relative_abundance total:2", i="year squares squares_occupied")
+SELECT 'all' AS species, year, exp(e) AS relative_abundance, squares, squares AS squares_occupied, total, true AS converged FROM ix JOIN n USING (year)""", r="relative_abundance total:2", i="year squares squares_occupied")
 def annual_variation(spark, sf):
     d = observations(spark, sf).withColumn("species", F.lit("all"))
-    return op.annual_variation(d).select("species", "year", "relative_abundance", "squares", "squares_occupied", "total")
+    return op.annual_variation(d).select("species", "year", "relative_abundance", "squares", "squares_occupied", "total", "converged")
 
 
 @query("annual_variation_by_species", "T-09")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from biolattice.functions import (MissingColumns, dense_index, exact_quantiles, first_per_key, ln_choose_ratio, nearest_marked,
                                   ordered_index, permuted_index, previous_row, require_columns, week_of_year)
 from biolattice.functions.scale import join_small, range_buckets, value_index
-from biolattice.functions.tails import f_upper, t_two_sided, z_two_sided
+from biolattice.functions.tails import erfc, f_upper, ln_gamma, t_two_sided, z_two_sided
 
 
 def frame(seed=1, n=400):
@@ -133,3 +133,27 @@ def test_require_columns(spark):
         require_columns(d, ["b"])
     with pytest.raises(MissingColumns):
         require_columns(d, [], 2)
+
+
+def test_special_functions_against_the_library():
+    x = np.concatenate([np.linspace(0, 6, 301), [2.4999, 2.5, 10.0, 25.0]])
+    assert erfc(x) == pytest.approx([math.erfc(v) for v in x], rel=1e-10)
+    z = np.concatenate([np.linspace(0.05, 30, 300), [1e3, 1e7]])
+    assert ln_gamma(z) == pytest.approx([math.lgamma(v) for v in z], rel=1e-11, abs=1e-12)
+
+
+def test_ln_gamma_column(spark):
+    from biolattice.functions.scalars import ln_gamma as column
+    got = spark.createDataFrame([(v,) for v in (0.3, 1.0, 2.0, 11.5, 12.0, 170.0, 1e6)], "z double").select("z", column(F.col("z")).alias("g")).collect()
+    assert all(r.g == pytest.approx(math.lgamma(r.z), rel=1e-11, abs=1e-11) for r in got)
+
+
+def test_checkpoints_can_be_dropped(spark):
+    import glob
+    from biolattice.functions.scale import cut_lineage, drop_checkpoint
+    a = cut_lineage(spark.range(10))
+    base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(glob.glob(f"{base}/rdd-*"))
+    drop_checkpoint(a)
+    assert len(before - set(glob.glob(f"{base}/rdd-*"))) == 1
+    drop_checkpoint(spark.range(3))
