@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.scalars import great_circle_m, unit_vector
-from ..functions.scale import cut_lineage, first_per_key, nearest_marked
+from ..functions.scale import cut_lineage, first_per_key, join_small, nearest_marked
 
 
 def lookup(df: DataFrame, ref: DataFrame, key: str, position: str | None = None) -> DataFrame:
@@ -51,12 +51,17 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
                .agg(F.min(right_id).alias("rid")))
     rp = cut_lineage(rp.withColumns(dict(zip(["rx", "ry", "rz"], unit_vector("rla", "rlo")))))
     n = rp.count()
-    levels = list(range(1, max(1, math.ceil(math.log(max(n, 2) / 4, 4))) + 2))
 
     def cube(cols, level):
         size = 2.0 / 2 ** level
         return [F.floor((F.col(c) + 1.0) / size).cast("int") for c in cols]
 
+    # clustered points need smaller cubes: go on until none holds many, or cubes are a metre wide
+    depth = max(1, math.ceil(math.log(max(n, 2) / 4, 4))) + 1
+    while depth < 23 and (rp.groupBy(*cube(["rx", "ry", "rz"], depth)).count().agg(F.max("count")).first()[0] or 0) > 64:
+        depth += 1
+    levels = list(range(1, depth + 1))
+
     cand = None
     for level in levels:
         size = 2.0 / 2 ** level
@@ -192,7 +197,7 @@ def pairs_within(df: DataFrame, group: Sequence[str], key: str, block: int = 512
     group = list(group)
     rest = [c for c in df.columns if c not in group]
     size = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k"))
-    d = df.join(size, group).withColumn("_c", F.pmod(F.xxhash64(key), F.col("_k")).cast("int"))
+    d = join_small(df, size, group).withColumn("_c", F.pmod(F.xxhash64(key), F.col("_k")).cast("int"))
     a = d.select(*group, *[F.col(c).alias(f"{c}_a") for c in rest], F.col("_c").alias("_i"),
                  F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_j"))
     b = d.select(*group, *[F.col(c).alias(f"{c}_b") for c in rest], F.col("_c").alias("_j"),

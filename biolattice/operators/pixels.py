@@ -262,6 +262,58 @@ def resample(df: DataFrame, source: Sequence[float], target: Sequence[float], sh
     return d.filter(F.col(row).between(0, shape[0] - 1) & F.col(col).between(0, shape[1] - 1)).select(row, col, *bands)
 
 
+def _tm_series(a: float, inv_f: float) -> dict:
+    """Coefficients of the transverse Mercator series in the third flattening, to its fourth power."""
+    f = 1 / inv_f
+    n = f / (2 - f)
+    return {
+        "e": 2 * math.sqrt(n) / (1 + n), "A": a / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64),
+        "forward": [n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180, 13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440,
+                    61 * n ** 3 / 240 - 103 * n ** 4 / 140, 49561 * n ** 4 / 161280],
+        "back": [n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 - n ** 4 / 360, n ** 2 / 48 + n ** 3 / 15 - 437 * n ** 4 / 1440,
+                 17 * n ** 3 / 480 - 37 * n ** 4 / 840, 4397 * n ** 4 / 161280],
+        "lat": [2 * n - 2 * n ** 2 / 3 - 2 * n ** 3 + 116 * n ** 4 / 45, 7 * n ** 2 / 3 - 8 * n ** 3 / 5 - 227 * n ** 4 / 45,
+                56 * n ** 3 / 15 - 136 * n ** 4 / 35, 4279 * n ** 4 / 630]}
+
+
+TM = _tm_series(6378137.0, 298.257223563)
+UTM_SCALE, UTM_EAST, UTM_NORTH = 0.9996, 500000.0, 10000000.0
+
+
+def utm_zone(lon: str = "lon") -> Column:
+    """Number of the 6 degree zone, 1 .. 60."""
+    return (F.floor(F.pmod(F.col(lon) + 180, F.lit(360.0)) / 6) + 1).cast("int")
+
+
+def to_utm(df: DataFrame, zone: str = "zone", lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """R-24: metres east `x` and north `y` in the given zone; southern points have 10,000 km added."""
+    lo = F.radians(F.pmod(F.col(lon) - (F.col(zone) * 6 - 183) + 180, F.lit(360.0)) - 180)
+    s = F.sin(F.radians(lat))
+    t = F.sinh(F.atanh(s) - TM["e"] * F.atanh(TM["e"] * s))
+    xi, eta = F.atan2(t, F.cos(lo)), F.atanh(F.sin(lo) / F.sqrt(1 + t * t))
+    x, y = eta, xi
+    for j, a in enumerate(TM["forward"], 1):
+        x, y = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta), y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+    m = UTM_SCALE * TM["A"]
+    return df.withColumns({"x": UTM_EAST + m * x, "y": m * y + F.when(F.col(lat) < 0, UTM_NORTH).otherwise(0.0)})
+
+
+def from_utm(df: DataFrame, zone: str = "zone", south: str = "south", x: str = "x", y: str = "y", lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """R-24: latitude and longitude of metres in a zone; `south` marks points of the southern half."""
+    m = UTM_SCALE * TM["A"]
+    xi = (F.col(y) - F.when(F.col(south), UTM_NORTH).otherwise(0.0)) / m
+    eta = (F.col(x) - UTM_EAST) / m
+    u, v = xi, eta
+    for j, b in enumerate(TM["back"], 1):
+        u, v = u - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta), v - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    c = F.asin(F.sin(u) / F.cosh(v))
+    la = c
+    for j, d in enumerate(TM["lat"], 1):
+        la = la + d * F.sin(2 * j * c)
+    lo = F.degrees(F.atan2(F.sinh(v), F.cos(u))) + (F.col(zone) * 6 - 183)
+    return df.withColumns({lat: F.degrees(la), lon: F.pmod(lo + 180, F.lit(360.0)) - 180})
+
+
 def project_points(df: DataFrame, projection: str, lat0: float = 0.0, lon0: float = 0.0, lat: str = "lat", lon: str = "lon",
                    radius: float = 6371007.0) -> DataFrame:
     """R-24: equirectangular, Mercator or Lambert azimuthal equal-area coordinates on the sphere."""

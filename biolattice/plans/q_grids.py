@@ -243,6 +243,25 @@ def project_points(spark, sf):
     return px.project_points(sightings(spark, sf), "lambert_azimuthal", 52, 10).select("sighting_id", "x", "y")
 
 
+_N = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+_E, _AA = 2 * math.sqrt(_N) / (1 + _N), 6378137.0 / (1 + _N) * (1 + _N ** 2 / 4 + _N ** 4 / 64)
+_AL = px.TM["forward"]
+UTM = f"""u AS (SELECT sighting_id, lat, lon, CAST(floor(((lon + 180) % 360 + 360) % 360 / 6) + 1 AS INTEGER) AS zone FROM sightings),
+u1 AS (SELECT *, radians(((lon - (zone * 6 - 183) + 180) % 360 + 360) % 360 - 180) AS lo, sin(radians(lat)) AS s FROM u),
+u2 AS (SELECT *, sinh(atanh(s) - {_E!r}::DOUBLE * atanh({_E!r}::DOUBLE * s)) AS t FROM u1),
+u3 AS (SELECT *, atan2(t, cos(lo)) AS xi, atanh(sin(lo) / sqrt(1 + t * t)) AS eta FROM u2)"""
+
+
+@query("utm_there_and_back", "R-24", sql=f"""WITH {SIGHTINGS}, {UTM}
+SELECT sighting_id, zone, 500000 + 0.9996::DOUBLE * {_AA!r}::DOUBLE * (eta + {' + '.join(f"{a!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(_AL, 1))}) AS x,
+  0.9996::DOUBLE * {_AA!r}::DOUBLE * (xi + {' + '.join(f"{a!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(_AL, 1))}) + CASE WHEN lat < 0 THEN 10000000 ELSE 0 END AS y,
+  lat, lon FROM u3""", r="x:2 y:2 lat:6 lon:6", i="sighting_id zone")
+def utm_there_and_back(spark, sf):
+    d = px.to_utm(sightings(spark, sf).withColumn("zone", px.utm_zone()))
+    d = d.select("sighting_id", "zone", "x", "y", (F.col("lat") < 0).alias("south"))
+    return px.from_utm(d).drop("south")
+
+
 @query("raster_stats", "R-25", sql=f"WITH {PIX} SELECT 'B2' AS band, min(B2) AS min, max(B2) AS max, avg(B2) AS mean, stddev_samp(B2) AS sd, count(B2) AS n, min(row) AS row_min, max(row) AS row_max, min(col) AS col_min, max(col) AS col_max FROM pix "
        "UNION ALL SELECT 'B8', min(B8), max(B8), avg(B8), stddev_samp(B8), count(B8), min(row), max(row), min(col), max(col) FROM pix", r="min:2 max:2 mean:4 sd:4", i="n row_min row_max col_min col_max")
 def raster_stats(spark, sf):
