@@ -17,11 +17,12 @@ Z95 = 1.959963984540054
 
 # ---------------------------------------------------------------- M-01 generalised linear models
 
-def _levels(df: DataFrame, col: str, limit: int = 200) -> list:
-    vals = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"factor {col} has more than {limit} levels; a fit needs one column for each")
-    return vals
+def _levels(df: DataFrame, col: str) -> list:
+    """The levels of a factor: as many as the model has coefficients, which its result lists one by one."""
+    return [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+
+
+GRADIENT, DEVIANCE, PEARSON = -1, -2, -3  # marks of the sums that are not part of X'WX
 
 
 def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequence[str] = (),
@@ -41,18 +42,24 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
     need = [response, *numeric, *(factors if not isinstance(factors, Mapping) else factors.keys())]
     src = src.dropna(subset=need)
     fac = dict(factors) if isinstance(factors, Mapping) else {f: _levels(src, f) for f in factors}
-    names, exprs = ["(Intercept)"], [F.lit(1.0)]
+    # a design row is sparse: places of the coefficients and values, so that a factor may have any number of levels
+    names, at, val = ["(Intercept)"], [F.lit(0)], [F.lit(1.0)]
     for c in numeric:
+        at.append(F.lit(len(names)))
+        val.append(F.col(c).cast("double"))
         names.append(c)
-        exprs.append(F.col(c).cast("double"))
-    for c, lv in fac.items():
-        for v in list(lv)[1:]:
-            names.append(f"{c}{v}")
-            exprs.append((F.col(c) == F.lit(v)).cast("double"))
+    for k, (c, lv) in enumerate(fac.items()):
+        lv = list(lv)[1:]
+        place = df.sparkSession.createDataFrame([(v, len(names) + i) for i, v in enumerate(lv)],
+                                                T.StructType([src.schema[c], T.StructField(f"_f{k}", T.IntegerType())]))
+        src = join_small(src, place, [c], "left")
+        at.append(F.coalesce(F.col(f"_f{k}"), F.lit(0)))
+        val.append(F.when(F.col(f"_f{k}").isNotNull(), 1.0).otherwise(0.0))
+        names += [f"{c}{v}" for v in lv]
     p = len(names)
     y = F.col(response).cast("double")
-    raw = src.select(*keys, *[e.alias(f"_x{i}") for i, e in enumerate(exprs)], y.alias("_y"))
-    xs = [f"_x{i}" for i in range(p)]
+    raw = src.select(*keys, F.array(*at).alias("_at"), F.array(*val).alias("_val"), y.alias("_y"))
+    xs = ["_at", "_val"]
     cells = raw.groupBy(*keys, *xs, "_y").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     lf = F.when(F.col("_y") >= 0, ln_gamma(F.col("_y") + 1)) if family == "poisson" else F.lit(0.0)
     yln = F.when(F.col("_y") > 0, F.col("_y") * F.ln("_y")).otherwise(0.0)
@@ -64,16 +71,13 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
                                    F.sum("_syl").alias("syl"), F.sum("_slf").alias("slf"))
     ybar = F.col("sy") / F.col("n")
     link0 = {"gaussian": ybar, "binomial": F.ln((ybar + 1e-9) / (1 - ybar + 1e-9))}.get(family, F.ln(ybar + 1e-12))
-    state = cut_lineage(tot.select(*keys, F.array(link0, *[F.lit(0.0)] * (p - 1)).alias("_beta"),
+    state = cut_lineage(tot.select(*keys, F.concat(F.array(link0), F.array_repeat(F.lit(0.0), p - 1)).alias("_beta"),
                                    F.lit(float("inf")).alias("_step")))
 
-    eta = F.lit(0.0)
-    for i in range(p):
-        eta = eta + F.col(f"_x{i}") * F.col("_beta")[i]
-    mu = {"gaussian": eta, "binomial": 1 / (1 + F.exp(-eta))}.get(family, F.exp(F.least(eta, F.lit(700.0))))
+    eta = F.aggregate(F.zip_with("_at", "_val", lambda i, v: v * F.get("_beta", i)), F.lit(0.0), lambda t, x: t + x)
+    link = {"gaussian": eta, "binomial": 1 / (1 + F.exp(-eta))}.get(family, F.exp(F.least(eta, F.lit(700.0))))
+    mu = F.col("_mu")
     w = {"gaussian": F.lit(1.0), "binomial": F.greatest(mu * (1 - mu), F.lit(1e-12))}.get(family, mu)
-    cols = [F.col("_n") * w * F.col(a) * F.col(b) for i, a in enumerate(xs) for b in xs[i:]]
-    resid = [F.col(a) * (F.col("_sy") - F.col("_n") * mu) for a in xs]
     if family == "gaussian":
         dev = F.col("_syy") - 2 * mu * F.col("_sy") + F.col("_n") * mu * mu
         pear = dev
@@ -93,22 +97,20 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
         for pdf in batches:
             rows = []
             for r in pdf.to_dict("records"):
-                h = np.zeros((p, p))
-                iu = np.triu_indices(p)
-                h[iu] = r["_h"]
-                h = h + np.triu(h, 1).T
-                g, b = np.asarray(r["_g"], float), np.asarray(r["_beta"], float)
+                i, j, v = (np.asarray(r[c], t) for c, t in (("_i", int), ("_j", int), ("_v", float)))
+                h, g, b = np.zeros((p, p)), np.zeros(p), np.asarray(r["_beta"], float)
+                inner = j >= 0
+                h[i[inner], j[inner]] = v[inner]
+                h = h + h.T - np.diag(np.diag(h))
+                g[i[j == GRADIENT]] = v[j == GRADIENT]
                 # columns are taken in order; one that the earlier ones explain is left out
-                use, scale = [], np.sqrt(np.maximum(np.diag(h), 0))
-                for j in range(p):
-                    if scale[j] <= 0 or not np.isfinite(scale[j]):
+                use, left, scale = [], h.copy(), np.diag(h).copy()
+                for c in range(p):
+                    if not (np.isfinite(scale[c]) and scale[c] > 0 and left[c, c] > 1e-9 * scale[c]):
+                        left[c:, c] = left[c, c:] = 0
                         continue
-                    if use:
-                        sub = h[np.ix_(use, use)]
-                        left = h[j, j] - h[j, use] @ np.linalg.solve(sub, h[use, j])
-                        if left <= 1e-9 * h[j, j]:
-                            continue
-                    use.append(j)
+                    left[c + 1:, c + 1:] -= np.outer(left[c + 1:, c], left[c, c + 1:]) / left[c, c]
+                    use.append(c)
                 step, cov = np.zeros(p), np.full(p, np.nan)
                 if use:
                     sub = h[np.ix_(use, use)]
@@ -118,16 +120,21 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
                 if family != "gaussian" and big > 5:
                     step *= 5 / big
                 rows.append({**{k: r[k] for k in keys}, "_beta": (b + step).tolist(), "_step": float(np.max(np.abs(step))),
-                             "_cov": cov.tolist(), "_rank": len(use), "_dev": r["_dev"], "_pear": r["_pear"]})
+                             "_cov": cov.tolist(), "_rank": len(use), "_dev": float(v[j == DEVIANCE].sum()), "_pear": float(v[j == PEARSON].sum())})
             yield pd.DataFrame(rows, columns=[f.name for f in out_t])
 
     for _ in range(max_iter):
-        s = (join_small(cells, state.select(*keys, "_beta"), keys).groupBy(*keys, "_beta")
-                  .agg(*[F.sum(c).alias(f"_h{i}") for i, c in enumerate(cols)],
-                       *[F.sum(c).alias(f"_g{i}") for i, c in enumerate(resid)],
-                       F.sum(dev).alias("_dev"), F.sum(pear).alias("_pear"))
-                  .select(*keys, "_beta", "_dev", "_pear", F.array(*[f"_h{i}" for i in range(len(cols))]).alias("_h"),
-                          F.array(*[f"_g{i}" for i in range(p)]).alias("_g")))
+        d = join_small(cells, state.select(*keys, "_beta"), keys).withColumn("_mu", link)
+        d = d.select(*keys, "_at", "_val", (F.col("_n") * w).alias("_w"), (F.col("_sy") - F.col("_n") * mu).alias("_r"), dev.alias("_d"), pear.alias("_p"))
+        entry = lambda i, j, v: F.struct(i.cast("int").alias("_i"), j.cast("int").alias("_j"), v.cast("double").alias("_v"))
+        x = F.zip_with("_at", "_val", lambda i, v: F.struct(i.alias("i"), v.alias("v")))
+        x = F.filter(x, lambda e: e["v"] != 0)
+        pairs = F.flatten(F.transform(x, lambda e: F.transform(F.filter(x, lambda f: f["i"] >= e["i"]), lambda f: entry(e["i"], f["i"], F.col("_w") * e["v"] * f["v"]))))
+        slope = F.transform(x, lambda e: entry(e["i"], F.lit(GRADIENT), e["v"] * F.col("_r")))
+        rest = F.array(entry(F.lit(0), F.lit(DEVIANCE), F.col("_d")), entry(F.lit(0), F.lit(PEARSON), F.col("_p")))
+        sums = d.select(*keys, F.inline(F.concat(pairs, slope, rest))).groupBy(*keys, "_i", "_j").agg(F.sum("_v").alias("_v"))
+        lists = sums.groupBy(*keys).agg(F.collect_list(F.struct("_i", "_j", "_v")).alias("_e"))  # at most p (p + 3) / 2 + 2 entries
+        s = lists.join(state.select(*keys, "_beta"), keys).select(*keys, "_beta", "_e._i", "_e._j", "_e._v")
         state, old = cut_lineage(s.mapInPandas(solve, out_t)), state
         drop_checkpoint(old)
         if (state.agg(F.max("_step")).first()[0] or 0.0) < tol:

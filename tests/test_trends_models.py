@@ -182,3 +182,14 @@ def test_pca_and_clusters(spark):
     assert e.toPandas().eigenvalue.sum() == pytest.approx(3) and s.first().cos2_1 <= 1
     sil, k = distribution.choose_k(d, ["a", "b", "c"], 4)
     assert k == 2 and distribution.cluster_sites(d, ["a", "b", "c"], 2).select("cluster").distinct().count() == 2
+
+
+def test_a_factor_with_many_levels(spark):
+    n = 300
+    d = spark.range(n * 4).selectExpr(f"concat('s', lpad(cast(id % {n} as string), 4, '0')) as site", f"1 + (id % {n}) % 17 + cast(id / {n} as int) as y")
+    co, fits = models.grouped_glm(d, "y", [], factors=["site"], family="poisson")
+    got = {r.term: r.estimate for r in co.collect()}
+    mean = {i: np.mean([1 + i % 17 + k for k in range(4)]) for i in range(n)}
+    assert len(got) == n and got["(Intercept)"] == pytest.approx(np.log(mean[0]))
+    assert all(got[f"sites{i:04d}"] == pytest.approx(np.log(mean[i] / mean[0]), abs=1e-6) for i in range(1, n))
+    assert fits.first().df_residual == 3 * n
