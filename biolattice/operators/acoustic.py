@@ -135,16 +135,14 @@ def site_summary(df: DataFrame, reference: DataFrame, groups: DataFrame, species
 
 
 def contacts_by_night(df: DataFrame, reference: DataFrame, nights: Sequence[str] | None = None,
-                      species: str = "id_extrap", night: str = "session", wide: bool = True) -> DataFrame:
-    """A-07: contacts per species and night, and their activity level.
-
-    Long form by default of the counting step; `wide` gives one column pair per night.
-    """
+                      species: str = "id_extrap", night: str = "session") -> DataFrame:
+    """A-07: contacts per species and night, and their activity level, in long form; with a list of nights one
+    column pair for each."""
     n = df.groupBy(species, night).agg(F.count(F.lit(1)).alias("contacts"))
     lv = activity_level(n, reference, species)
-    if not wide:
+    if nights is None:
         return lv
-    g = lv.groupBy(species).pivot(night, list(nights) if nights else None)
+    g = lv.groupBy(species).pivot(night, list(nights))
     out = g.agg(F.first("contacts").alias("n"), F.first("activity_rank").alias("level"))
     return out.fillna(0, [c for c in out.columns if c.endswith("_n")])
 
@@ -195,5 +193,7 @@ def transect_summary(df: DataFrame, ref_expansion: DataFrame, ref_direct: DataFr
 
 def contacts_by_section(df: DataFrame, sections: Sequence[str] | None = None, species: str = "id_extrap",
                         channel: str = "channel", section: str = "session") -> DataFrame:
-    """A-10: species x channel x section counts, wide."""
-    return df.groupBy(species, channel).pivot(section, list(sections) if sections else None).agg(F.count(F.lit(1))).fillna(0)
+    """A-10: species x channel x section counts, in long form; with a list of sections one column for each."""
+    if sections is None:
+        return df.groupBy(species, channel, section).agg(F.count(F.lit(1)).alias("contacts"))
+    return df.groupBy(species, channel).pivot(section, list(sections)).agg(F.count(F.lit(1))).fillna(0)

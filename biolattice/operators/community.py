@@ -15,9 +15,10 @@ from .joins import pairs_within
 def to_community_matrix(df: DataFrame, species_list: Sequence[str] | None = None,
                         rows: Sequence[str] = ("site", "year"), species: str = "species",
                         abundance: str = "abundance") -> DataFrame:
-    """O-01: one column per species, missing is 0."""
-    g = df.groupBy(*rows).pivot(species, list(species_list) if species_list else None)
-    return g.agg(F.sum(abundance)).fillna(0)
+    """O-01: the long form (rows, species, abundance summed); with a species list one column for each, missing is 0."""
+    if species_list is None:
+        return df.groupBy(*rows, species).agg(F.sum(abundance).alias(abundance))
+    return df.groupBy(*rows).pivot(species, list(species_list)).agg(F.sum(abundance)).fillna(0)
 
 
 def to_long(wide: DataFrame, rows: Sequence[str] = ("site", "year"), species: str = "species",

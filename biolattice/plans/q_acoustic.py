@@ -100,7 +100,7 @@ def site_summary(spark, sf):
 SELECT c.id_extrap, night, contacts, {LEVEL.format(c='contacts')} AS activity_rank, {WORDS}[{LEVEL.format(c='contacts')}] AS activity FROM c LEFT JOIN ref ON ref.id_extrap = c.id_extrap""", i="contacts activity_rank")
 def contacts_by_night(spark, sf):
     d = _ext(spark, sf).withColumn("night", F.col("night").cast("string"))
-    return op.contacts_by_night(d, _reference(spark, sf), night="night", wide=False)
+    return op.contacts_by_night(d, _reference(spark, sf), night="night")
 
 
 @query("contacts_by_night_wide", "A-07", sql=f"""{NEAREST}, {REF}, c AS (SELECT id_extrap, CAST(night AS VARCHAR) AS night, count(*) AS n FROM ext GROUP BY ALL)
