@@ -53,6 +53,7 @@ OCEAN_UNITS = {
     "m-1": ["m-1"],
     "decibar": ["decibar", "dbar"],
 }
+# Substrate colours that count as bright.
 BRIGHT_COLOURS = ["Blanche", "Verte", "Blanche-Verte", "Colorée"]
 
 

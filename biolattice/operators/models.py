@@ -342,6 +342,7 @@ def rate_models(df: DataFrame, fits: DataFrame, metric: str, by: Sequence[str],
     for i in range(len(factors)):
         prod = prod * F.col(f"_l{i}")
     freq = combo.groupBy(*by, "_f").agg(F.count(F.lit(1)).alias("_times"))
+    # The shares and points named above.
     plan = (freq.groupBy(*by).agg(F.sum("_times").alias("_seen"), F.max("_times").alias("_same")).join(lv, by)
                 .select(*by, ((prod - F.col("_seen")) < 0.1 * prod).alias("complete_plan"),
                         (F.col("_same") > 0.9 * prod).alias("_even")))
