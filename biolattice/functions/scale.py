@@ -87,12 +87,39 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
     Equal values are counted before the shuffle, groups are cut into ranges of equal numbers of values, and
     only the ranges that hold a wanted rank are sorted.
     """
+    counts = _value_counts(df, by, value)
+    return _quantiles_of(counts.filter("_v IS NOT NULL"), by, probs)
+
+
+def _value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """(by or _all, _v, _n): how often each value stands in a group; NaN counts as NULL."""
+    keys = list(by) or ["_all"]
+    src = df if by else df.withColumn("_all", F.lit(1))
+    return src.groupBy(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def describe_exact(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """by, n (rows), n_value, mean, sd, min, max and exact quantiles, all from one count of values: df is read once."""
+    by = list(by)
+    keys = by or ["_all"]
+    counts = _value_counts(df, by, value)
+    v, n = F.col("_v"), F.col("_n")
+    held = F.sum(F.when(v.isNotNull(), n))
+    base = counts.groupBy(*keys).agg(F.sum(n).alias("n"), F.coalesce(held, F.lit(0)).alias("n_value"), (F.sum(n * v) / held).alias("mean"),
+                                     F.min(v).alias("min"), F.max(v).alias("max"))
+    known = counts.filter("_v IS NOT NULL")
+    # squares around the mean, so that values far from zero keep their digits
+    ss = join_small(known, base.select(*keys, "mean", "n_value"), keys).groupBy(*keys).agg(
+        F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.max("n_value") - 1)).alias("sd"))
+    out = base.join(ss, keys, "left")
+    q = _quantiles_of(known, by, probs)
+    out = out.join(q if by else q.withColumn("_all", F.lit(1)), keys, "left")
+    return out.select(*by, "n", "n_value", "mean", "sd", "min", "max", *probs)
+
+
+def _quantiles_of(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
     by = list(by)
     keys = by or ["_all"]
-    src = df if by else df.withColumn("_all", F.lit(1))
-    val = F.col(value).cast("double")
-    counts = (src.filter(val.isNotNull() & ~F.isnan(val))
-                 .groupBy(*keys, val.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
     counts = range_buckets(counts, keys, "_v")
     w = W.partitionBy(*keys).orderBy("_b")
     ps = list(probs.items())

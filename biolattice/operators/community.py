@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hill_number, ln_choose_ratio, safe_div
-from ..functions.scale import cut_lineage, dense_index, exact_quantiles, exact_quantiles_many, join_small
+from ..functions.scale import cut_lineage, dense_index, describe_exact, exact_quantiles, exact_quantiles_many, join_small
 from .joins import pairs_within
 
 
@@ -366,10 +366,7 @@ def bray_curtis(df: DataFrame, group: Sequence[str], sample: str, species: str =
 
 def dissimilarity_summary(df: DataFrame, by: Sequence[str], value: str = "dissimilarity") -> DataFrame:
     """O-19: mean, sd, median, min, max and number per site and date."""
-    by = list(by)
-    g = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.min(value).alias("min"),
-                            F.max(value).alias("max"), F.count(F.lit(1)).alias("n"), F.count(value).alias("n_value"))
-    return g.join(exact_quantiles(df, by, value, {"median": .5}), by, "left")
+    return describe_exact(df, by, value, {"median": .5}).select(*by, "mean", "sd", "min", "max", "n", "n_value", "median")
 
 
 def quartile_class_means(df: DataFrame, value: str = "dissimilarity") -> DataFrame:
