@@ -2,47 +2,73 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut_lineage, text_or_empty
 
-SKETCH_BITS = 20
+SKETCH_BITS, MAP_BITS = 22, 24
 NO_ID = -(1 << 63)  # stands for a null doc_id, the smallest
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-POSTING = ["key", "doc", "line", "meta", "bits"]
-SCHEMA = "key long, doc long, line long, meta long, bits long"
-
-
-class Hashes:
-    """64-bit hashes of words, with a bounded cache."""
-
-    def __init__(self, size: int = 1 << 19):
-        self.size, self.cache = size, {}
-
-    def of(self, words) -> list[int]:
-        cache = self.cache
-        if len(cache) > self.size:
-            cache.clear()
-        out = []
-        for w in words:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh3_64_intdigest(w)
-            out.append(h)
-        return out
-
-
-def _lines(text: str) -> Iterator[tuple[int, frozenset[bytes]]]:
-    for i, line in enumerate(text.encode().lower().split(b"\n")):
-        yield i, frozenset(line.split())
-
-
-def rarity(docs: DataFrame, least_words: int) -> np.ndarray:
-    """Counts of lines by hashed word, over all lines: a table of fixed size, 2^20 counters.
+POSTING = ["key", "doc", "line", "meta", "bits", "more_bits", "whole"]
+SCHEMA = "key long, doc long, line long, meta long, bits long, more_bits long, whole long"
+NAMES = ["doc", "line", "cdoc", "cline", "sure"]
+
+
+FACTOR = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
+BYTE_VALUES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """FACTOR^i and FACTOR^-i modulo 2^64 for i < n."""
+    out = []
+    for f in (FACTOR, pow(FACTOR, -1, 1 << 64)):
+        x = np.full(n, f, np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x))
+    return tuple(out)
+
+
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    """64-bit hashes of the words: polynomials in FACTOR over random values of the bytes, from running sums over all bytes at once, then mixed."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    up, down = _powers(1 << max(len(data), 1).bit_length())
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * up[:len(data)])])
+    h = (sums[ends[1:]] - sums[ends[:-1]]) * down[ends[:-1]] + np.diff(ends).astype(np.uint64)
+    for shift, f in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        h = (h ^ h >> np.uint64(shift)) * np.uint64(f)
+    return h ^ h >> np.uint64(33)
+
+
+def _runs(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes of text each; the text is the last column."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(cuts, cuts[1:]):
+        if j > i:
+            yield batch.slice(i, j - i)
+
+
+def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """For every word of the texts the number of its text and of itself in the array of different words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    flat = lists.flatten().dictionary_encode()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(text)), sizes), flat.indices.to_numpy(zero_copy_only=False), flat.dictionary
+
+
+def rarity(docs: DataFrame) -> np.ndarray:
+    """Counts of words by their hash, over all texts: a table of fixed size, 2^22 counters.
 
     Words are ordered by (count of their counter, hash): one order for all lines, in which rare words come
     first. Words that share a counter only look less rare.
@@ -50,128 +76,168 @@ def rarity(docs: DataFrame, least_words: int) -> np.ndarray:
     size = 1 << SKETCH_BITS
 
     def run(batches):
-        hashes, total = Hashes(), np.zeros(size, np.int64)
+        total = np.zeros(size, np.int64)
         for b in batches:
-            for text in b.column(0):
-                found = []
-                for _, words in _lines(text.as_py()):
-                    if len(words) >= least_words:
-                        found += hashes.of(words)
-                if found:
-                    total += np.bincount(np.array(found, np.uint64).astype(np.int64) & (size - 1), minlength=size)
+            for part in _runs(b):
+                _, number, different = _words(part.column(0))
+                np.add.at(total, (word_hashes(different) & np.uint64(size - 1)).astype(np.int64), np.bincount(number, minlength=len(different)))
         at = np.flatnonzero(total)
         for k in range(0, len(at), 1 << 17):
             yield pa.RecordBatch.from_arrays([pa.array(at[k:k + (1 << 17)], pa.int64()), pa.array(total[at[k:k + (1 << 17)]], pa.int64())], ["at", "n"])
 
-    got = (docs.select("text").mapInArrow(run, "at long, n long").groupBy(F.floor(F.col("at") / 4096).alias("g"), "at").agg(F.sum("n").alias("n"))
-               .groupBy("g").agg(F.collect_list(F.col("at").cast("int")).alias("at"), F.collect_list("n").alias("n")).select("at", "n").toArrow())
-    counts = np.zeros(size, np.int64)
-    counts[got["at"].combine_chunks().values.to_numpy()] = got["n"].combine_chunks().values.to_numpy()
+    got = (docs.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+               .groupBy(F.floor(F.col("at") / 4096).alias("g")).agg(F.collect_list(F.struct(F.col("at").cast("int").alias("at"), "n")).alias("x"))
+               .select("x.at", "x.n").toArrow())
+    counts = np.zeros(size, np.int32)
+    if got.num_rows:
+        counts[got["at"].combine_chunks().flatten().to_numpy()] = np.minimum(got["n"].combine_chunks().flatten().to_numpy(), 2 ** 31 - 1)
     return counts
 
 
-def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int) -> DataFrame:
+def prefix_length(n: np.ndarray, share: float) -> np.ndarray:
+    return n - np.ceil(share * n - 1e-9).astype(np.int64) + 1
+
+
+def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int, only: np.ndarray | None = None) -> DataFrame:
     """Posting rows of all lines.
 
-    A line of n different words has the words of its prefix as keys: the rarest n - ceil(share n) + 1. Words met in one line
-    only have no partner and no posting. A word met in more than `hot` lines is too common for a key: it is joined
+    A line of n different words has the words of its prefix as keys: the rarest n - ceil(share n) + 1. Words met once
+    only have no partner and no posting. A word met more than `hot` times is too common for a key: it is joined
     with each later word of the prefix made one longer, since a similar line shares at least two words. Lines of
-    up to three words can only match an equal set, which is their key. bits is a 64-bit map of the words, meta holds
-    n and the place of the key in the prefix. Of lines with equal sets in one batch only the first has postings;
-    for the others a row with meta < 0 names it.
+    up to three words can only match an equal set, which is their key. bits and more_bits hold for 128 classes of words whether a class has an odd
+    number of them, whole is a hash of their set, meta holds n and the place of the key in the prefix. With `only`, a bitmap of keys, other keys
+    are left out. A line equal to an earlier one that the task has met has no postings but a row with
+    meta < 0 that names that one; what a task remembers of lines is bounded by their bytes.
     """
-    model = docs.sparkSession.sparkContext.broadcast(counts)
-    mask, shift = (1 << SKETCH_BITS) - 1, 1 << 64
+    model = docs.sparkSession.sparkContext.broadcast((counts, only))
+    mask = np.uint64((1 << SKETCH_BITS) - 1)
+
+    def rows_of(doc, line, text, n_words, wanted):
+        """Posting columns of some lines."""
+        owner, number, different = _words(text)
+        h = word_hashes(different)
+        c = n_words[(h & mask).astype(np.int64)].astype(np.int64)
+        order = np.lexsort((h, c))
+        rank = np.empty(len(h), np.int64)
+        rank[order] = np.arange(len(h))
+        h, c = h[order], c[order]
+        empty = rank[pc.binary_length(different).to_numpy(zero_copy_only=False) == 0]  # what stands before or after outer white space
+        key = np.sort(owner << 32 | rank[number])  # each line's words by rarity
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        if len(empty):
+            key = key[key & 0xFFFFFFFF != empty[0]]
+        owner, word = key >> 32, key & 0xFFFFFFFF
+        n = np.bincount(owner, minlength=len(doc))
+        keep = n >= least_words
+        word, owner = word[keep[owner]], owner[keep[owner]]
+        if not len(word):
+            return [np.zeros(0, np.int64)] * len(POSTING)
+        begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        who = owner[begin]  # lines that are left
+        n, h, c = n[who], h[word], c[word]
+        mine = np.repeat(np.arange(len(who)), n)
+        k = np.arange(len(h)) - begin[mine]
+        bit, half = np.uint64(1) << (h >> np.uint64(58)), (h >> np.uint64(57) & np.uint64(1)).astype(bool)
+        bits = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin).view(np.int64) for side in (half, ~half)]
+        mixed = (h ^ h >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93)
+        whole = np.add.reduceat(mixed ^ mixed >> np.uint64(32), begin)
+        p = np.where(n > 3, prefix_length(n, share), 0)
+        pick = np.flatnonzero((k < p[mine]) & (c > 1))
+        one, many = pick[c[pick] <= hot], pick[c[pick] > hot]
+        short = begin[n <= 3]
+        keys, at = [h[one], whole[n <= 3]], [one, short]
+        if len(many):
+            reach = p[mine[many]] - k[many]  # later words of the longer prefix
+            left = np.repeat(many, reach)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(reach) - reach, reach)
+            keys.append(h[left] * np.uint64(0x9E3779B97F4A7C15) + h[right])
+            at.append(left)
+        key, at = np.concatenate(keys), np.concatenate(at)
+        if wanted is not None:
+            seen = np.flatnonzero(is_set(wanted, key.view(np.int64)))
+            key, at = key[seen], at[seen]
+        m = mine[at]
+        return [key.view(np.int64), doc[who[m]], line[who[m]], n[m] << 32 | k[at], bits[0][m], bits[1][m], whole[m].view(np.int64)]
 
     def run(batches):
-        hashes, n_lines = Hashes(), model.value
+        (n_words, wanted), met, room = model.value, {}, 0
+        counts = lru_cache(1 << 12)(lambda t: len(set(t.encode().lower().split())) >= least_words)
         for b in batches:
-            cols, firsts = [[] for _ in POSTING], {}
-
-            def put(*row):
-                for c, v in zip(cols, row):
-                    c.append(v)
-
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for i, words in _lines(text.as_py()):
-                    if len(words) >= least_words:
-                        place = (doc, i)
-                        firsts[words] = min(firsts.get(words, place), place)
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for i, words in _lines(text.as_py()):
-                    n = len(words)
-                    if n < least_words:
-                        continue
-                    first = firsts[words]
-                    if first != (doc, i):
-                        put(xxhash.xxh3_64_intdigest(f"{doc} {i}"), doc, i, -1 - first[1], first[0] % shift)
-                        continue
-                    hs = hashes.of(words)
-                    bits = 0
-                    for h in hs:
-                        bits |= 1 << (h >> 58)
-                    if n <= 3:
-                        put(xxhash.xxh3_64_intdigest(b" ".join(sorted(words)), 1), doc, i, n << 32, bits)
-                        continue
-                    order = sorted(zip(n_lines[np.array(hs, np.uint64).astype(np.int64) & mask].tolist(), hs))
-                    p = n + 1 - -int(-(share * n - 1e-9) // 1)
-                    for k in range(p):
-                        c, h = order[k]
-                        if c <= 1:
-                            continue
-                        if c <= hot:
-                            put(h, doc, i, n << 32 | k, bits)
-                        else:
-                            for j in range(k + 1, p + 1):
-                                put((h * 0x9E3779B97F4A7C15 + order[j][1]) % shift, doc, i, n << 32 | k, bits)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.uint64).view(np.int64) if f in ("key", "bits") else np.array(c, np.int64))
-                                              for c, f in zip(cols, POSTING)], POSTING)
+            for part in _runs(b):
+                lists = pc.split_pattern(part.column(1), "\n")
+                text, size = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                doc = np.repeat(part.column(0).to_numpy(zero_copy_only=False), size)
+                line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+                new, same = [], [[] for _ in POSTING]
+                for r, (t, place) in enumerate(zip(text.to_pylist(), zip(doc.tolist(), line.tolist()))):
+                    known = met.get(t)
+                    if known is None:
+                        room += len(t)
+                    elif known != place and counts(t):
+                        low, high = min(known, place), max(known, place)
+                        for col, v in zip(same, (hash(high), *high, -1 - low[1], low[0], 0, 0)):
+                            col.append(v)
+                    if known is None or place < known:
+                        met[t] = place
+                        new.append(r)
+                new = np.array(new, np.int64)
+                cols = rows_of(doc[new], line[new], text.take(pa.array(new)), n_words, wanted)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, np.array(y, np.int64)])) for x, y in zip(cols, same)], POSTING)
+                if room > 16 << 20:
+                    met, room = {}, 0
     return docs.select("doc", "text").mapInArrow(run, SCHEMA)
 
 
-def _passing(n, pos, bits, a, b, share: float) -> np.ndarray:
+def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
     """Whether rows a and b (arrays of row numbers) pass the length, positional and bitmap filters."""
     na, nb = n[a], n[b]
     least = np.ceil(share / (1 + share) * (na + nb) - 1e-9)
     ok = np.minimum(na, nb) >= share * np.maximum(na, nb) - 1e-9
     ok &= 1 + np.minimum(na - pos[a] - 1, nb - pos[b] - 1) >= least
-    # words that differ set at least as many differing bits: an upper bound of the overlap
-    ok &= (na + nb - np.bitwise_count(bits[a] ^ bits[b])) // 2 >= least
+    # a word that one line alone has flips one bit, so at least as many words differ as bits: an upper bound of the overlap
+    unlike = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) + np.bitwise_count(more_bits[a] ^ more_bits[b])
+    ok &= (na + nb - unlike) // 2 >= least
     return ok
 
 
-def candidates(posts: DataFrame, share: float, every: bool, partitions: int) -> DataFrame:
-    """(doc, line, cdoc, cline, sure, more): earlier lines that pass all filters against a line with the same key.
+def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8) -> DataFrame:
+    """(doc, line, cdoc, cline, sure): earlier lines that pass all filters against a line with the same key.
 
-    every=False gives the earliest such line of each posting, and whether there are more; every=True gives all of them
-    for postings whose column `open` is true. Rows stream through sorted by key and place.
+    every=False gives the `few` earliest such lines of each posting, and where there are more a row with cline -1 and the key in cdoc; every=True
+    gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place.
     """
     cols = POSTING + (["open"] if every else [])
-    names = ["doc", "line", "cdoc", "cline", "sure", "more"]
+    names = NAMES
 
-    def pairs(key, doc, line, meta, bits, open_):
-        """Pairs within whole key groups given as arrays."""
+    def pairs(key, doc, line, meta, bits, more_bits, whole, open_):
+        """Pairs within whole key groups given as arrays: all rows of the groups meet the first row, then the second, and so on."""
         n, pos = meta >> 32, meta & 0xFFFFFFFF
+        bits, more_bits = bits.view(np.uint64), more_bits.view(np.uint64)  # signed counts would be of absolute values
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        at = np.arange(len(key)) - np.repeat(start, np.diff(np.append(start, len(key))))
-        best, more = np.full(len(key), -1), np.zeros(len(key), bool)
-        x_all, y_all = [], []
+        size = np.diff(np.append(start, len(key)))
+        head = np.repeat(start, size)
+        at = np.arange(len(key)) - head
+        found, more = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        x_all, y_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         live = np.flatnonzero(at > 0) if open_ is None else np.flatnonzero((at > 0) & open_)
-        lag = 1
+        r = 0
         while len(live):
-            live = live[at[live] >= lag]
-            other = live - lag
-            hit = _passing(n, pos, bits, live, other, share) & ((doc[live] != doc[other]) | (line[live] != line[other]))
+            other = head[live] + r
+            hit = _passing(n, pos, bits, more_bits, live, other, share) & ((doc[live] != doc[other]) | (line[live] != line[other]))
+            x, y = live[hit], other[hit]
             if open_ is None:
-                more[live[hit]] |= best[live[hit]] >= 0
-                best[live[hit]] = other[hit]
-            else:
-                x_all.append(live[hit])
-                y_all.append(other[hit])
-            lag += 1
-        x = np.flatnonzero(best >= 0) if open_ is None else np.concatenate([*x_all, np.zeros(0, np.int64)]).astype(np.int64)
-        y = best[x] if open_ is None else np.concatenate([*y_all, np.zeros(0, np.int64)]).astype(np.int64)
-        return [doc[x], line[x], doc[y], line[y], np.zeros(len(x), bool), more[x]]
+                over = found[x] >= few
+                more[x[over]] = True
+                x, y = x[~over], y[~over]
+            found[x] += 1
+            x_all.append(x)
+            y_all.append(y)
+            r += 1
+            live = live[(at[live] > r) & ~more[live]]
+        x, y = np.concatenate(x_all), np.concatenate(y_all)
+        z = np.flatnonzero(more)
+        return [np.concatenate([doc[x], doc[z]]), np.concatenate([line[x], line[z]]), np.concatenate([doc[y], key[z]]),
+                np.concatenate([line[y], np.full(len(z), -1)]), np.concatenate([(whole[x] == whole[y]) & (n[x] == n[y]), np.zeros(len(z), bool)])]
 
     def run(batches):
         held = None
@@ -180,7 +246,7 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int) ->
             known = now[3] < 0
             if known.any():
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (now[1][known], now[2][known], now[4][known], -1 - now[3][known],
-                                                                        np.ones(known.sum(), bool), np.zeros(known.sum(), bool))], names)
+                                                                        np.ones(known.sum(), bool))], names)
                 now = [c[~known] for c in now]
             if held is not None:
                 now = [np.concatenate([h, c]) for h, c in zip(held, now)]
@@ -191,58 +257,98 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int) ->
             held = [c[cut:] for c in now]
             if cut:
                 head = [c[:cut] for c in now]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*head[:5], head[5] if every else None)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*head[:7], head[7] if every else None)], names)
         if held is not None and len(held[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*held[:5], held[5] if every else None)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*held[:7], held[7] if every else None)], names)
 
     return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
-                 .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean, more boolean"))
+                 .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean"))
 
 
 def _line_words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
 
+def bitmap(df: DataFrame, value: Column) -> np.ndarray:
+    """A bitmap of fixed size (2 MB) with the bit of every value set."""
+    bit = F.pmod(value, F.lit(1 << MAP_BITS)) + 1  # Spark's bitmaps count from 1
+    got = (df.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).toArrow())
+    marks = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    for n, m in zip(got["n"].to_pylist(), got["m"].to_pylist()):
+        marks[(n - 1) * 4096:n * 4096] = np.frombuffer(m, np.uint8)
+    return marks
+
+
+def is_set(marks: np.ndarray, value: np.ndarray) -> np.ndarray:
+    at = value % (1 << MAP_BITS)
+    return (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc, line, t): the lines at the given places (doc, line), and a few more. A bitmap of places of fixed size (2 MB) is
+    broadcast; lines whose bit is not set stay where they are. When places fill it, more lines travel, none is lost."""
+    share = docs.sparkSession.sparkContext.broadcast(bitmap(places, F.pmod(F.col("doc"), F.lit(1 << 31)) * 1000003 + F.col("line")))
+
+    def run(batches):
+        on = share.value
+        for b in batches:
+            lists = pc.split_pattern(b.column(1), "\n")
+            size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            doc = np.repeat(b.column(0).to_numpy(zero_copy_only=False), size)
+            line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+            pick = np.flatnonzero(is_set(on, doc % (1 << 31) * 1000003 + line))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(line[pick]), lists.flatten().take(pa.array(pick))], ["doc", "line", "t"])
+    return docs.select("doc", "text").mapInArrow(run, "doc long, line long, t string")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
     """The pairs (doc, line, cdoc, cline) whose word sets have a Jaccard similarity of at least `share`, from the texts."""
-    places = pairs.select("doc", "line").union(pairs.select(F.col("cdoc"), F.col("cline"))).distinct()
-    wanted = places.groupBy("doc").agg(F.collect_list("line").alias("_want"))
-    texts = docs.select("doc", "text").join(wanted, "doc")
-    texts = texts.select("doc", F.inline(F.filter(F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.cast("long").alias("line"), t.alias("t"))),
-                                                  lambda s: F.array_contains("_want", s["line"]))))
+    places = pairs.select("doc", "line").union(pairs.select("cdoc", "cline")).distinct()
     # rows that repeat a doc_id hold several texts at one place: a pair is right if some texts of its places match
-    words = texts.select("doc", "line", _line_words(F.col("t")).alias("w"))
-    a, b = words.withColumnRenamed("w", "wa"), words.select(F.col("doc").alias("cdoc"), F.col("line").alias("cline"), F.col("w").alias("wb"))
+    texts = cut_lineage(lines_at(docs, places))
+    a = pairs.join(texts.withColumnRenamed("t", "ta"), ["doc", "line"])
+    b = a.join(texts.select(F.col("doc").alias("cdoc"), F.col("line").alias("cline"), F.col("t").alias("tb")), ["cdoc", "cline"])
+    w = b.select("doc", "line", "cdoc", "cline", _line_words(F.col("ta")).alias("wa"), _line_words(F.col("tb")).alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))
-    ok = both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - 1e-9
-    return pairs.join(a, ["doc", "line"]).join(b, ["cdoc", "cline"]).filter(ok).select("doc", "line", "cdoc", "cline")
+    return w.filter(both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - 1e-9).select("doc", "line", "cdoc", "cline")
 
 
-def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1000) -> DataFrame:
+def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
     """(doc, line) of every line that a similar line stands before.
 
-    docs has doc (never null) and text. Order is that of (doc, line number). The first round tries the earliest candidate of each
-    posting; almost always it proves the match. A line whose tried candidates all failed but which has others is then held
+    docs has doc (never null) and text. Order is that of (doc, line number). The first round tries the earliest few candidates of each
+    posting, which nearly always settles a line. A line whose tried candidates all failed but which has more is then held
     against all of them, so no match is lost.
     """
     d = docs.select("doc", "text")
-    posts = postings(d, rarity(d, least_words), least_words, share, hot)
+    counts = rarity(d)
     partitions = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = cut_lineage(candidates(posts, share, False, partitions).groupBy("doc", "line", "cdoc", "cline")
-                        .agg(F.max("sure").alias("sure"), F.max("more").alias("more")))
-    open_ = first.groupBy("doc", "line").agg(F.max("sure").alias("sure"), F.max("more").alias("more")).filter("not sure")
-    todo = first.join(open_.select("doc", "line"), ["doc", "line"], "left_semi")
-    good = cut_lineage(verified(d, todo, share).select("doc", "line").union(first.filter("sure").select("doc", "line")).distinct())
-    failed = cut_lineage(open_.filter("more").join(good, ["doc", "line"], "left_anti").select("doc", "line"))
+    first = cut_lineage(candidates(postings(d, counts, least_words, share, hot), share, False, partitions).groupBy("doc", "line", "cdoc", "cline").agg(F.max("sure").alias("sure")))
+    pairs, more = first.filter("cline >= 0"), first.filter("cline < 0").select("doc", "line", F.col("cdoc").alias("key"))
+    place = F.struct("cdoc", "cline")
+    lines = cut_lineage(pairs.groupBy("doc", "line").agg(F.max("sure").alias("sure"), F.min(place).alias("c")))
+    good = lines.filter("sure").select("doc", "line")
+    todo = lines.filter("not sure")
+    if todo.isEmpty():
+        return good
+    # the earliest candidate settles most lines; the other ones are read for those it does not
+    settled = cut_lineage(verified(d, todo.select("doc", "line", "c.cdoc", "c.cline"), share).select("doc", "line").distinct())
+    good, todo = good.union(settled), cut_lineage(todo.join(settled, ["doc", "line"], "left_anti"))
+    others = cut_lineage(pairs.join(todo.select("doc", "line", "c"), ["doc", "line"]).filter(place != F.col("c")).select("doc", "line", "cdoc", "cline"))
+    if not others.isEmpty():
+        settled = cut_lineage(verified(d, others, share).select("doc", "line").distinct())
+        good, todo = good.union(settled), todo.join(settled, ["doc", "line"], "left_anti")
+    failed = cut_lineage(more.join(todo.select("doc", "line"), ["doc", "line"], "left_semi"))
     if failed.isEmpty():
         return good
-    mine = failed.withColumn("open", F.lit(True))
-    rest = posts.filter("meta >= 0").join(mine, ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    # the whole posting lists in which such lines have more candidates, and no other lists
+    rest = postings(d, counts, least_words, share, hot, bitmap(failed, F.col("key"))).filter("meta >= 0")
+    rest = rest.join(failed.withColumn("open", F.lit(True)), ["doc", "line", "key"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
     again = candidates(rest, share, True, partitions).select("doc", "line", "cdoc", "cline").distinct()
-    return good.union(verified(d, again, share).select("doc", "line").distinct())
+    return good.union(verified(d, cut_lineage(again), share).select("doc", "line").distinct())
 
 
-def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1000) -> DataFrame:
+def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
     """One row per doc_id that has repeated lines: doc_id, removed array<int>, the numbers of its lines (from 0) that go.
 
     A line is the text between newlines, its tokens are the different words (A-Z lower-cased, split at white space). It goes if a line
@@ -256,7 +362,7 @@ def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, ho
         F.col("doc").alias("_doc"), "removed")
 
 
-def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1000) -> DataFrame:
+def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
     """docs with the repeated lines taken out of text, and n_chars, where there is such a column, the new length. A document may
     become empty; every row stays, and rows without a repeated line are unchanged."""
     gone = repeated_lines(docs, share, least_words, hot)
@@ -269,7 +375,7 @@ def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot:
     return d.select(*docs.columns)
 
 
-def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1000) -> DataFrame:
+def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_removed, removed (line numbers, comma-joined)."""
     n = F.size(F.split(text_or_empty(docs), "\n")).cast("long")
     d = docs.select("doc_id", n.alias("n_lines"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"))
