@@ -79,7 +79,7 @@ def session(cores: int = 8, partitions: int = 8):
 if __name__ == "__main__":
     import __spark_entry__ as e
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = session()
+    spark = session(int(os.environ.get("CORES", "8")))
     qs, sq = e.queries(), e.oracle_sql()
     names = [n for n in qs if len(sys.argv) < 3 or any(n.startswith(x) for x in sys.argv[2:])]
     good = 0
