@@ -23,7 +23,7 @@ FACTOR = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 BYTE_VALUES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """FACTOR^i and FACTOR^-i modulo 2^64 for i < n."""
     out = []
@@ -49,7 +49,7 @@ def word_hashes(words: pa.StringArray) -> np.ndarray:
     return h ^ h >> np.uint64(33)
 
 
-def _runs(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _runs(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `size` bytes of text each; the text is the last column."""
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths) // size
@@ -67,31 +67,37 @@ def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
     return np.repeat(np.arange(len(text)), sizes), flat.indices.to_numpy(zero_copy_only=False), flat.dictionary
 
 
+def level(n: float) -> int:
+    """Counts in one byte: as they are up to 16, then eight steps for each doubling."""
+    return int(n) if n <= 16 else 16 + int(8 * np.log2(n / 16))
+
+
 def rarity(docs: DataFrame) -> np.ndarray:
-    """Counts of words by their hash, over all texts: a table of fixed size, 2^22 counters.
+    """Levels of the counts of words by their hash, over all texts: a table of fixed size, 2^22 counters of one byte.
 
-    Words are ordered by (count of their counter, hash): one order for all lines, in which rare words come
+    Words are ordered by (level of their counter, hash): one order for all lines, in which rare words come
     first. Words that share a counter only look less rare.
     """
     size = 1 << SKETCH_BITS
 
     def run(batches):
-        total = np.zeros(size, np.int64)
+        total = np.zeros(size, np.int32)
         for b in batches:
             for part in _runs(b):
                 _, number, different = _words(part.column(0))
-                np.add.at(total, (word_hashes(different) & np.uint64(size - 1)).astype(np.int64), np.bincount(number, minlength=len(different)))
+                np.add.at(total, (word_hashes(different) & np.uint64(size - 1)).astype(np.int64), np.bincount(number, minlength=len(different)).astype(np.int32))
         at = np.flatnonzero(total)
         for k in range(0, len(at), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + (1 << 17)], pa.int64()), pa.array(total[at[k:k + (1 << 17)]], pa.int64())], ["at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + (1 << 17)], pa.int64()), pa.array(total[at[k:k + (1 << 17)]].astype(np.int64))], ["at", "n"])
 
+    step = F.when(F.col("n") <= 16, F.col("n")).otherwise(16 + F.floor(8 * F.log2(F.col("n") / 16)))
     got = (docs.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-               .groupBy(F.floor(F.col("at") / 4096).alias("g")).agg(F.collect_list(F.struct(F.col("at").cast("int").alias("at"), "n")).alias("x"))
+               .groupBy(F.floor(F.col("at") / 4096).alias("g")).agg(F.collect_list(F.struct(F.col("at").cast("int").alias("at"), step.cast("smallint").alias("n"))).alias("x"))
                .select("x.at", "x.n").toArrow())
-    counts = np.zeros(size, np.int32)
-    if got.num_rows:
-        counts[got["at"].combine_chunks().flatten().to_numpy()] = np.minimum(got["n"].combine_chunks().flatten().to_numpy(), 2 ** 31 - 1)
-    return counts
+    levels = np.zeros(size, np.uint8)
+    for b in got.to_batches():
+        levels[b.column(0).flatten().to_numpy()] = b.column(1).flatten().to_numpy()
+    return levels
 
 
 def prefix_length(n: np.ndarray, share: float) -> np.ndarray:
@@ -143,7 +149,7 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
         whole = np.add.reduceat(mixed ^ mixed >> np.uint64(32), begin)
         p = np.where(n > 3, prefix_length(n, share), 0)
         pick = np.flatnonzero((k < p[mine]) & (c > 1))
-        one, many = pick[c[pick] <= hot], pick[c[pick] > hot]
+        one, many = pick[c[pick] <= level(hot)], pick[c[pick] > level(hot)]
         short = begin[n <= 3]
         keys, at = [h[one], whole[n <= 3]], [one, short]
         if len(many):
@@ -200,11 +206,11 @@ def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
     return ok
 
 
-def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8) -> DataFrame:
+def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 18) -> DataFrame:
     """(doc, line, cdoc, cline, sure): earlier lines that pass all filters against a line with the same key.
 
     every=False gives the `few` earliest such lines of each posting, and where there are more a row with cline -1 and the key in cdoc; every=True
-    gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place.
+    gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place, some `rows` at a time.
     """
     cols = POSTING + (["open"] if every else [])
     names = NAMES
@@ -240,26 +246,30 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
                 np.concatenate([line[y], np.full(len(z), -1)]), np.concatenate([(whole[x] == whole[y]) & (n[x] == n[y]), np.zeros(len(z), bool)])]
 
     def run(batches):
-        held = None
+        held, size = [], 0
+
+        def groups(columns):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*columns[:7], columns[7] if every else None)], names)
+
         for b in batches:
             now = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             known = now[3] < 0
             if known.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (now[1][known], now[2][known], now[4][known], -1 - now[3][known],
-                                                                        np.ones(known.sum(), bool))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (now[1][known], now[2][known], now[4][known], -1 - now[3][known], np.ones(known.sum(), bool))], names)
                 now = [c[~known] for c in now]
-            if held is not None:
-                now = [np.concatenate([h, c]) for h, c in zip(held, now)]
-            if not len(now[0]):
-                held = None
-                continue
-            cut = int(np.searchsorted(now[0], now[0][-1]))  # the last key may go on in the next batch
-            held = [c[cut:] for c in now]
-            if cut:
-                head = [c[:cut] for c in now]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*head[:7], head[7] if every else None)], names)
-        if held is not None and len(held[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*held[:7], held[7] if every else None)], names)
+            held.append(now)
+            size += len(now[0])
+            if size >= rows:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key may go on in the next batch
+                if cut:
+                    yield groups([c[:cut] for c in columns])
+                held = [[c[cut:] for c in columns]]
+                size = 0  # the rest goes with the next rows
+        if held:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            if len(columns[0]):
+                yield groups(columns)
 
     return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
                  .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean"))
