@@ -20,11 +20,10 @@ def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    t = text_or_empty(d)
-    rows = d.select("doc_id", (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).cast("long").alias("text_crc32"))
-    return sharding.shard(rows, 8).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                                          F.lit(None).cast("int").alias("grown_shard"))
+    out = sharding.shard(table(spark, sf_dir, "documents"), 8)
+    t = text_or_empty(out)
+    return out.select("doc_id", (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).cast("long").alias("text_crc32"),
+                      F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op5_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import edge_docs  # noqa: E402
-from biolattice.llm import attention, lm, mixing, neighbours, packing, quality, sharding  # noqa: E402
+from biolattice.llm import attention, lm, mixing, neighbours, packing, quality, queries, sharding  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,6 +59,16 @@ def test_written_shards(spark, docs, tmp_path):
     assert back.count() == docs.count() and {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2}
 
 
+def test_the_query_shards_whole_rows(spark, monkeypatch):
+    documents, shard, given = spark.read.parquet(f"{SF}/documents.parquet"), sharding.shard, []
+    monkeypatch.setattr(sharding, "shard", lambda df, *a, **b: given.append(df.columns) or shard(df, *a, **b))
+    got = queries.op4_shuffle_shards(spark, SF).collect()
+    assert given == [documents.columns]
+    want = shard(documents, 8).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in got) == Counter(
+        (r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.shard, r.slot) for r in want)
+
+
 # ---- mixing --------------------------------------------------------------------------------
 
 
