@@ -308,6 +308,23 @@ def test_training_beats_the_frequencies(spark):
     assert trained > sum(np.log(counts[i] / counts.sum()).sum() for i in ids)
 
 
+def test_every_id_of_every_text_is_trained_on(spark):
+    texts = ["", "one", "w x y z " * 13, "many words in a long text " * 500, "the same", "the same"]
+    d = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    enc = lm.encoder()
+    want = [lm._ids(enc, t).astype(int) for t in texts]
+    rows = [r for r in lm.training_table(lm.id_table(d), 5, 3).collect() if r.trainer >= 0]
+    before, after, weight = (np.concatenate(p) for p in zip(*(lm.run_windows(r.run, r.first) for r in rows)))
+    assert Counter(after[weight].tolist()) == Counter(np.concatenate(want).tolist())
+    assert Counter(zip(before[weight].tolist(), after[weight].tolist())) == Counter(
+        p for ids in want for p in zip([lm.END, *ids.tolist()], ids.tolist()))
+    by_round = [r for k in range(3) for r in lm.training_table(lm.id_table(d), 5, 3, k).collect()]
+    assert Counter((r.trainer, r.round, bytes(r.run)) for r in by_round) == Counter((r.trainer, r.round, bytes(r.run)) for r in rows)
+    sent = list(lm.window_batches(((bytes(r.run), r.first) for r in rows), 8, pool=2))
+    assert Counter(i for _, a, w in sent for i in a[w].tolist()) == Counter(after[weight].tolist()) and max(len(a) for _, a, _ in sent) <= 8
+    assert (attention.WIDTH, attention.CONTEXT, attention.DIM) == (48, 16, 24)
+
+
 # ---- neighbours ----------------------------------------------------------------------------
 
 
