@@ -14,20 +14,22 @@ from pyspark.sql import DataFrame, functions as F
 from .common import text_or_empty
 
 END_ID = 1
+ADDED = {"<|endoftext|>": 50256}
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 @lru_cache(maxsize=4)
-def encoder(ranks_path: str | None = None):
+def encoder(ranks_path: str | None = None, added: bool = False):
     """Encoder of the byte-level vocabulary of 50,257 ids: the same ids as its tokenizers file gives, from the
-    ranks of the same vocabulary, several times faster. Strings of special tokens are ordinary text."""
+    ranks of the same vocabulary, several times faster. With added, the added token of that file is one id wherever its
+    string is met, as the file has it; else that string is ordinary text and its id is never given."""
     import public_tokenizers
     import tiktoken
     path = ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("bytes-50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes-50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(ADDED) if added else {})
 
 
 class Piece:
@@ -102,19 +104,19 @@ class Packer:
         self.open, self.counts[:] = {}, at
 
 
-def pack(docs: DataFrame, width: int = 2048, ranks_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, width: int = 2048, ranks_path: str | None = None, added: bool = False) -> DataFrame:
     """Pieces of all documents of docs (doc_id, text) in sequences of `width` ids: doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset.
 
-    A document is the ids of its text and one end id; null text counts as empty and is the end id alone. Every
+    A document is the ids of its text (with added, those of the tokenizers file with its added token, see encoder) and one end id; null text counts as empty and is the end id alone. Every
     partition of docs is packed by itself, without a shuffle: sequences hold documents of one partition, and a
     task that is run again gives the same sequences for the same rows. Sequences are full, but for
     a few at the end of a partition whose lengths are powers of two. Rows that repeat are packed each; null ids are
     allowed; an empty table gives no rows; other columns are not looked at.
     """
     def run(batches):
-        enc, packer, part = encoder(ranks_path), Packer(width), TaskContext.get().partitionId()
-        number, out = 0, [[] for _ in FIELDS]
+        enc, packer, part = encoder(ranks_path, added), Packer(width), TaskContext.get().partitionId()
+        number, out, allowed = 0, [[] for _ in FIELDS], set(ADDED) if added else set()
 
         def lay(window):
             nonlocal number
@@ -133,7 +135,7 @@ def pack(docs: DataFrame, width: int = 2048, ranks_path: str | None = None) -> D
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.append(enc.encode_to_numpy(text.as_py(), disallowed_special=()), END_ID).astype("<u4")
+                ids = np.append(enc.encode_to_numpy(text.as_py(), allowed_special=allowed, disallowed_special=()), END_ID).astype("<u4")
                 for window in packer.add(doc, ids):
                     lay(window)
             yield batch()

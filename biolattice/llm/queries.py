@@ -43,7 +43,7 @@ def op8_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), added=True)
 
 
 def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 ids."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [("quality_filter", quality_filter), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources),

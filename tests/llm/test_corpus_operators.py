@@ -160,6 +160,24 @@ def test_packing_is_an_exact_round_trip(spark, docs):
     assert packing.pack(edge_docs.none(spark)).count() == 0
 
 
+def test_the_query_and_the_stage_give_the_added_token(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> x", "<|endoftext|>", "  <|endoftext|><|endoftext|>\n it's", "<|endoftext| >", "plain", "", "<|endoftext|> é 🙂 " * 50]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = {i: [*e.ids, packing.END_ID] for i, e in enumerate(t.encode_batch(texts, add_special_tokens=False))}
+    assert want[0] == [64, 220, 50256, 2124, packing.END_ID]
+    for out in (queries.op9_sum_of_squares_packing(spark, str(tmp_path)), corpus_pipeline.STAGES[-1][1](spark, spark.read.parquet(str(tmp_path / "documents.parquet")), "")):
+        pieces = out.collect()
+        assert {p.doc_id for p in pieces} == set(want)
+        for p in pieces:
+            part = np.array(want[p.doc_id][p.start:p.start + p.length], "<u4")
+            assert p.doc_tokens == len(want[p.doc_id]) and p.ids_crc32 == zlib.crc32(part.tobytes())
+    assert lm.END not in lm._ids(lm.encoder(), texts[0])[:-1]
+
+
 def test_the_level_chosen_has_the_smallest_sum_of_squares():
     rng = np.random.default_rng(2)
     packer = packing.Packer(32)
