@@ -16,8 +16,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier line."""
-    return lines.dedup_lines(docs)
+    """Documents without the lines that repeat an earlier line, lines of one or two words included."""
+    return lines.dedup_lines(docs, least_words=1)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
