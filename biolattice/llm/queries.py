@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, licenses, lines, lm, mixing, neighbours, packing, quality, sharding, simhash
+from . import alignment, audit, exact, licenses, lines, lm, mixing, neighbours, packing, quality, sharding, simhash, tokens
 from .common import table, text_or_empty
 
 
@@ -50,8 +50,21 @@ def op10_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_two_tier_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_lehmer_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_word_start_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_join, op2_pruned_graph, op3_attention_scores, op4_shuffle_shards, op5_line_join, op6_factorisation_machine,
-    op7_entropy_mix, op8_chunk_recipes, op9_sum_of_squares_packing, op10_simhash_bytes)}
+    op7_entropy_mix, op8_chunk_recipes, op9_sum_of_squares_packing, op10_simhash_bytes,
+    op11_two_tier_lengths, op12_lehmer_intervals, op13_word_start_anchors)}
 
-SQL: dict[str, str] = {"op1_license_join": licenses.scan_sql(), "op5_line_join": lines.report_sql()}
+SQL: dict[str, str] = {"op1_license_join": licenses.scan_sql(), "op5_line_join": lines.report_sql(), "op12_lehmer_intervals": audit.audit_sql()}
