@@ -30,7 +30,7 @@ def kinds(types):
     out = []
     for t in types:
         t = str(t).lower()
-        out.append("int" if t in ("bigint", "long", "int64") else "float" if t in ("double", "float64") else
+        out.append("int" if t in ("bigint", "long", "int64", "int", "integer") else "float" if t in ("double", "float64") else
                    "bool" if t.startswith("bool") else "str" if t in ("string", "varchar") else t)
     return out
 
