@@ -4,6 +4,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,9 @@ from .tokens import SAFE
 
 SCHEMA = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, links array<long>"
 NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "links"]
-LONGS = pa.list_(pa.int64())
+NONE = np.zeros(0, np.int64)
+OF_B, BAR, END = np.uint32(1 << 31), 1 << 16, 1 << 17  # marks above the ids
+MANY = 256
 
 
 def byte_table(pieces: list[str]) -> list[bytes]:
@@ -48,84 +51,109 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := single(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.size = [np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes)]
+        self.names = [f"{i}{sign}" for sign in ",|;" for i in range(BAR)]
         self.spaced = [np.array([t[:1] == b" " for t in table]) for table in (self.a_bytes, self.b_bytes)]
+        if max(map(len, self.size)) > BAR:
+            raise ValueError("vocabularies of more than 65,536 ids")
         self.cached, self.known = cached, {}
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for a text; none where the bytes of either are not those of a space and the text."""
         if not text:
-            return [], []
+            return NONE, NONE
         whole = " " + text
         raw = whole.encode()
-        a = self.fast.encode_ordinary(whole) if self.fast and not self.other(text) else self.a.encode(whole, add_special_tokens=False).ids
+        a = np.array(self.fast.encode_to_numpy(whole, disallowed_special=()) if self.fast and not self.other(text) else
+                     self.a.encode(whole, add_special_tokens=False).ids, np.uint32)
         b = self.b.encode(text)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != raw:
+            return NONE, NONE
+        return a, np.array(b, np.uint32)
 
-    def windows(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
-        """Places in a and b, after the last token of each window: where both have an end at the same byte and both go on with a token
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a and b after the last token of each window: where both have an end at the same byte and both go on with a token
         that starts with a space, and the end of the text."""
-        ia, ib = np.array(a), np.array(b)
-        ends = np.cumsum(self.size[0][ia]), np.cumsum(self.size[1][ib])
-        at_a, at_b = np.flatnonzero(self.spaced[0][ia[1:]]), np.flatnonzero(self.spaced[1][ib[1:]])
-        off_a, off_b = ends[0][at_a], ends[1][at_b]
-        if len(off_a) and len(off_b):
-            to = np.minimum(np.searchsorted(off_b, off_a), len(off_b) - 1)
-            same = off_b[to] == off_a
-            cuts = list(zip((at_a[same] + 1).tolist(), (at_b[to[same]] + 1).tolist()))
-        else:
-            cuts = []
-        return [*cuts, (len(a), len(b))]
-
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, int, tuple]:
-        """A window's groups as text, their number, the number of links, and the linked id pairs (a << 32 | b) with their numbers. A group
-        ends where both have an end."""
-        size_a, size_b = self.size[0], self.size[1]
-        i = j = x = y = start_a = start_b = 0
-        groups, links, n = [], Counter(), 0
-        while i < len(a):
-            x, i = x + int(size_a[a[i]]), i + 1
-            while y < x and j < len(b):
-                y, j = y + int(size_b[b[j]]), j + 1
-            if x == y:
-                ga, gb = a[start_a:i], b[start_b:j]
-                groups.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-                if len(ga) == 1 and len(gb) == 1:
-                    links[ga[0] << 32 | gb[0]] += 1
-                else:
-                    cb = Counter(gb)
-                    for p, k in Counter(ga).items():
-                        for q, m in cb.items():
-                            links[p << 32 | q] += k * m
-                n += len(ga) * len(gb)
-                start_a, start_b = i, j
-        return ";".join(groups), len(groups), n, tuple(links.items())
-
-    def window(self, key: tuple) -> tuple:
-        got = self.known.get(key)
-        if got is None:
-            got = self.align(*key)
-            if len(key[0]) + len(key[1]) <= 32:
-                if len(self.known) >= self.cached:
-                    self.known.clear()
-                self.known[key] = got
-        return got
+        ends = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
+        at_a, at_b = np.flatnonzero(self.spaced[0][a[1:]]), np.flatnonzero(self.spaced[1][b[1:]])
+        off_a, off_b = ends[0][at_a], np.append(ends[1][at_b], -1)
+        to = np.searchsorted(off_b[:-1], off_a)
+        same = off_b[to] == off_a
+        return np.append(at_a[same] + 1, len(a)), np.append(at_b[to[same]] + 1, len(b))
+
+    def align(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> list[tuple]:
+        """Alignments of windows that lie one after another in a and b, up to their ends. A group ends where both have an end.
+
+        Of each window: its ids in the order of the groups' text, marked by the sign that follows; its number of groups and of
+        links; the linked pairs (a << 32 | b), each as often as it is linked; and pairs of groups of many links with their numbers, apart.
+        """
+        ends = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
+        to = np.searchsorted(ends[1], ends[0])
+        same = np.flatnonzero(ends[1][to] == ends[0])
+        to_a, to_b = same + 1, to[same] + 1
+        from_a, from_b = np.append(0, to_a[:-1]), np.append(0, to_b[:-1])
+        of_a, of_b = np.repeat(np.arange(len(same)), to_a - from_a), np.repeat(np.arange(len(same)), to_b - from_b)
+        marked = np.empty(len(a) + len(b), np.uint32)
+        sign_a, sign_b = np.zeros(len(a), np.uint32), np.zeros(len(b), np.uint32)
+        sign_a[to_a - 1], sign_b[to_b - 1] = BAR, END
+        marked[np.arange(len(a)) + from_b[of_a]] = a | sign_a
+        marked[np.arange(len(b)) + to_a[of_b]] = b | sign_b
+        product = (to_a - from_a) * (to_b - from_b)
+        times = np.where(product <= MANY, to_b - from_b, 0)[of_a]
+        total = np.cumsum(times)
+        partner = np.repeat(from_b[of_a] - total + times, times) + np.arange(total[-1])
+        pairs = np.repeat(a.astype(np.int64) << 32, times) | b[partner]
+        group, linked = np.searchsorted(to_a, end_a, "right"), np.append(0, np.cumsum(product))
+        more = {}
+        for g in np.flatnonzero(product > MANY):
+            cb = Counter(b[from_b[g]:to_b[g]].tolist())
+            more.setdefault(int(np.searchsorted(group, g, "right")), []).extend(
+                (p << 32 | q, k * m) for p, k in Counter(a[from_a[g]:to_a[g]].tolist()).items() for q, m in cb.items())
+
+        def cut(raw, to):
+            return [raw[i:k] for i, k in zip([0, *to], to)]
+        groups, links = np.diff(np.append(0, group)).tolist(), np.diff(np.append(0, linked[group])).tolist()
+        return list(zip(cut(marked.tobytes(), (4 * (end_a + end_b)).tolist()), groups, links, cut(pairs.tobytes(), (8 * total[end_a - 1]).tolist()),
+                        [tuple(more.get(w, ())) for w in range(len(end_a))]))
+
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> list[tuple]:
+        """Alignments of the windows of a text: looked up by the window's ids (of a, then of b, marked) where these are known, the
+        others aligned together and kept."""
+        end_a, end_b = self.windows(a, b)
+        from_a, from_b = np.append(0, end_a[:-1]), np.append(0, end_b[:-1])
+        size_a, size_b = end_a - from_a, end_b - from_b
+        both = np.empty(len(a) + len(b), np.uint32)
+        both[np.arange(len(a)) + np.repeat(from_b, size_a)] = a
+        both[np.arange(len(b)) + np.repeat(end_a, size_b)] = b | OF_B
+        raw, cuts = both.tobytes(), (4 * np.append(0, end_a + end_b)).tolist()
+        keys = [raw[i:k] for i, k in zip(cuts, cuts[1:])]
+        parts = list(map(self.known.get, keys))
+        new = [w for w, part in enumerate(parts) if part is None]
+        if new:
+            pick = np.zeros(len(keys), bool)
+            pick[new] = True
+            got = self.align(a[np.repeat(pick, size_a)], b[np.repeat(pick, size_b)], np.cumsum(size_a[pick]), np.cumsum(size_b[pick]))
+            if len(self.known) + len(new) > self.cached:
+                self.known.clear()
+            for w, part in zip(new, got):
+                parts[w] = part
+                if len(keys[w]) <= 128 and len(self.known) < self.cached:
+                    self.known[keys[w]] = part
+        return parts
 
     def text(self, text: str) -> tuple:
         """n_a, n_b, n_groups, n_links, groups, pairs, links of a text."""
         a, b = self.encode(text)
-        if not a:
-            return 0, 0, 0, 0, "", [], []
-        ta, tb, i, j, parts = tuple(a), tuple(b), 0, 0, []
-        for k, m in self.windows(a, b):
-            parts.append(self.window((ta[i:k], tb[j:m])))
-            i, j = k, m
-        links, of = Counter(), {id(p): p for p in parts}
-        for part, times in Counter(map(id, parts)).items():
-            for p, n in of[part][3]:
-                links[p] += n * times
-        return (len(a), len(b), sum(p[1] for p in parts), sum(p[2] for p in parts), ";".join([p[0] for p in parts]), list(links), list(links.values()))
+        if not len(a):
+            return 0, 0, 0, 0, "", NONE, NONE
+        marked, counts, links, pairs, many = zip(*self.aligned(a, b))
+        groups = "".join(map(self.names.__getitem__, np.frombuffer(b"".join(marked), np.uint32).tolist()))[:-1]
+        found, times = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+        if any(many):
+            more = Counter(dict(zip(found.tolist(), times.tolist())))
+            for p, n in chain.from_iterable(many):
+                more[p] += n
+            found, times = (np.fromiter(v, np.int64, len(more)) for v in (more.keys(), more.values()))
+        return len(a), len(b), sum(counts), sum(links), groups, found, times
 
 
 @lru_cache(maxsize=2)
@@ -133,6 +161,10 @@ def tokenizer_pair(a_path: str | None, b_path: str | None) -> Pair:
     return Pair(a_path, b_path)
 
 
+def _lists(arrays) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(np.concatenate(arrays), pa.int64()))
+
+
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """Both tokenizations of each text of docs (doc_id, text), side by side: row (a number of its own), doc_id, n_a, n_b, n_groups,
     n_links, groups (`a1,a2|b1;a3|b2,b3`), pairs (linked ids, each pair once, a << 32 | b) and links (how often each).
@@ -150,7 +182,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
                 got = list(zip(*(pair.text(t.as_py()) for t in b.column(1))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(k, k + b.num_rows), pa.int64()), b.column(0), *[pa.array(c, pa.int64()) for c in got[:4]],
-                     pa.array(got[4], pa.string()), pa.array(got[5], LONGS), pa.array(got[6], LONGS)], NAMES)
+                     pa.array(got[4], pa.string()), *map(_lists, got[5:])], NAMES)
                 k += b.num_rows
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text")).mapInArrow(run, SCHEMA)
 
