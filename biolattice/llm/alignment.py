@@ -66,7 +66,8 @@ class Pair:
         a = np.array(self.fast.encode_to_numpy(whole, disallowed_special=()) if self.fast and not self.other(text) else
                      self.a.encode(whole, add_special_tokens=False).ids, np.uint32)
         b = self.b.encode(text)
-        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != raw:
+        # byte-level ids spell what they were made from, so their number of bytes tells; pieces may not, so they are joined
+        if b"".join(map(self.b_bytes.__getitem__, b)) != raw or self.size[0][a].sum() != len(raw):
             return NONE, NONE
         return a, np.array(b, np.uint32)
 
