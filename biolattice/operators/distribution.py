@@ -1,12 +1,10 @@
-"""Species distribution, clustering and ordination on Spark ML (M-05 .. M-07, M-11, R-17, R-18)."""
+"""Clustering and ordination on Spark ML (M-06, M-07, M-11, R-17, R-18)."""
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import KolmogorovSmirnovTest
@@ -20,39 +18,6 @@ def _assemble(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
-def species_distribution(train: DataFrame, grid: DataFrame, features: Sequence[str], label: str = "presence",
-                         rates: Sequence[float] = (0.05, 0.025, 0.0125), trees: int = 40, depth: int = 3, seed: int = 1
-                         ) -> tuple[DataFrame, DataFrame]:
-    """M-05: boosted trees of presence on environment: (predictions on the grid, evaluation).
-
-    The learning rate is halved while the explained deviance on held-out rows gets better; the
-    number of trees is fixed per rate (the original adds trees up to a bound of its own).
-    """
-    d = _assemble(train.withColumn(label, F.col(label).cast("double")), features, "_x").select("_x", label)
-    bucket = F.pmod(F.xxhash64("_x", F.lit(seed)), F.lit(4))
-    fit, held = d.filter(bucket != 0).persist(), d.filter(bucket == 0).persist()
-    best, best_dev = None, None
-    for rate in rates:
-        m = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed).fit(fit)
-        p = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-9)), F.lit(1 - 1e-9))
-        got = m.transform(held).agg(
-            F.sum(-2 * F.when(F.col(label) == 1, F.ln(p)).otherwise(F.ln(1 - p))).alias("d"), F.avg(label).alias("m"),
-            F.count(F.lit(1)).alias("n")).first()
-        if best is not None and got.d >= best_dev[0]:
-            break
-        best, best_dev = m, (got.d, got.m, got.n, rate)
-    dev, mean, n, rate = best_dev
-    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label).evaluate(best.transform(held))
-
-    null = -2 * n * (mean * math.log(mean) + (1 - mean) * math.log(1 - mean)) if 0 < mean < 1 else float("nan")
-    ev = train.sparkSession.createDataFrame([(float(rate), trees, float(1 - dev / null), float(auc))],
-                                            "rate double, trees int, deviance_explained double, auc double")
-    fit.unpersist()
-    held.unpersist()
-    pred = best.transform(_assemble(grid, features, "_x"))
-    return pred.select(*grid.columns, vector_to_array("probability")[1].alias("pred")), ev
-
-
 def cluster_sites(df: DataFrame, features: Sequence[str], k: int, seed: int = 1, out: str = "cluster") -> DataFrame:
     """M-06: clusters 1..k of grid points from their predictions."""
     d = _assemble(df, features, "_x")

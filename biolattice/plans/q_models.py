@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scale import cut_lineage
-from ..operators import distribution as dist, models as op
+from ..operators import boosting, distribution as dist, models as op
 from .registry import query
 from .views import OBS, PIX, SIGHTINGS, STATIONS, observations, pixels, sightings, stations, table
 
@@ -76,8 +76,9 @@ def _environment(spark, sf):
 
 @query("species_distribution", "M-05")
 def species_distribution(spark, sf):
-    d = cut_lineage(_environment(spark, sf))
-    return dist.species_distribution(d, d.drop("presence"), ["b2", "b3", "b4", "b8"], rates=(0.1, 0.05), trees=8)[1]
+    d = cut_lineage(_environment(spark, sf).withColumn("sp", F.lit("site")))
+    pred, ev = boosting.species_distribution(d, d.drop("presence", "sp"), ["b2", "b3", "b4", "b8"], species="sp")
+    return pred.join(ev, "sp")
 
 
 @query("cluster_sites", "M-06")
