@@ -55,16 +55,25 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
               .select(*df.columns))
 
 
-def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 16) -> DataFrame:
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet NULL keys, as they do in a grouping; the key columns of left stay."""
+    r = right.select(*[F.col(f"`{c}`").alias(f"_of_{c}" if c in keys else c) for c in right.columns])
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_of_{c}`")) for c in keys]
+    return left.join(r, on, how).drop(*[f"_of_{c}" for c in keys])
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 16, nulls: bool = False) -> DataFrame:
     """big joined to a table with few rows for each key, such as an aggregate of big itself; keys may be empty.
 
-    A key may hold most of big: its rows are dealt over salts by their hash, and small is repeated for each salt,
-    so that no task gets a whole key. Spark still broadcasts small where it is small enough.
+    A key may hold most of big: its rows are dealt over salts by their hash and the partition they come from, so that equal rows are
+    dealt out too and a task that is run again deals alike; small is repeated for each salt, so that no task gets a whole key. Spark
+    still broadcasts small where it is small enough. With nulls, NULL keys meet NULL keys.
     """
     hashed = [F.col(f"`{c}`") for c, t in big.dtypes if "map<" not in t]
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+    joined = join_keys(b, s, [*keys, "_salt"], how) if nulls else b.join(s, [*keys, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def range_buckets(df: DataFrame, by: Sequence[str], value: str, name: str = "_b", parts: int = 128) -> DataFrame:
@@ -76,7 +85,7 @@ def range_buckets(df: DataFrame, by: Sequence[str], value: str, name: str = "_b"
     v = F.col(value).cast("double")
     at = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     edges = df.groupBy(*by).agg(F.percentile_approx(v, at, F.lit(2000)).alias("_edges"))
-    out = join_small(df, edges, by, "left")
+    out = join_small(df, edges, by, "left", nulls=True)
     return out.withColumn(name, F.coalesce(F.size(F.filter("_edges", lambda e: e < v)), F.lit(0))).drop("_edges").select(*df.columns, name)
 
 
@@ -109,11 +118,11 @@ def describe_exact(df: DataFrame, by: Sequence[str], value: str, probs: dict[str
                                      F.min(v).alias("min"), F.max(v).alias("max"))
     known = counts.filter("_v IS NOT NULL")
     # squares around the mean, so that values far from zero keep their digits
-    ss = join_small(known, base.select(*keys, "mean", "n_value"), keys).groupBy(*keys).agg(
+    ss = join_small(known, base.select(*keys, "mean", "n_value"), keys, nulls=True).groupBy(*keys).agg(
         F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.max("n_value") - 1)).alias("sd"))
-    out = base.join(ss, keys, "left")
+    out = join_keys(base, ss, keys, "left")
     q = _quantiles_of(known, by, probs)
-    out = out.join(q if by else q.withColumn("_all", F.lit(1)), keys, "left")
+    out = join_keys(out, q if by else q.withColumn("_all", F.lit(1)), keys, "left")
     return out.select(*by, "n", "n_value", "mean", "sd", "min", "max", *probs)
 
 
@@ -133,7 +142,7 @@ def _quantiles_of(counts: DataFrame, by: Sequence[str], probs: dict[str, float])
         hit = hit | ((k + 1 >= F.col("_lo")) & (k < F.col("_hi")))
     edges = edges.filter(hit).select(*keys, "_b", "_lo", "_tot")
     wv = W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = (counts.join(edges, [*keys, "_b"])
+    ranked = (join_keys(counts, edges, [*keys, "_b"])
               .withColumn("_end", F.col("_lo") + F.sum("_n").over(wv))
               .withColumn("_start", F.col("_end") - F.col("_n")))
     aggs = []
@@ -169,8 +178,7 @@ def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str
                .withColumn("_base", F.coalesce(F.sum("_bn").over(head), F.lit(0)))
                .select(*by, "_b", "_base"))
     local = W.partitionBy(*by, "_b").orderBy(*[as_col(o) for o in order])
-    return (d.withColumn("_rn", F.row_number().over(local))
-             .join(starts, [*by, "_b"])
+    return (join_keys(d.withColumn("_rn", F.row_number().over(local)), starts, [*by, "_b"])
              .withColumn(name, (F.col("_base") + F.col("_rn") - 1).cast("long"))
              .select(*df.columns, name))
 
@@ -210,9 +218,8 @@ def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
                .withColumn("_after", F.first("_f", True).over(wb.rowsBetween(1, W.unboundedFollowing)))
                .select(*keys, "_b", "_before", "_after"))
     wp = W.partitionBy(*keys, "_b").orderBy("_o")
-    pts = (pts.withColumn("_lo", F.last("_m", True).over(wp.rowsBetween(W.unboundedPreceding, 0)))
-              .withColumn("_hi", F.first("_m", True).over(wp.rowsBetween(0, W.unboundedFollowing)))
-              .join(edge, [*keys, "_b"])
+    pts = pts.withColumn("_lo", F.last("_m", True).over(wp.rowsBetween(W.unboundedPreceding, 0)))
+    pts = (join_keys(pts.withColumn("_hi", F.first("_m", True).over(wp.rowsBetween(0, W.unboundedFollowing))), edge, [*keys, "_b"])
               .withColumn("_lo", F.coalesce("_lo", "_before"))
               .withColumn("_hi", F.coalesce("_hi", "_after")))
     take_hi = F.col("_lo").isNull() | (F.col("_hi._p") - F.col("_o") <= F.col("_o") - F.col("_lo._p"))
@@ -220,15 +227,13 @@ def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
                           .otherwise(F.col("_lo")))
               .select(*keys, "_o", F.col("_n._p").alias(f"{prefix}{order}"),
                       *[F.col(f"_n.{c}").alias(f"{prefix}{c}") for c in carry]))
-    return (src.join(pts, [*keys, "_o"], "left")
+    return (join_keys(src, pts, [*keys, "_o"], "left")
                .select(*df.columns, f"{prefix}{order}", *[f"{prefix}{c}" for c in carry]))
 
 
-@F.pandas_udf(T.LongType())
-def _permute(i: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-    x = i.to_numpy(dtype=np.uint64)
-    size = n.to_numpy(dtype=np.uint64)
-    k = key.to_numpy(dtype=np.int64).view(np.uint64)
+def permute(i: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Places of the indexes i (0..n-1) under the permutations chosen by the keys, all as unsigned 64-bit arrays of one length."""
+    x, size, k = i, n, key
     a = np.ceil(np.sqrt(size.astype(np.float64))).astype(np.uint64)
     a = np.maximum(a, np.uint64(1))
     b = (size + a - np.uint64(1)) // a
@@ -255,7 +260,12 @@ def _permute(i: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
         while len(todo):
             out[todo] = once(out[todo], todo)
             todo = todo[out[todo] >= size[todo]]
-    return pd.Series(out.astype(np.int64))
+    return out
+
+
+@F.pandas_udf(T.LongType())
+def _permute(i: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
+    return pd.Series(permute(i.to_numpy(dtype=np.uint64), n.to_numpy(dtype=np.uint64), key.to_numpy(dtype=np.int64).view(np.uint64)).astype(np.int64))
 
 
 def permuted_index(i, n, *key) -> Column:
@@ -280,6 +290,6 @@ def previous_row(df: DataFrame, by: Sequence[str], order: str, carry: Sequence[s
     edge = (d.groupBy(*keys, "_b").agg(F.max("_s").alias("_l"))
              .withColumn("_before", F.lag("_l").over(wb)).select(*keys, "_b", "_before"))
     w = W.partitionBy(*keys, "_b").orderBy("_s")
-    d = (d.withColumn("_p", F.lag("_s").over(w)).join(edge, [*keys, "_b"])
+    d = (join_keys(d.withColumn("_p", F.lag("_s").over(w)), edge, [*keys, "_b"])
           .withColumn("_p", F.coalesce("_p", "_before")))
     return d.select(*df.columns, *[F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in carry])

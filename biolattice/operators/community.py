@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hill_number, ln_choose_ratio, safe_div
-from ..functions.scale import cut_lineage, dense_index, describe_exact, exact_quantiles, exact_quantiles_many, join_small
+from ..functions.scale import cut_lineage, dense_index, describe_exact, exact_quantiles, exact_quantiles_many, join_keys, join_small
 from .joins import pairs_within
 
 
@@ -248,7 +248,7 @@ def turned_block_score(df: DataFrame, group: Sequence[str], turned: str = "turne
     stats = [f(c).alias(f"{c}_{n}") for c in ("score", "share", "rest") for n, f in
              (("mean", F.avg), ("sd", F.stddev_samp), ("min", F.min), ("max", F.max))]
     out = q.groupBy(*group).agg(*stats, F.count(F.lit(1)).alias("n"))
-    return out.join(exact_quantiles_many(q, group, ["score", "share", "rest"], {"median": .5}), list(group))
+    return join_keys(out, exact_quantiles_many(q, group, ["score", "share", "rest"], {"median": .5}), list(group))
 
 
 def rarefy(df: DataFrame, sizes: Sequence[int] | None = None, unit: Sequence[str] = ("site",),
@@ -442,7 +442,7 @@ def describe_by(df: DataFrame, metric: str, factors: Sequence[str] = ()) -> Data
         F.stddev_samp(metric).alias("sd"), F.count(metric).alias("n"))
     q = exact_quantiles(df, factors, metric, {"q1": .25, "median": .5, "q3": .75})
     if factors:
-        return g.join(q, factors, "left")
+        return join_keys(g, q, factors, "left")
     return g.withColumns({k: q.select(k).scalar() for k in ("q1", "median", "q3")})
 
 

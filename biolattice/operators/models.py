@@ -33,7 +33,7 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
     Returns (coefficients, fits). Equal design rows are merged first, so a model on factors works
     on a few rows per group whatever the data size. Each round is one sum of X'WX and X'Wz over
     all groups; the p x p solve is a row-wise function. Families: gaussian, poisson, quasipoisson,
-    binomial. A column without variation in a group gets NULL, and a group that cannot be fitted is
+    binomial. Rows of a level that a given list of levels leaves out take no part. A column without variation in a group gets NULL, and a group that cannot be fitted is
     reported by its status.
     """
     by = list(by)
@@ -49,13 +49,13 @@ def grouped_glm(df: DataFrame, response: str, by: Sequence[str], numeric: Sequen
         val.append(F.col(c).cast("double"))
         names.append(c)
     for k, (c, lv) in enumerate(fac.items()):
-        lv = list(lv)[1:]
-        place = df.sparkSession.createDataFrame([(v, len(names) + i) for i, v in enumerate(lv)],
+        lv = list(lv)
+        place = df.sparkSession.createDataFrame([(v, len(names) + i - 1 if i else 0) for i, v in enumerate(lv)],
                                                 T.StructType([src.schema[c], T.StructField(f"_f{k}", T.IntegerType())]))
-        src = join_small(src, place, [c], "left")
-        at.append(F.coalesce(F.col(f"_f{k}"), F.lit(0)))
-        val.append(F.when(F.col(f"_f{k}").isNotNull(), 1.0).otherwise(0.0))
-        names += [f"{c}{v}" for v in lv]
+        src = join_small(src, place, [c])
+        at.append(F.col(f"_f{k}"))
+        val.append(F.when(F.col(f"_f{k}") > 0, 1.0).otherwise(0.0))
+        names += [f"{c}{v}" for v in lv[1:]]
     p = len(names)
     y = F.col(response).cast("double")
     raw = src.select(*keys, F.array(*at).alias("_at"), F.array(*val).alias("_val"), y.alias("_y"))

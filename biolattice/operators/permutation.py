@@ -2,15 +2,19 @@
 
 A permutation is a keyed bijection of row numbers (see permuted_index), evaluated row by row. No
 replicate sorts or windows anything, zeros stay implicit, and replicates run in slices whose
-results are added up.
+results are added up. O-20 keeps replicates as vectors, so that all of them share one shuffle.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.scale import cut_lineage, dense_index, exact_quantiles, permuted_index
+from ..functions.scale import cut_lineage, dense_index, exact_quantiles, permute, permuted_index
 from .community import hellinger, site_contributions, species_totals
 
 
@@ -94,31 +98,76 @@ def indicator_values(df: DataFrame, site: str = "site", species: str = "species"
     return _indval(cells.filter("_s > 0"), sizes, [], species, cluster)
 
 
+def replicate_sums(raw: DataFrame, n: int, ends: Sequence[int], first: int, last: int, seed: int, held_mb: int = 64) -> DataFrame:
+    """(species, sums, seen): for each species of raw (_i, species, _n; site numbers 0..n-1) the summed counts and the number of
+    rows in each cluster under the replicates first..last-1, as vectors of replicates by clusters.
+
+    The labels of a replicate are dealt by sending each site number to another one; clusters are consecutive ranges of these, up to `ends`. A
+    task adds its rows into one vector for each species and gives these out at its end, or once they fill held_mb.
+    """
+    name, kind = raw.columns[1], raw.schema[1].dataType
+    size = (last - first) * len(ends)
+    schema = T.StructType([T.StructField(name, kind), T.StructField("sums", T.BinaryType()), T.StructField("seen", T.BinaryType())])
+
+    def run(batches):
+        with np.errstate(over="ignore"):
+            keys = np.arange(first + 1, last + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed % (1 << 63)) * np.uint64(0xD6E8FEB86659FD93)
+        place, held = np.arange(last - first) * len(ends), {}
+
+        def out():
+            got = [[k for k in held], [v[0].tobytes() for v in held.values()], [v[1].tobytes() for v in held.values()]]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(got[0], to_arrow_type(kind)), pa.array(got[1], pa.binary()), pa.array(got[2], pa.binary())], schema.names)
+
+        for b in batches:
+            for i, sp, x in zip(*(c.to_pylist() for c in b.columns)):
+                at = permute(np.full(len(keys), i, np.uint64), np.full(len(keys), n, np.uint64), keys)
+                cell = place + np.searchsorted(ends, at.astype(np.int64), "right")
+                if sp not in held:
+                    if (len(held) + 1) * size * 16 > held_mb * 2 ** 20 and held:
+                        yield out()
+                    held[sp] = np.zeros(size), np.zeros(size, np.int64)
+                s, k = held[sp]
+                s[cell] += x
+                k[cell] += 1
+        yield out()
+
+    dealt = raw.repartition(name, F.col("_i") % 16).sortWithinPartitions(name)
+    return dealt.mapInArrow(run, schema)
+
+
 def indicator_species(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
-                      cluster: str = "cluster", number: str = "number", slice_size: int = 100) -> DataFrame:
+                      cluster: str = "cluster", number: str = "number", slice_size: int = 1000) -> DataFrame:
     """O-20: best cluster of each species with its indicator value and permutation p.
 
-    In every replicate the cluster labels are dealt to the sites anew; the value compared is the
-    species' largest over clusters.
+    In every replicate the cluster labels are dealt to the sites anew; the value compared is the species' largest over clusters. Replicates
+    are vectors: a species has one vector of sums over (replicate, cluster) in each task, these are added up in one shuffle for
+    `slice_size` replicates, and its p needs nothing else.
     """
     d = df.groupBy(site, cluster, species).agg(F.sum(number).cast("double").alias("_n")).filter("_n > 0")
     labels = df.select(site, cluster).distinct()
     idx = cut_lineage(dense_index(labels, site, "_i").join(labels, site))
-    n = idx.count()
-    sizes = cut_lineage(labels.groupBy(cluster).agg(F.count(F.lit(1)).alias("_size")))
+    sizes = sorted(((r[0], r[1]) for r in labels.groupBy(cluster).count().collect()), key=lambda r: (r[0] is not None, r[0]))
+    ends = np.cumsum([k for _, k in sizes])
     best = (indicator_values(df, site, species, cluster, number).groupBy(species)
             .agg(F.max(F.struct("indval", F.col(cluster).alias("c"))).alias("b"))
             .select(species, F.col("b.c").alias(cluster), F.col("b.indval").alias("indval")))
     best = cut_lineage(best)
     raw = cut_lineage(d.join(idx.select(site, "_i"), site).select("_i", species, "_n"))
+    n = int(ends[-1]) if len(ends) else 0
+    each = np.diff(np.append(0, ends)).astype(float)
+
+    def reached(frame: pd.DataFrame) -> pd.DataFrame:
+        s, o = (sum(np.frombuffer(v, t) for v in frame[c]).reshape(-1, len(each)) for c, t in (("sums", "<f8"), ("seen", "<i8")))
+        mean = s / each
+        value = np.sqrt(mean / mean.sum(1, keepdims=True) * (o / each)).max(1)
+        return pd.DataFrame({species: frame[species].iloc[:1], "_h": [int((value >= frame["indval"].iloc[0] - 1e-12).sum())]})
+
     hits = best.select(species, F.lit(0).cast("long").alias("_h"))
+    kind = T.StructType([best.schema[species], T.StructField("_h", T.LongType())])
     for a, b in _slices(reps, slice_size):
-        moved = (_expand(raw, a, b).withColumn("_j", permuted_index("_i", F.lit(n), F.col("rep"), F.lit(seed)))
-                 .join(idx.select(F.col("_i").alias("_j"), cluster), "_j"))
-        cells = moved.groupBy("rep", species, cluster).agg(F.sum("_n").alias("_s"), F.count(F.lit(1)).alias("_o"))
-        top = _indval(cells, sizes, ["rep"], species, cluster).groupBy("rep", species).agg(F.max("indval").alias("_v"))
-        got = top.join(best.select(species, "indval"), species).groupBy(species).agg(
-            F.count_if(F.col("_v") >= F.col("indval") - 1e-12).alias("_h"))
+        got = (replicate_sums(raw, n, ends, a, b, seed).join(best.select(species, "indval"), species)
+               .groupBy(species).applyInPandas(reached, kind))
         hits = cut_lineage(hits.unionByName(got).groupBy(species).agg(F.sum("_h").alias("_h")))
     return best.join(hits, species).select(species, cluster, "indval",
                                            ((F.col("_h") + 1) / F.lit(float(reps + 1))).alias("p_value"))

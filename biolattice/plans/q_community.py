@@ -264,7 +264,7 @@ def indicator_values(spark, sf):
 @query("indicator_species", "O-20")
 def indicator_species(spark, sf):
     d = observations(spark, sf).withColumn("cluster", F.col("site") % 4)
-    return permutation.indicator_species(d, reps=19, seed=3, number="abundance", slice_size=19)
+    return permutation.indicator_species(d, reps=999, seed=3, number="abundance")
 
 
 @query("geometric_mean_uncertainty", "O-21")

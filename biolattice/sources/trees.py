@@ -45,7 +45,7 @@ def tree_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
     """S-08: edge, length, tip for every tip below every edge.
 
     Pointer doubling: each round doubles the height that has been climbed, so the number of
-    joins is the logarithm of the tree height.
+    joins is the logarithm of the tree height. A node that is above itself raises a ValueError.
     """
     up = edges.select(F.col(node).alias("a"), F.col(parent).alias("b")).filter("b IS NOT NULL")
     pair = lambda x, y: (x.withColumnRenamed("b", "m").join(y.withColumnRenamed("a", "m"), "m")
@@ -56,6 +56,10 @@ def tree_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
         if hop.isEmpty():
             break
         reach = cut_lineage(reach.union(hop).union(pair(reach, hop)).distinct())
+        if not reach.filter("a = b").isEmpty():
+            raise ValueError("the tree has a cycle")
+    else:
+        raise ValueError(f"the tree is higher than 2^{max_rounds} edges")
     tips = edges.filter(F.col(tip).isNotNull()).select(F.col(node).alias("a"), F.col(tip).alias("tip"))
     pairs = (tips.select("a", F.col("a").alias("b"), "tip")
              .union(tips.join(reach, "a").select("a", "b", "tip")))
