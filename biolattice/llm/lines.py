@@ -23,7 +23,15 @@ FACTOR = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 BYTE_VALUES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
+BLOCK = 1 << 20  # bytes of words hashed at once
+ENTRY = 250  # bytes that a remembered line takes besides its text
+
+
 @lru_cache(maxsize=1)
+def _block_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(BLOCK)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """FACTOR^i and FACTOR^-i modulo 2^64 for i < n."""
     out = []
@@ -35,15 +43,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(words: pa.StringArray) -> np.ndarray:
-    """64-bit hashes of the words: polynomials in FACTOR over random values of the bytes, from running sums over all bytes at once, then mixed."""
+    """64-bit hashes of the words: polynomials in FACTOR over random values of the bytes, from running sums over a block of bytes at once, then
+    mixed. Blocks end between words, so that only a word longer than a block needs larger tables, for as long as it is hashed."""
     if not len(words):
         return np.zeros(0, np.uint64)
     ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
     ends = ends - ends[0]
-    up, down = _powers(1 << max(len(data), 1).bit_length())
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * up[:len(data)])])
-    h = (sums[ends[1:]] - sums[ends[:-1]]) * down[ends[:-1]] + np.diff(ends).astype(np.uint64)
+    h, first = np.empty(len(words), np.uint64), 0
+    while first < len(words):
+        last = max(int(np.searchsorted(ends, ends[first] + BLOCK - 1, "right")) - 1, first + 1)
+        at = ends[first:last + 1] - ends[first]
+        up, down = _block_powers() if at[-1] < BLOCK else _powers(int(at[-1]) + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data[ends[first]:ends[last]]] * up[:at[-1]])])
+        h[first:last] = (sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]] + np.diff(at).astype(np.uint64)
+        first = last
     for shift, f in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
         h = (h ^ h >> np.uint64(shift)) * np.uint64(f)
     return h ^ h >> np.uint64(33)
@@ -167,7 +181,9 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
 
     def run(batches):
         (n_words, wanted), met, room = model.value, {}, 0
-        counts = lru_cache(1 << 12)(lambda t: len(set(t.encode().lower().split())) >= least_words)
+        enough = lambda t: len(set(t.encode().lower().split())) >= least_words
+        known_enough = lru_cache(1 << 12)(enough)
+        counts = lambda t: (known_enough if len(t) < 1024 else enough)(t)
         for b in batches:
             for part in _runs(b):
                 lists = pc.split_pattern(part.column(1), "\n")
@@ -178,7 +194,7 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                 for r, (t, place) in enumerate(zip(text.to_pylist(), zip(doc.tolist(), line.tolist()))):
                     known = met.get(t)
                     if known is None:
-                        room += len(t)
+                        room += len(t) + ENTRY
                     elif known != place and counts(t):
                         low, high = min(known, place), max(known, place)
                         for col, v in zip(same, (hash(high), *high, -1 - low[1], low[0], 0, 0)):
@@ -189,7 +205,7 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                 new = np.array(new, np.int64)
                 cols = rows_of(doc[new], line[new], text.take(pa.array(new)), n_words, wanted)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, np.array(y, np.int64)])) for x, y in zip(cols, same)], POSTING)
-                if room > 16 << 20:
+                if room > 32 << 20:
                     met, room = {}, 0
     return docs.select("doc", "text").mapInArrow(run, SCHEMA)
 
@@ -206,11 +222,12 @@ def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
     return ok
 
 
-def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 18) -> DataFrame:
+def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 17, out: int = 1 << 16) -> DataFrame:
     """(doc, line, cdoc, cline, sure): earlier lines that pass all filters against a line with the same key.
 
     every=False gives the `few` earliest such lines of each posting, and where there are more a row with cline -1 and the key in cdoc; every=True
-    gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place, some `rows` at a time.
+    gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place, some `rows` at a time, and pairs
+    are given out once there are `out` of them, so that a task holds the rows of one key but never its pairs.
     """
     cols = POSTING + (["open"] if every else [])
     names = NAMES
@@ -224,7 +241,11 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
         head = np.repeat(start, size)
         at = np.arange(len(key)) - head
         found, more = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        x_all, y_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        x_all, y_all, ready = [], [], 0
+
+        def batch(x, y):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[x], line[x], doc[y], line[y], (whole[x] == whole[y]) & (n[x] == n[y]))], names)
+
         live = np.flatnonzero(at > 0) if open_ is None else np.flatnonzero((at > 0) & open_)
         r = 0
         while len(live):
@@ -236,20 +257,26 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
                 more[x[over]] = True
                 x, y = x[~over], y[~over]
             found[x] += 1
-            x_all.append(x)
-            y_all.append(y)
+            if len(x):
+                x_all.append(x)
+                y_all.append(y)
+                ready += len(x)
             r += 1
             live = live[(at[live] > r) & ~more[live]]
-        x, y = np.concatenate(x_all), np.concatenate(y_all)
+            if ready >= out or ready and not len(live):
+                x, y = np.concatenate(x_all), np.concatenate(y_all)
+                x_all, y_all, ready = [], [], 0
+                for k in range(0, len(x), out):
+                    yield batch(x[k:k + out], y[k:k + out])
         z = np.flatnonzero(more)
-        return [np.concatenate([doc[x], doc[z]]), np.concatenate([line[x], line[z]]), np.concatenate([doc[y], key[z]]),
-                np.concatenate([line[y], np.full(len(z), -1)]), np.concatenate([(whole[x] == whole[y]) & (n[x] == n[y]), np.zeros(len(z), bool)])]
+        if len(z):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[z], line[z], key[z], np.full(len(z), -1), np.zeros(len(z), bool))], names)
 
     def run(batches):
         held, size = [], 0
 
         def groups(columns):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(*columns[:7], columns[7] if every else None)], names)
+            return pairs(*columns[:7], columns[7] if every else None)
 
         for b in batches:
             now = [c.to_numpy(zero_copy_only=False) for c in b.columns]
@@ -263,13 +290,13 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
                 columns = [np.concatenate(c) for c in zip(*held)]
                 cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key may go on in the next batch
                 if cut:
-                    yield groups([c[:cut] for c in columns])
-                held = [[c[cut:] for c in columns]]
+                    yield from groups([c[:cut] for c in columns])
+                held = [[c[cut:].copy() for c in columns]]
                 size = 0  # the rest goes with the next rows
         if held:
             columns = [np.concatenate(c) for c in zip(*held)]
             if len(columns[0]):
-                yield groups(columns)
+                yield from groups(columns)
 
     return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
                  .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean"))
@@ -323,7 +350,7 @@ def verified(docs: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
     return w.filter(both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - 1e-9).select("doc", "line", "cdoc", "cline")
 
 
-def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
+def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
     """(doc, line) of every line that a similar line stands before.
 
     docs has doc (never null) and text. Order is that of (doc, line number). The first round tries the earliest few candidates of each
@@ -358,12 +385,12 @@ def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot
     return good.union(verified(d, cut_lineage(again), share).select("doc", "line").distinct())
 
 
-def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
+def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
     """One row per doc_id that has repeated lines: doc_id, removed array<int>, the numbers of its lines (from 0) that go.
 
     A line is the text between newlines, its tokens are the different words (A-Z lower-cased, split at white space). It goes if a line
     earlier in the order of (doc_id, number) has a Jaccard similarity of at least `share`; the first of each chain
-    stays. Lines of fewer than `least_words` different words are never removed: they meet by chance. Null text counts as
+    stays. Lines without a word are never removed, nor are lines of fewer than `least_words` different words where more than 1 is asked for. Null text counts as
     empty. A null doc_id comes before all others. Rows that repeat a doc_id are one place and do not remove one another.
     """
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_or_empty(docs).alias("text"))
@@ -372,7 +399,7 @@ def repeated_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, ho
         F.col("doc").alias("_doc"), "removed")
 
 
-def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
+def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
     """docs with the repeated lines taken out of text, and n_chars, where there is such a column, the new length. A document may
     become empty; every row stays, and rows without a repeated line are unchanged."""
     gone = repeated_lines(docs, share, least_words, hot)
@@ -385,7 +412,7 @@ def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot:
     return d.select(*docs.columns)
 
 
-def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot: int = 1 << 14) -> DataFrame:
+def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_removed, removed (line numbers, comma-joined)."""
     n = F.size(F.split(text_or_empty(docs), "\n")).cast("long")
     d = docs.select("doc_id", n.alias("n_lines"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"))
@@ -394,7 +421,7 @@ def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 3, hot:
     return d.join(gone, "_doc", "left").select("doc_id", "n_lines", F.size(lines).cast("long").alias("n_removed"), F.array_join(lines.cast("array<string>"), ",").alias("removed"))
 
 
-def report_sql(share: str = "0.8", least_words: int = 3) -> str:
+def report_sql(share: str = "0.8", least_words: int = 1) -> str:
     """The rows of line_report by joining lines on the words of their prefixes in order of rarity."""
     return rf"""WITH l AS (SELECT doc_id, line - 1 AS line, list_distinct(list_filter(regexp_split_to_array(translate(t, '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS w
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents)),

@@ -182,7 +182,7 @@ def test_one_of_each_near_group_stays(spark, docs):
 # ---- line dedup ----------------------------------------------------------------------------
 
 
-def repeated_truth(rows, share=0.8, least=3):
+def repeated_truth(rows, share=0.8, least=1):
     ls = [((-1 if d is None else d), i, frozenset(words(t))) for d, text in rows for i, t in enumerate((text or "").split("\n"))]
     ls = [x for x in set(ls) if len(x[2]) >= least]
     gone = defaultdict(set)
@@ -224,3 +224,36 @@ def test_dedup_lines_takes_them_out(spark, docs):
     for r in out.filter("doc_id = 25 or doc_id = 20").collect():
         full = docs.filter(f"doc_id = {r.doc_id}").first().text.split("\n")
         assert r.text == "\n".join(t for i, t in enumerate(full) if i not in gone[r.doc_id]) and r.n_chars == len(r.text)
+
+
+def test_short_lines_repeat_too(spark):
+    rows = [(1, "Les.\nles.  LES.\n\none two"), (2, "two ONE\nother\n \nLes."), (None, "other")]
+    got = {r.doc_id: (r.n_removed, r.removed) for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {None: (0, ""), 1: (1, "1"), 2: (3, "0,1,3")}
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    import random
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(4)
+    some = ["".join(rng.choice("abc\u00e9\u4e2d") for _ in range(rng.choice([0, 1, 3, 8, 40, 90]))) for _ in range(300)]
+    whole = lines.word_hashes(pa.array(some))
+    assert len(set(whole.tolist())) == len(set(some))
+    monkeypatch.setattr(lines, "BLOCK", 64)  # longer words get tables of their own
+    lines._block_powers.cache_clear()
+    try:
+        assert np.array_equal(lines.word_hashes(pa.array(some)), whole)
+        assert np.array_equal(lines.word_hashes(pa.array(some).slice(100)), whole[100:])
+    finally:
+        lines._block_powers.cache_clear()
+
+
+def test_candidates_come_in_slices(spark):
+    rows = [(7, d, 0, 20 << 32, 5, 6, d % 3) for d in range(40)] + [(8, d, 1, 20 << 32, 5, 6, d) for d in range(30)]
+    posts = spark.createDataFrame(rows, lines.SCHEMA)
+    for every, frame in ((False, posts), (True, posts.selectExpr("*", "doc % 2 = 0 AS open"))):
+        big = lines.candidates(frame, 0.8, every, 2).collect()
+        assert Counter(map(tuple, lines.candidates(frame, 0.8, every, 2, rows=16, out=5).collect())) == Counter(map(tuple, big))
+        n = len(big)
+        assert n == (sum(d for m in (40, 30) for d in range(0, m, 2)) if every else sum(min(d, 8) + (d > 8) for m in (40, 30) for d in range(m)))
