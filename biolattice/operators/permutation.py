@@ -2,7 +2,7 @@
 
 A permutation is a keyed bijection of row numbers (see permuted_index), evaluated row by row. No
 replicate sorts or windows anything, zeros stay implicit, and replicates run in slices whose
-results are added up. O-20 keeps replicates as vectors, so that all of them share one shuffle.
+results are added up. O-16 and O-20 keep what belongs to replicates in arrays, so that those of a slice share their shuffles.
 """
 from __future__ import annotations
 
@@ -39,41 +39,123 @@ def holm(df: DataFrame, p: str = "p_value", out: str = "p_holm") -> DataFrame:
     return df.join(lv, p, "left").select(*df.columns, out)
 
 
+def moved_counts(raw: DataFrame, n: int, blocks: int, first: int, last: int, seed: int, rows: int = 1 << 16) -> DataFrame:
+    """(rep, block, place, kind, x): the counts of raw (_i, _j, _n; site and species numbers from 0) at the sites where the replicates
+    first..last-1 send them, each species by a permutation of its own.
+
+    A row holds many counts as arrays: those of one replicate that fall into one of `blocks` equal ranges of site numbers, from some
+    `rows` rows of a task.
+    """
+    def run(batches):
+        def deal(i, j, x):
+            size = np.full(len(i), n, np.uint64)
+            for rep in range(first, last):
+                with np.errstate(over="ignore"):
+                    key = (np.uint64(rep + 1) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed % (1 << 63)) * np.uint64(0xD6E8FEB86659FD93)) ^ (j + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                    key = (key ^ key >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+                to = permute(i, size, key).astype(np.int64)
+                block = to * blocks // n
+                order = np.argsort(block, kind="stable")
+                block, to = block[order], to[order]
+                cut = np.flatnonzero(np.diff(block, prepend=-1))
+                parts = [np.split(v, cut[1:]) for v in (to.astype("<i8"), j[order].astype("<i4"), x[order].astype("<f8"))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cut), rep, np.int32)), pa.array(block[cut]),
+                                                  *[pa.array([v.tobytes() for v in part], pa.binary()) for part in parts]], ["rep", "block", "place", "kind", "x"])
+
+        held, size = [], 0
+        for b in batches:
+            held.append([b.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
+            size += b.num_rows
+            if size >= rows:
+                i, j, x = (np.concatenate(c) for c in zip(*held))
+                held, size = [], 0
+                yield from deal(i.astype(np.uint64), j.astype(np.uint64), x)
+        if size:
+            i, j, x = (np.concatenate(c) for c in zip(*held))
+            yield from deal(i.astype(np.uint64), j.astype(np.uint64), x)
+    return raw.select("_i", "_j", "_n").mapInArrow(run, "rep int, block long, place binary, kind binary, x binary")
+
+
+def _reached(moved: DataFrame, obs: DataFrame, n: int, blocks: int) -> DataFrame:
+    """(_i, _h): how often a site reaches its observed LCBD in the replicates of `moved`."""
+    def shares(frame: pd.DataFrame) -> pd.DataFrame:
+        place, kind, x = (np.concatenate([np.frombuffer(v, t) for v in frame[c]]) for c, t in (("place", "<i8"), ("kind", "<i4"), ("x", "<f8")))
+        at, where = np.unique(place, return_inverse=True)
+        y = np.sqrt(x / np.bincount(where, x)[where])
+        return pd.DataFrame({"rep": frame["rep"].iloc[:1], "block": frame["block"].iloc[:1], "place": [place.tobytes()], "kind": [kind.tobytes()],
+                             "y": [y.astype("<f8").tobytes()], "filled": [len(at)]})
+
+    def by_kind(batches):
+        for b in batches:
+            for rep, kind, y in zip(*(c.to_pylist() for c in b.columns)):
+                k, where = np.unique(np.frombuffer(kind, "<i4"), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), rep, np.int32)), pa.array(k), pa.array(np.bincount(where, np.frombuffer(y, "<f8")))], ["rep", "kind", "s"])
+
+    def compare(batches):
+        held = {}
+        for b in batches:
+            rows = {c: b.column(c) for c in b.schema.names}
+            for r in range(b.num_rows):
+                block, m2, filled = (rows[c][r].as_py() for c in ("block", "m2", "filled"))
+                known = rows["known"][r].values.to_numpy(zero_copy_only=False)
+                first = -(-block * n // blocks)
+                value = np.full(len(known), m2)
+                if rows["y"][r].is_valid:
+                    place, kind, y = (np.frombuffer(rows[c][r].as_buffer(), t) for c, t in (("place", "<i8"), ("kind", "<i4"), ("y", "<f8")))
+                    means = rows["means"][r].values
+                    k = means.field("kind").to_numpy(zero_copy_only=False)
+                    m = np.zeros(int(k.max()) + 1)
+                    m[k] = means.field("m").to_numpy(zero_copy_only=False)
+                    value -= 2 * np.bincount(place - first, y * m[kind], minlength=len(known))
+                    value += np.bincount(place - first, minlength=len(known)) > 0
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    hit = value / (filled - n * m2) >= known - 1e-12
+                held[block] = held.get(block, 0) + hit.astype(np.int64)
+                if sum(map(len, held.values())) > 1 << 22:
+                    yield out(held)
+        if held:
+            yield out(held)
+
+    def out(held):
+        at = np.concatenate([np.arange(len(v)) + -(-k * n // blocks) for k, v in held.items()])
+        got = pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(list(held.values())))], ["_i", "_h"])
+        held.clear()
+        return got
+
+    y = cut_lineage(moved.groupBy("rep", "block").applyInPandas(shares, "rep int, block long, place binary, kind binary, y binary, filled long"))
+    means = (y.select("rep", "kind", "y").mapInArrow(by_kind, "rep int, kind int, s double").groupBy("rep", "kind").agg((F.sum("s") / n).alias("m"))
+             .groupBy("rep").agg(F.collect_list(F.struct("kind", "m")).alias("means"), F.sum(F.col("m") * F.col("m")).alias("m2")))
+    grid = (means.join(y.groupBy("rep").agg(F.sum("filled").alias("filled")), "rep")
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
+    known = (obs.groupBy(F.expr(f"_i * {blocks} div {n}").alias("block"))
+             .agg(F.array_sort(F.collect_list(F.struct("_i", "lcbd"))).alias("k")).select("block", F.col("k.lcbd").alias("known")))
+    # a block that got nothing in a replicate keeps its row: all its sites are empty there
+    full = grid.join(y.drop("filled"), ["rep", "block"], "left").join(known, "block")
+    return full.mapInArrow(compare, "_i long, _h long").groupBy("_i").agg(F.sum("_h").alias("_h"))
+
+
 def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
-                     number: str = "number", slice_size: int = 100) -> DataFrame:
+                     number: str = "number", slice_size: int = 250, block_rows: int = 1 << 17) -> DataFrame:
     """O-16: LCBD of each site with its permutation p and the Holm adjustment.
 
-    Each replicate sends every species' counts to other sites. p = (times LCBD is reached + 1) /
-    (reps + 1). A site that receives nothing in a replicate has a constant LCBD there (the distance
-    of an empty row) and is counted by closed form.
+    Each replicate sends every species' counts to other sites. p = (times LCBD is reached + 1) / (reps + 1). A site that receives nothing
+    in a replicate is an empty row of distances there. Counts, transformed values and results of a replicate travel as arrays over a range of
+    sites (about `block_rows` counts each), so `slice_size` replicates share one shuffle of counts and one of species means; the means of a
+    replicate, one number a species, are one row. Rows without a site or a species take no part; an empty table gives no rows.
     """
-    raw = cut_lineage(species_totals(df, [site], species, number))
-    idx = dense_index(raw, site, "_i")
-    raw = cut_lineage(raw.join(idx, site).select("_i", species, "_n"))
+    raw = cut_lineage(species_totals(df.filter(F.col(site).isNotNull() & F.col(species).isNotNull()), [site], species, number))
+    kept = raw.count()
+    idx = cut_lineage(dense_index(raw, site, "_i"))
+    if not kept:
+        return idx.select(site, F.lit(None).cast("double").alias("lcbd"), F.lit(None).cast("double").alias("p_value"), F.lit(None).cast("double").alias("p_holm"))
+    kinds = dense_index(raw, species, "_j")
+    raw = cut_lineage(raw.join(idx, site).join(kinds, species).select(F.col("_i").cast("long").alias("_i"), F.col("_j").cast("long").alias("_j"), "_n"))
     n = idx.count()
-    obs = cut_lineage(site_contributions(hellinger(raw, "_i", species, "_n"), [], "_i", species, F.lit(float(n))))
-    hits = None
+    obs = cut_lineage(site_contributions(hellinger(raw, "_i", "_j", "_n"), [], "_i", "_j", F.lit(float(n))))
+    blocks, hits = min(n, -(-kept // block_rows)), None
     for a, b in _slices(reps, slice_size):
-        moved = _expand(raw, a, b).withColumn("_i", permuted_index("_i", F.lit(n), F.col("rep"), F.col(species), F.lit(seed)))
-        tot = moved.groupBy("rep", "_i").agg(F.sum("_n").alias("_t"))
-        y = moved.join(tot, ["rep", "_i"]).select("rep", "_i", species, F.sqrt(F.col("_n") / F.col("_t")).alias("_y"))
-        l = site_contributions(y, ["rep"], "_i", species, F.lit(float(n)))
-        sp = y.groupBy("rep", species).agg((F.sum("_y") / n).alias("_m"), F.sum(F.col("_y") * F.col("_y")).alias("_q"))
-        empty = sp.groupBy("rep").agg((F.sum(F.col("_m") * F.col("_m"))
-                                       / F.sum(F.col("_q") - n * F.col("_m") * F.col("_m"))).alias("_e"))
-        got = (l.join(obs.withColumnRenamed("lcbd", "_o"), "_i")
-                .groupBy("_i").agg(F.count(F.lit(1)).alias("_k"),
-                                   F.count_if(F.col("lcbd") >= F.col("_o") - 1e-12).alias("_h"),
-                                   F.collect_set("rep").alias("_reps")))
-        # replicates in which the site stayed empty: all values of _e, less those it took part in
-        es = [(r[0], r[1]) for r in empty.collect()]
-        table = F.array(*[F.struct(F.lit(r).alias("rep"), F.lit(float(e)).alias("e")) for r, e in es])
-        base = obs.select("_i", F.col("lcbd").alias("_o")).join(got, "_i", "left")
-        blank = F.size(F.filter(table, lambda x: (x["e"] >= F.col("_o") - 1e-12)
-                                & ~F.coalesce(F.array_contains("_reps", x["rep"]), F.lit(False))))
-        part = base.select("_i", (F.coalesce("_h", F.lit(0)) + blank).alias("_h"))
-        hits = part if hits is None else hits.unionByName(part).groupBy("_i").agg(F.sum("_h").alias("_h"))
-        hits = cut_lineage(hits)
+        part = _reached(moved_counts(raw, n, blocks, a, b, seed), obs, n, blocks)
+        hits = cut_lineage(part if hits is None else hits.unionByName(part).groupBy("_i").agg(F.sum("_h").alias("_h")))
     out = (obs.join(hits, "_i").join(idx, "_i")
               .select(site, "lcbd", ((F.col("_h") + 1) / F.lit(float(reps + 1))).alias("p_value")))
     return holm(out)

@@ -200,7 +200,7 @@ def scbd(spark, sf):
 
 @query("lcbd_permutation", "O-16")
 def lcbd_permutation(spark, sf):
-    return permutation.lcbd_permutation(observations(spark, sf), reps=19, seed=7, number="abundance", slice_size=19)
+    return permutation.lcbd_permutation(observations(spark, sf), seed=7, number="abundance")
 
 
 @query("lcbd_over_time", "O-17", sql=f"""WITH {OBS}, t AS (SELECT site || '-' || year AS unit, year, species, sum(abundance) AS n FROM obs GROUP BY ALL),
