@@ -135,13 +135,13 @@ def _reached(moved: DataFrame, obs: DataFrame, n: int, blocks: int) -> DataFrame
 
 
 def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
-                     number: str = "number", slice_size: int = 250, block_rows: int = 1 << 17) -> DataFrame:
+                     number: str = "number", slice_size: int | None = None, block_rows: int = 1 << 17) -> DataFrame:
     """O-16: LCBD of each site with its permutation p and the Holm adjustment.
 
     Each replicate sends every species' counts to other sites. p = (times LCBD is reached + 1) / (reps + 1). A site that receives nothing
     in a replicate is an empty row of distances there. Counts, transformed values and results of a replicate travel as arrays over a range of
-    sites (about `block_rows` counts each), so `slice_size` replicates share one shuffle of counts and one of species means; the means of a
-    replicate, one number a species, are one row. Rows without a site or a species take no part; an empty table gives no rows.
+    sites (about `block_rows` counts each), so `slice_size` replicates (as many as move some 2^33 counts, at least 50, if not given) share one
+    shuffle of counts and one of species means; the means of a replicate, one number a species, are one row. Rows without a site or a species take no part; an empty table gives no rows.
     """
     raw = cut_lineage(species_totals(df.filter(F.col(site).isNotNull() & F.col(species).isNotNull()), [site], species, number))
     kept = raw.count()
@@ -153,7 +153,7 @@ def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str =
     n = idx.count()
     obs = cut_lineage(site_contributions(hellinger(raw, "_i", "_j", "_n"), [], "_i", "_j", F.lit(float(n))))
     blocks, hits = min(n, -(-kept // block_rows)), None
-    for a, b in _slices(reps, slice_size):
+    for a, b in _slices(reps, slice_size or max(50, (1 << 33) // kept)):
         part = _reached(moved_counts(raw, n, blocks, a, b, seed), obs, n, blocks)
         hits = cut_lineage(part if hits is None else hits.unionByName(part).groupBy("_i").agg(F.sum("_h").alias("_h")))
     out = (obs.join(hits, "_i").join(idx, "_i")
