@@ -4,7 +4,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,59 @@ def byte_table(pieces: list[str]) -> list[bytes]:
     return [bytes(of[c] for c in p) if all(c in of for c in p) else p.encode() for p in pieces]
 
 
+class Held:
+    """Numbers in an array that grows at its end."""
+
+    def __init__(self, kind):
+        self.data, self.size = np.empty(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data[:self.size], np.empty(end, self.data.dtype)])
+        self.data[self.size:end], self.size = values, end
+
+
+def _slots(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
+
+
+class Memo:
+    """Alignments of windows by their ids: a number for each window, and under it where its marked ids and its pairs are held, its
+    numbers of groups and of links, and pairs that are counted apart."""
+
+    def __init__(self):
+        self.known, self.apart = {}, {}
+        self.ids, self.pairs = Held(np.uint32), Held(np.int64)
+        self.id_ends, self.pair_ends, self.groups, self.links = (Held(np.int64) for _ in range(4))
+        self.id_ends.add(np.zeros(1, np.int64))
+        self.pair_ends.add(np.zeros(1, np.int64))
+
+    def add(self, keys: list[bytes], ids, id_ends, groups, links, pairs, pair_ends, apart: dict) -> np.ndarray:
+        """Numbers of new windows."""
+        first = self.groups.size
+        self.id_ends.add(self.ids.size + id_ends)
+        self.pair_ends.add(self.pairs.size + pair_ends)
+        for held, values in ((self.ids, ids), (self.pairs, pairs), (self.groups, groups), (self.links, links)):
+            held.add(values)
+        self.known.update(zip(keys, range(first, first + len(keys))))
+        self.apart.update((first + w, found) for w, found in apart.items())
+        return np.arange(first, first + len(keys))
+
+    def get(self, numbers: np.ndarray) -> tuple:
+        """Marked ids, number of groups and of links, pairs, and pairs counted apart of windows, one after another."""
+        id_at, pair_at = self.id_ends.data[numbers], self.pair_ends.data[numbers]
+        ids = self.ids.data[_slots(id_at, self.id_ends.data[numbers + 1] - id_at)]
+        pairs = self.pairs.data[_slots(pair_at, self.pair_ends.data[numbers + 1] - pair_at)]
+        apart = [p for w in numbers[np.isin(numbers, list(self.apart))].tolist() for p in self.apart[w]] if self.apart else []
+        return ids, int(self.groups.data[numbers].sum()), int(self.links.data[numbers].sum()), pairs, apart
+
+
 class Pair:
-    """The two tokenizers and the bytes of their ids; alignments of windows by their ids, at most `cached` of them."""
+    """The two tokenizers and the bytes of their ids, and the windows met: they are forgotten once they are more than `cached`, or
+    more than 2^22 ids or pairs."""
 
     def __init__(self, a_path: str | None = None, b_path: str | None = None, cached: int = 1 << 18):
         import public_tokenizers
@@ -51,11 +102,11 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := single(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.size = [np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes)]
-        self.names = [f"{i}{sign}" for sign in ",|;" for i in range(BAR)]
+        self.names = np.array([f"{i}{sign}" for sign in ",|;" for i in range(BAR)], "S6")
         self.spaced = [np.array([t[:1] == b" " for t in table]) for table in (self.a_bytes, self.b_bytes)]
         if max(map(len, self.size)) > BAR:
             raise ValueError("vocabularies of more than 65,536 ids")
-        self.cached, self.known = cached, {}
+        self.cached, self.memo = cached, Memo()
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both for a text; none where the bytes of either are not those of a space and the text."""
@@ -81,11 +132,12 @@ class Pair:
         same = off_b[to] == off_a
         return np.append(at_a[same] + 1, len(a)), np.append(at_b[to[same]] + 1, len(b))
 
-    def align(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> list[tuple]:
+    def align(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple:
         """Alignments of windows that lie one after another in a and b, up to their ends. A group ends where both have an end.
 
-        Of each window: its ids in the order of the groups' text, marked by the sign that follows; its number of groups and of
-        links; the linked pairs (a << 32 | b), each as often as it is linked; and pairs of groups of many links with their numbers, apart.
+        The ids in the order of the groups' text, marked by the sign that follows, and where those of a window end; the windows' numbers
+        of groups and of links; the linked pairs (a << 32 | b), each as often as it is linked, and where those of a window end; and by
+        window the pairs of groups of many links with their numbers.
         """
         ends = np.cumsum(self.size[0][a]), np.cumsum(self.size[1][b])
         to = np.searchsorted(ends[1], ends[0])
@@ -110,51 +162,59 @@ class Pair:
             more.setdefault(int(np.searchsorted(group, g, "right")), []).extend(
                 (p << 32 | q, k * m) for p, k in Counter(a[from_a[g]:to_a[g]].tolist()).items() for q, m in cb.items())
 
-        def cut(raw, to):
-            return [raw[i:k] for i, k in zip([0, *to], to)]
-        groups, links = np.diff(np.append(0, group)).tolist(), np.diff(np.append(0, linked[group])).tolist()
-        return list(zip(cut(marked.tobytes(), (4 * (end_a + end_b)).tolist()), groups, links, cut(pairs.tobytes(), (8 * total[end_a - 1]).tolist()),
-                        [tuple(more.get(w, ())) for w in range(len(end_a))]))
+        return (marked, end_a + end_b, np.diff(group, prepend=0), np.diff(linked[group], prepend=0), pairs, total[end_a - 1], more)
+
+    def aligned(self, a: np.ndarray, b: np.ndarray) -> tuple:
+        """Marked ids, number of groups and of links, linked pairs (each as often as it is linked) and pairs with their numbers of a text.
 
-    def aligned(self, a: np.ndarray, b: np.ndarray) -> list[tuple]:
-        """Alignments of the windows of a text: looked up by the window's ids (of a, then of b, marked) where these are known, the
-        others aligned together and kept."""
+        A window of one id on either side is one group and one link. Others are looked up by their ids (of a, then of b, marked) where these
+        are known; the rest is aligned together and kept.
+        """
         end_a, end_b = self.windows(a, b)
-        from_a, from_b = np.append(0, end_a[:-1]), np.append(0, end_b[:-1])
-        size_a, size_b = end_a - from_a, end_b - from_b
+        size_a, size_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        single = (size_a == 1) & (size_b == 1)
+        one_a, one_b = end_a[single] - 1, end_b[single] - 1
+        marked, place = np.empty(len(a) + len(b), np.uint32), one_a + one_b
+        marked[place], marked[place + 1] = a[one_a] | BAR, b[one_b] | END
+        links = a[one_a].astype(np.int64) << 32 | b[one_b]
+        if len(place) == len(end_a):
+            return marked, len(place), len(place), links, []
+        others = np.ones(len(marked), bool)
+        others[place] = others[place + 1] = False
+        a, b = np.delete(a, one_a), np.delete(b, one_b)
+        size_a, size_b = size_a[~single], size_b[~single]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
         both = np.empty(len(a) + len(b), np.uint32)
-        both[np.arange(len(a)) + np.repeat(from_b, size_a)] = a
+        both[np.arange(len(a)) + np.repeat(end_b - size_b, size_a)] = a
         both[np.arange(len(b)) + np.repeat(end_a, size_b)] = b | OF_B
         raw, cuts = both.tobytes(), (4 * np.append(0, end_a + end_b)).tolist()
         keys = [raw[i:k] for i, k in zip(cuts, cuts[1:])]
-        parts = list(map(self.known.get, keys))
-        new = [w for w, part in enumerate(parts) if part is None]
-        if new:
-            pick = np.zeros(len(keys), bool)
-            pick[new] = True
-            got = self.align(a[np.repeat(pick, size_a)], b[np.repeat(pick, size_b)], np.cumsum(size_a[pick]), np.cumsum(size_b[pick]))
-            if len(self.known) + len(new) > self.cached:
-                self.known.clear()
-            for w, part in zip(new, got):
-                parts[w] = part
-                if len(keys[w]) <= 128 and len(self.known) < self.cached:
-                    self.known[keys[w]] = part
-        return parts
+        memo = self.memo
+        if len(memo.known) > self.cached or max(memo.ids.size, memo.pairs.size) > 1 << 22:
+            memo = self.memo = Memo()
+        numbers = np.fromiter(map(memo.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = numbers < 0
+        if new.any():
+            got = self.align(a[np.repeat(new, size_a)], b[np.repeat(new, size_b)], np.cumsum(size_a[new]), np.cumsum(size_b[new]))
+            numbers[new] = memo.add([keys[w] for w in np.flatnonzero(new)], *got)
+        ids, groups, counts, pairs, apart = memo.get(numbers)
+        marked[others] = ids
+        return marked, len(place) + groups, len(place) + counts, np.concatenate([links, pairs]), apart
 
     def text(self, text: str) -> tuple:
         """n_a, n_b, n_groups, n_links, groups, pairs, links of a text."""
         a, b = self.encode(text)
         if not len(a):
             return 0, 0, 0, 0, "", NONE, NONE
-        marked, counts, links, pairs, many = zip(*self.aligned(a, b))
-        groups = "".join(map(self.names.__getitem__, np.frombuffer(b"".join(marked), np.uint32).tolist()))[:-1]
-        found, times = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
-        if any(many):
+        marked, groups, links, pairs, apart = self.aligned(a, b)
+        written = self.names[marked].tobytes().translate(None, b"\0")[:-1].decode()
+        found, times = np.unique(pairs, return_counts=True)
+        if apart:
             more = Counter(dict(zip(found.tolist(), times.tolist())))
-            for p, n in chain.from_iterable(many):
+            for p, n in apart:
                 more[p] += n
             found, times = (np.fromiter(v, np.int64, len(more)) for v in (more.keys(), more.values()))
-        return len(a), len(b), sum(counts), sum(links), groups, found, times
+        return len(a), len(b), groups, links, written, found, times
 
 
 @lru_cache(maxsize=2)
@@ -171,7 +231,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
     n_links, groups (`a1,a2|b1;a3|b2,b3`), pairs (linked ids, each pair once, a << 32 | b) and links (how often each).
 
     A text is cut into windows where both tokenizers have an end before a token that starts with a space; a window's alignment follows
-    from its ids alone and is kept by them. Null and empty texts, and those whose bytes a tokenizer does not give back, have no
+    from its ids alone and is kept by them, but for windows of one id on either side, which are links as they are. Null and empty texts, and those whose bytes a tokenizer does not give back, have no
     tokens: zeros, '' and empty lists. Null ids stay; repeated rows are documents of their own; an empty table gives no rows; other columns are
     not looked at. Row numbers follow the partitions, so write the result before they are used twice.
     """
