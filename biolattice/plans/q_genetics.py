@@ -229,7 +229,7 @@ def phylo_diversity(spark, sf):
 
 @query("phylo_diversity_ses", "G-18")
 def phylo_diversity_ses(spark, sf):
-    return ph.phylo_diversity_ses(cut_lineage(tree_closure(_edges(spark, sf))), _community(spark, sf), reps=19, seed=4, slice_size=19)
+    return ph.phylo_diversity_ses(cut_lineage(tree_closure(_edges(spark, sf))), _community(spark, sf), reps=999, seed=4)
 
 
 @query("phylo_beta", "G-19", sql=f"""WITH {COM}, sh AS (SELECT a.cell AS cell_a, b.cell AS cell_b, sum(a.length) AS s FROM ce a JOIN ce b ON a.edge = b.edge AND a.cell < b.cell GROUP BY ALL)

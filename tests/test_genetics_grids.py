@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from biolattice import sources as so, streaming as st
-from biolattice.operators import genetics, grids, phylogeny, pixels
+from biolattice.functions import scale
+from biolattice.operators import genetics, grids, permutation, phylogeny, pixels
 
 
 @pytest.fixture(scope="module")
@@ -77,6 +78,47 @@ def test_phylogeny(spark):
         assert len(s) == 3 and s.p_value.between(0, 1).all() and s.pd_rank.between(1, 20).all()
 
 
+def test_replicates_of_phylogenetic_diversity(spark):
+    """Arrays of replicates give what joined rows give, and what the moved presences add up to by hand."""
+    names = "ABCDEFGH"
+    c = so.tree_closure(so.tree_edges(spark, "(((A:1,B:2):0.5,(C:1,D:1.5):3):1,((E:0.7,F:2.2):0.4,(G:1,H:4):0.1):2):0;")).cache()
+    rows = [(k, names[(k * j + j) % 8]) for k in range(1, 7) for j in range(1, k + 1)]
+    com = spark.createDataFrame([*rows, *rows, (1, "gone"), (None, "A")], "cell int, species string")
+    for model in ("tipshuffle", "rowwise"):
+        held, joined = (phylogeny.phylo_diversity_ses(c, com, model, reps=200, seed=3, slice_size=200, held_edges=h).toPandas().set_index("cell").sort_index() for h in (1 << 21, 0))
+        assert list(held.index) == [1, 2, 3, 4, 5, 6]
+        for col in ("pd_obs", "pd_rand_mean", "pd_rand_sd", "pd_rank", "p_value"):
+            assert held[col].tolist() == pytest.approx(joined[col].tolist()), (model, col)
+
+    # tip names dealt to a single species: the mean over many replicates is that over all tips
+    one = phylogeny.phylo_diversity_ses(c, spark.createDataFrame([(1, "A")], "cell int, species string"), reps=4000, seed=5).first()
+    path = c.groupBy("tip").agg(F.sum("length").alias("s")).agg(F.avg("s")).first()[0]
+    assert one.pd_obs == 2.5 and one.reps == 4000 and one.pd_rand_mean == pytest.approx(path, rel=0.02)
+
+    # colwise: presences of a replicate collected and counted by hand
+    above = {}
+    for r in c.collect():
+        above.setdefault(r.tip, {})[r.edge] = r.length
+    sp = {r.tip: r.k for r in scale.dense_index(c.select("tip").distinct(), "tip", "k").collect()}
+    good = com.filter("cell IS NOT NULL AND species <> 'gone'").distinct()
+    ce = {r.cell: r.k for r in scale.dense_index(good, "cell", "k").collect()}
+    raw = spark.createDataFrame([(ce[r.cell], sp[r.species], 1.0) for r in good.collect()], "_i long, _j long, _n double")
+    name, cells, found = {v: k for k, v in sp.items()}, {v: k for k, v in ce.items()}, {}
+    for r in permutation.moved_counts(raw, len(ce), 1, 0, 60, 3).collect():
+        for i, j in zip(np.frombuffer(r.place, "<i8"), np.frombuffer(r.kind, "<i4")):
+            found.setdefault((cells[i], r.rep), set()).update(above[name[j]].items())
+    got = phylogeny.phylo_diversity_ses(c, com, "colwise", reps=60, seed=3).collect()
+    assert len(got) == 6
+    for r in got:
+        x = np.array([sum(v for _, v in found.get((r.cell, rep), ())) for rep in range(60)])
+        assert r.pd_rand_mean == pytest.approx(x.mean()) and r.pd_rand_sd == pytest.approx(x.std(ddof=1))
+        tie = abs(x - r.pd_obs) < 1e-9
+        assert r.pd_rank == 1 + ((x < r.pd_obs) & ~tie).sum() + tie.sum() / 2
+    assert phylogeny.phylo_diversity_ses(c, com.limit(0), reps=5).count() == 0
+    with pytest.raises(ValueError):
+        phylogeny.phylo_diversity_ses(c, com, "other")
+
+
 def test_grid_selection(spark):
     rows = [(f"2000-0{m}-01", la, lo, None if (la, lo) == (1.0, 1.0) else la * 10 + lo + m) for m in (1, 2, 3) for la in (0.0, 1.0, 2.0) for lo in (0.0, 1.0)]
     g = spark.createDataFrame(rows, "time string, lat double, lon double, v double").withColumn("time", F.to_timestamp("time"))
