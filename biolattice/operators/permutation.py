@@ -2,7 +2,7 @@
 
 A permutation is a keyed bijection of row numbers (see permuted_index), evaluated row by row. No
 replicate sorts or windows anything, zeros stay implicit, and replicates run in slices whose
-results are added up. O-16 and O-20 keep what belongs to replicates in arrays, so that those of a slice share their shuffles.
+results are added up. What belongs to replicates is kept in arrays, so that those of a slice share their shuffles.
 """
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.scale import cut_lineage, dense_index, exact_quantiles, permute, permuted_index
+from ..functions.scale import cut_lineage, dense_index, permute
 from .community import hellinger, site_contributions, species_totals
 
 
@@ -262,28 +262,81 @@ def geometric_mean_uncertainty(df: DataFrame, reps: int = 10000, seed: int = 1,
     the 2.5 and 97.5 % points over lognormal replicates with the given means and half-widths.
 
     The reference period is drawn twice (independent draws), so its own ratio shows the noise. The
-    draw of a replicate depends only on its keys, so a lost task repeats the same numbers.
+    draws of a row depend only on its keys, so a lost task repeats the same numbers. Replicates are vectors of `reps` numbers: a task adds those of
+    its rows, two shuffles of sums give the ratios, and no replicate is a row. Rows whose mean is not above 0 or whose half-width is missing take no
+    part; a region without its reference period has no ratio.
     """
     m, h = F.col(mean).cast("double"), F.col(half_width).cast("double")
-    sig = F.sqrt(F.ln(F.pow(h / F.lit(1.959963984540054) / m, 2) + 1))
-    mu = F.ln(m) - sig * sig / 2
+    sig = F.sqrt(F.ln(F.pow(h / F.lit(1.959963984540054) / F.nullif(m, F.lit(0.0)), 2) + 1))
     ref = reference if reference is not None else df.agg(F.min(period)).scalar()
-    d = df.select(region, category, period, mu.alias("_mu"), sig.alias("_sg"), (F.col(period) == ref).alias("_ref"))
-    d = d.withColumn("_set", F.explode(F.when(F.col("_ref"), F.array(F.lit("ref"), F.lit("own")))
-                                       .otherwise(F.array(F.lit("own")))))
-    d = _expand(d, 0, reps)
-    u = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "rep", region, category, period, "_set"),
-                          F.lit(9007199254740992)) + 0.5) / F.lit(9007199254740992.0)
-    z = F.sqrt(-2 * F.ln(u(1))) * F.cos(2 * F.lit(3.141592653589793) * u(2))
-    lg = (d.withColumn("_l", F.col("_mu") + F.col("_sg") * z)
-           .groupBy(region, period, "_set", "rep").agg(F.avg("_l").alias("_l")))
-    base = lg.filter("_set = 'ref'").select(region, "rep", F.col("_l").alias("_b"))
-    diff = lg.filter("_set = 'own'").join(base, [region, "rep"]).withColumn("_d", F.col("_l") - F.col("_b"))
-
-    def stats(x: DataFrame, by):
-        x = x.withColumn("_r", F.exp("_d"))
-        g = x.groupBy(*by).agg(F.avg("_r").alias("ratio_mean"), F.stddev_samp("_r").alias("ratio_sd"))
-        return g.join(exact_quantiles(x, by, "_r", {"q025": .025, "q975": .975}), list(by))
-
-    overall = diff.groupBy(period, "rep").agg(F.avg("_d").alias("_d"))
-    return stats(diff, [region, period]), stats(overall, [period])
+    d = df.select(F.col(region).alias("_r"), F.col(period).alias("_p"), F.xxhash64(F.lit(seed), region, category, period).alias("_k"),
+                  F.when(m > 0, F.ln(m) - sig * sig / 2).alias("_mu"), sig.alias("_sg"), F.coalesce(F.col(period) == ref, F.lit(False)).alias("_ref"))
+    d = d.filter(F.col("_mu").isNotNull() & F.col("_sg").isNotNull())
+    d = d.withColumn("_own", F.explode(F.when(F.col("_ref"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
+
+    def draws(k, mu, sg):
+        return mu + sg * np.random.Generator(np.random.Philox(key=k % (1 << 64))).standard_normal(reps)
+
+    dealt = d.select("_r", "_p", "_own", F.xxhash64("_k", "_own").alias("_k"), "_mu", "_sg").repartition("_r", F.pmod("_k", F.lit(16))).sortWithinPartitions("_r", "_p", "_own", "_k")
+    vectors = _vector_sums(dealt, 3, draws)
+    logs = cut_lineage(_added(vectors, ["_r", "_p", "_own"]))
+    base = logs.filter("NOT _own").select(F.col("_r").alias("_b"), F.col("v").alias("_base"))
+    ratio = logs.filter("_own").join(base, F.col("_r").eqNullSafe(F.col("_b"))).select("_r", "_p", "v", "_base")
+    diff = lambda v, b: np.frombuffer(v, "<f8") - np.frombuffer(b, "<f8")
+    names = ["ratio_mean", "ratio_sd", "q025", "q975"]
+
+    def stats(x: DataFrame, cols, value) -> DataFrame:
+        keys = cols[:-1] if len(cols) == 2 else cols[:-2]
+        schema = T.StructType([*[x.schema[c] for c in keys], *[T.StructField(c, T.DoubleType()) for c in names]])
+
+        def run(batches):
+            for b in batches:
+                got = []
+                for row in zip(*(c.to_pylist() for c in b.columns[len(keys):])):
+                    r = np.exp(value(*row))
+                    got.append([r.mean(), r.std(ddof=1) if len(r) > 1 else None, *np.quantile(r, [.025, .975])])
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], *[pa.array([g[i] for g in got], pa.float64()) for i in range(4)]], schema.names)
+        return x.select(*cols).mapInArrow(run, schema)
+
+    by_region = stats(ratio, ["_r", "_p", "v", "_base"], diff)
+    whole = _added(_vector_sums(ratio.select("_p", "v", "_base").repartition("_p", F.pmod(F.xxhash64("v"), F.lit(16))).sortWithinPartitions("_p"), 1, diff), ["_p"])
+    overall = stats(whole, ["_p", "v"], lambda v: np.frombuffer(v, "<f8"))
+    return by_region.withColumnsRenamed({"_r": region, "_p": period}), overall.withColumnRenamed("_p", period)
+
+
+def _vector_sums(df: DataFrame, keys: int, vector) -> DataFrame:
+    """(keys, v, n): sums of the vectors of rows that follow one another with equal keys (the first columns), and their number; `vector` makes that of a
+    row from the other columns."""
+    fields = df.schema.fields[:keys]
+    schema = T.StructType([*fields, T.StructField("v", T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def run(batches):
+        at, total, n, out = None, 0, 0, []
+
+        def batch():
+            cols = [pa.array([o[i] for o in out], to_arrow_type(f.dataType)) for i, f in enumerate(schema.fields)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(cols, schema.names)
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if n and row[:keys] != at:
+                    out.append((*at, total.tobytes(), n))
+                    total, n = 0, 0
+                    if len(out) >= 64:
+                        yield batch()
+                at, total, n = row[:keys], total + vector(*row[keys:]), n + 1
+        if n:
+            out.append((*at, total.tobytes(), n))
+        yield batch()
+    return df.mapInArrow(run, schema)
+
+
+def _added(vectors: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, v): mean vectors by keys; few rows of a key come from `_vector_sums`, as it is dealt to at most 16 tasks."""
+    schema = T.StructType([*[vectors.schema[k] for k in keys], T.StructField("v", T.BinaryType())])
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        v = sum(np.frombuffer(x, "<f8") for x in frame["v"]) / frame["n"].sum()
+        return pd.DataFrame({**{k: frame[k].iloc[:1] for k in keys}, "v": [v.tobytes()]})
+    return vectors.groupBy(*keys).applyInPandas(add, schema)

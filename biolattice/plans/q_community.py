@@ -267,12 +267,21 @@ def indicator_species(spark, sf):
     return permutation.indicator_species(d, reps=999, seed=3, number="abundance")
 
 
-@query("geometric_mean_uncertainty", "O-21")
-def geometric_mean_uncertainty(spark, sf):
+def _ratios(spark, sf):
     d = observations(spark, sf).groupBy(F.col("site").alias("region"), F.col("kind").alias("category"), F.col("year").alias("period")).agg(
         F.avg("abundance").alias("mean"), (1.96 * F.stddev_samp("abundance") / F.sqrt(F.count(F.lit(1)))).alias("half_width"))
     d = d.filter("half_width > 0")
-    return permutation.geometric_mean_uncertainty(d, reps=20, seed=5, reference=F.lit(1995))[1]
+    return permutation.geometric_mean_uncertainty(d, reps=10000, seed=5, reference=F.lit(1995))
+
+
+@query("geometric_mean_uncertainty", "O-21")
+def geometric_mean_uncertainty(spark, sf):
+    return _ratios(spark, sf)[1]
+
+
+@query("geometric_mean_by_region", "O-21")
+def geometric_mean_by_region(spark, sf):
+    return _ratios(spark, sf)[0]
 
 
 @query("evolution_rate", "O-22", sql=f"""WITH {OBS}, v AS (SELECT kind, year, avg(abundance) AS v FROM obs WHERE year IN (1995, 1999) GROUP BY ALL)

@@ -190,6 +190,37 @@ def test_geometric_mean_ratio_is_near_one_against_itself(spark):
     assert m[0].ratio_mean == pytest.approx(1, abs=.03) and m[1].ratio_mean == pytest.approx(1.5, abs=.05) and m[1].q025 < m[1].ratio_mean < m[1].q975
 
 
+def test_geometric_mean_ratio_is_lognormal(spark):
+    """Mean, sd and points of the closed form: a ratio of geometric means of lognormal values is lognormal."""
+    value = {(r, c, p): (10.0 + r + 2 * c + 3 * p, 2.0 + c) for r in (1, 2) for c in range(3) for p in (0, 1)}
+    rows = [(*k, *v) for k, v in value.items()]
+    odd = [(1, 7, 0, 0.0, 1.0), (1, 8, 0, None, 1.0), (1, 9, 1, 5.0, None), (3, 0, 1, 5.0, 1.0)]
+    d = spark.createDataFrame([*rows, *odd], "region int, category int, period int, mean double, half_width double")
+    by_region, overall = permutation.geometric_mean_uncertainty(d, reps=40000, seed=2)
+
+    def logs(r, p):
+        s2 = [np.log((h / 1.959963984540054 / m) ** 2 + 1) for m, h in (value[r, c, p] for c in range(3))]
+        return np.mean([np.log(value[r, c, p][0]) - s / 2 for c, s in enumerate(s2)]), sum(s2) / 9
+
+    def check(row, mu, var):
+        assert row.ratio_mean == pytest.approx(np.exp(mu + var / 2), rel=.01)
+        assert row.ratio_sd == pytest.approx(np.exp(mu + var / 2) * np.sqrt(np.exp(var) - 1), rel=.03)
+        assert row.q025 == pytest.approx(np.exp(mu - 1.96 * var ** .5), rel=.02) and row.q975 == pytest.approx(np.exp(mu + 1.96 * var ** .5), rel=.02)
+
+    got = {(r.region, r.period): r for r in by_region.collect()}
+    assert set(got) == {(1, 0), (1, 1), (2, 0), (2, 1)}
+    parts = {}
+    for (r, p), row in got.items():
+        (mu, var), (mu0, var0) = logs(r, p), logs(r, 0)
+        parts[r, p] = mu - mu0, var + var0
+        check(row, *parts[r, p])
+    means = {r.period: r for r in overall.collect()}
+    for p in (0, 1):
+        check(means[p], np.mean([parts[r, p][0] for r in (1, 2)]), sum(parts[r, p][1] for r in (1, 2)) / 4)
+    again = permutation.geometric_mean_uncertainty(d.repartition(7), reps=40000, seed=2)[0].filter("region = 1 AND period = 1").first()
+    assert again.ratio_mean == pytest.approx(got[1, 1].ratio_mean, rel=1e-12)
+
+
 def test_extrapolation_cases(spark):
     rows = [("n", 0.5, 1.0, ""), ("h", .2, 1.0, "x"), ("h", .9, 2.0, ""),
             ("m", .90, 1.0, "m"), ("m", .40, 2.0, "bad"), ("m", .60, 3.0, "m"), ("m", .55, 9.0, ""), ("m", .45, 2.1, ""), ("m", .50, 2.9, ""),
