@@ -107,9 +107,14 @@ def _mix_rows(rows: DataFrame, share: float, most: int, seed: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, share: float = 1.5, most: int = 2, seed: int = 7) -> DataFrame:
     """docs with every row as often as the mix takes it: rows without a copy go, others are repeated.
 
-    Rows that repeat a doc_id with the same source and size are dealt the copies of one of them.
+    A row gets the copies of its doc_id, source and size; rows that agree in all three are dealt those of one of them. Null ids, null sources
+    and null texts (size 0) are matched like others; an empty table gives no rows.
     """
-    taken = mix(docs, share, most, seed).select("doc_id", "copies").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    return (docs.join(taken, docs.doc_id.cast("long").eqNullSafe(taken.doc_id)).drop(taken.doc_id)
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+           F.coalesce(count_words(F.col("text")), F.lit(0)).cast("long").alias("size")]
+    taken = _mix_rows(cut_lineage(docs.select(*key)), share, most, seed).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies"))
+    taken = taken.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_from"), F.col("size").alias("_size"), "_copies")
+    same = key[0].eqNullSafe(F.col("_doc")) & key[1].eqNullSafe(F.col("_from")) & (key[2] == F.col("_size"))
+    return (docs.join(taken, same)
             .withColumn("_copy", F.explode(F.expr("CASE WHEN _copies > 0 THEN sequence(1L, _copies) ELSE array() END")))
             .select(*docs.columns))

@@ -115,6 +115,16 @@ def test_mix_is_close_on_many_documents(spark):
     assert all(abs(r["sum(taken)"] - r.target) < 0.01 * r.target for r in got)
 
 
+def test_mixed_rows_of_one_id_keep_their_own_copies(spark):
+    rows = [(1, "a", " ".join("w" * n)) for n in (1, 3, 9, 27, 81)] + [(1, "b", "w w"), (1, None, None), (None, "a", "w w w w"), (2, "a", "w " * 40), (3, "b", "w " * 9)]
+    d = spark.createDataFrame(rows, "doc_id int, source string, text string")
+    want = Counter({(r.doc_id, r.size): 0 for r in mixing.mix(d).collect()})
+    for r in mixing.mix(d).collect():
+        want[r.doc_id, r.size] += r.copies
+    got = Counter((r.doc_id, len((r.text or "").split())) for r in mixing.mixed_documents(d).collect())
+    assert got == +want and len(set(want.values())) > 1
+
+
 def test_mixed_documents_are_repeated(docs):
     copies = {r.doc_id: r.copies for r in mixing.mix(docs.filter("doc_id <> 30")).collect()}
     out = mixing.mixed_documents(docs.filter("doc_id <> 30"))
