@@ -131,9 +131,10 @@ def hour_breaks(spark, sf):
 
 
 def _stereo(spark, sf):
+    """Detections with two microphones: odd ones direct, even ones in time expansion, whose files end by half a second."""
     d = _ext(spark, sf)
     return d.withColumn("file", F.concat(F.lit("Cir-2014-P-Tron"), (F.col("k") % 12).cast("string"), F.lit("-C_"), (F.col("k") % 2).cast("string"), F.lit("_00001_000"))) \
-            .withColumn("end_time", F.when(F.col("k") % 2 == 1, F.col("prob")).otherwise(F.col("prob") / 2)).withColumn("section", F.concat(F.lit("t"), (F.col("k") % 3).cast("string")))
+            .withColumn("end_time", F.when(F.col("k") % 2 == 1, F.col("prob")).when(F.col("prob") > 1, 0.5).otherwise(F.col("prob") / 2)).withColumn("section", F.concat(F.lit("t"), (F.col("k") % 3).cast("string")))
 
 
 @query("stereo_channel", "A-09", sql=f"""{NEAREST} SELECT event_id, CASE WHEN k % 2 = 1 THEN 'Direct' ELSE 'Expansion' END AS channel FROM ext""", i="event_id")
