@@ -215,11 +215,13 @@ def nearest_marked(df: DataFrame, by: Sequence[str], order: str, marked: str,
     wb = W.partitionBy(*keys).orderBy("_b")
     edge = (pts.groupBy(*keys, "_b").agg(F.max("_m").alias("_l"), F.min("_m").alias("_f"))
                .withColumn("_before", F.last("_l", True).over(wb.rowsBetween(W.unboundedPreceding, -1)))
-               .withColumn("_after", F.first("_f", True).over(wb.rowsBetween(1, W.unboundedFollowing)))
+               .withColumn("_after", F.last("_f", True).over(W.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1)))
                .select(*keys, "_b", "_before", "_after"))
     wp = W.partitionBy(*keys, "_b").orderBy("_o")
     pts = pts.withColumn("_lo", F.last("_m", True).over(wp.rowsBetween(W.unboundedPreceding, 0)))
-    pts = (join_keys(pts.withColumn("_hi", F.first("_m", True).over(wp.rowsBetween(0, W.unboundedFollowing))), edge, [*keys, "_b"])
+    # the marked row behind is the last one of the turned order: a frame that ends at the bucket's end is summed anew for every row
+    wr = W.partitionBy(*keys, "_b").orderBy(F.desc("_o")).rowsBetween(W.unboundedPreceding, 0)
+    pts = (join_keys(pts.withColumn("_hi", F.last("_m", True).over(wr)), edge, [*keys, "_b"])
               .withColumn("_lo", F.coalesce("_lo", "_before"))
               .withColumn("_hi", F.coalesce("_hi", "_after")))
     take_hi = F.col("_lo").isNull() | (F.col("_hi._p") - F.col("_o") <= F.col("_o") - F.col("_lo._p"))
