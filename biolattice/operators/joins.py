@@ -109,10 +109,24 @@ def nearest_in_time(df: DataFrame, by: Sequence[str], time: str, is_valid: str,
 
 def rounded_coordinate_join(a: DataFrame, b: DataFrame, by: Sequence[str], values: Sequence[str],
                             lat: str = "lat", lon: str = "lon", digits: int = 2) -> DataFrame:
-    """J-07: join on rounded coordinates, then the mean of the values per group, NULL rows dropped."""
+    """J-07: join on rounded coordinates, then the mean of the values per group, NULL rows dropped.
+
+    Each side is summed by coordinates and its own group columns first, so the join never makes a row for each pair of rows that
+    share a place: a row of one side counts as often as the other side's group has rows.
+    """
     r = {lat: F.round(lat, digits), lon: F.round(lon, digits)}
-    return (a.withColumns(r).join(b.withColumns(r), [lat, lon])
-             .groupBy(*by).agg(*[F.avg(v).alias(v) for v in values]).dropna())
+    a, b = a.withColumns(r), b.withColumns(r)
+    mean = a.join(b, [lat, lon]).groupBy(*by).agg(*[F.avg(v).alias(v) for v in values]).schema
+
+    def summed(d: DataFrame, rows: str) -> DataFrame:
+        sums = [f(F.col(v).cast(t)).alias(f"_{n}_{v}") for v in values if v in d.columns
+                for t in ["double" if mean[v].dataType.typeName() == "double" else mean[v].dataType] for n, f in (("s", F.sum), ("n", F.count))]
+        return d.groupBy(lat, lon, *[c for c in by if c in d.columns and c not in (lat, lon)]).agg(F.count(F.lit(1)).alias(rows), *sums)
+
+    d = summed(a, "_of_a").join(summed(b, "_of_b"), [lat, lon])
+    times = {v: F.col("_of_b" if v in a.columns else "_of_a") for v in values}
+    means = [F.try_divide(F.sum(F.col(f"_s_{v}") * times[v]), F.sum(F.col(f"_n_{v}") * times[v])).cast(mean[v].dataType).alias(v) for v in values]
+    return d.groupBy(*by).agg(*means).dropna()
 
 
 def enrich_with_grid(obs: DataFrame, grid: DataFrame, values: Sequence[str], tolerance: float,

@@ -1,11 +1,10 @@
 """Steps whose cost or input broke on larger tables."""
+import datetime
+
 import numpy as np
-import pandas as pd
-import pytest
-from pyspark.sql import functions as F
 
 from biolattice.functions import scale
-from biolattice.operators import joins
+from biolattice.operators import community, coverage, joins, permutation, trends
 
 
 def test_nearest_marked_has_no_frame_that_is_summed_anew(spark):
@@ -24,9 +23,22 @@ def test_nearest_marked_has_no_frame_that_is_summed_anew(spark):
 
 def test_expansion_side_stays_below_half_a_second(spark, tmp_path):
     from biolattice.plans import all_queries
-    rows = [(i, pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), i, "view", 560.0 if i < 4 else 20.0, f'{{"k": {i}}}') for i in range(30)]
+    rows = [(i, datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=i), i, "view", 560.0 if i < 4 else 20.0, f'{{"k": {i}}}') for i in range(30)]
     spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
     got = {r.event_id: r.channel for r in all_queries()["stereo_channel"](spark, str(tmp_path)).collect()}
     assert got == {i: "Direct" if i % 2 else "Expansion" for i in range(30)}
     assert all_queries()["contacts_by_section"](spark, str(tmp_path)).count()
     assert all_queries()["transect_summary"](spark, str(tmp_path)).count()
+
+
+def test_rounded_join_makes_no_row_for_each_pair(spark):
+    a = spark.createDataFrame([(1, 0.001, 2.0, 5.0), (1, 0.0, 2.0, None), (2, 0.0, 2.004, 7.0), (2, 1.0, 2.0, 1.0), (None, 0.0, 2.0, 3.0), (4, None, 2.0, 3.0)],
+                              "station int, lat double, lon double, w double")
+    b = spark.createDataFrame([("x", 0.0, 2.0, 1), ("x", 0.002, 2.0, None), ("x", 1.0, 2.0, 10), ("y", 0.0, 2.0, None), ("z", 0.0, 2.0, 4), ("z", 0.0, 2.0, 5)],
+                              "cluster string, lat double, lon double, v int")
+    got = joins.rounded_coordinate_join(a, b, ["station", "cluster"], ["v", "w"])
+    assert got.columns == ["station", "cluster", "v", "w"]
+    assert {tuple(r) for r in got.collect()} == {(1, "x", 1.0, 5.0), (2, "x", 5.5, 5.0), (1, "z", 4.5, 5.0), (2, "z", 4.5, 7.0)}
+    many = [a.limit(0).union(spark.range(2000).selectExpr("cast(id as int)", "0D", "2D", "1D")), b.limit(0).union(spark.range(2000).selectExpr("'x'", "0D", "2D", "1"))]
+    plan = joins.rounded_coordinate_join(*many, ["station", "cluster"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate", plan.index("Join"))  # sums stand below the join
