@@ -95,7 +95,12 @@ def taxonomic_coverage(df: DataFrame, authorities: Sequence[tuple[str, DataFrame
 
 
 def metadata_coverage(df: DataFrame, xml: str = "xml", key: str | None = None) -> DataFrame:
-    """O-31: places with west, east, north and south from XML documents; point or rectangle."""
+    """O-31: places with west, east, north and south from XML documents; point or rectangle.
+
+    Reading a document takes far longer than moving it, and a small file of them is one task, so the documents are dealt out first.
+    """
+    spark = df.sparkSession
+    df = df.repartition(max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     base = "//geographicCoverage"
     get = lambda p: F.xpath(xml, F.lit(f"{base}/{p}/text()"))
     parts = F.arrays_zip(get("geographicDescription").alias("name"),

@@ -42,3 +42,11 @@ def test_rounded_join_makes_no_row_for_each_pair(spark):
     many = [a.limit(0).union(spark.range(2000).selectExpr("cast(id as int)", "0D", "2D", "1D")), b.limit(0).union(spark.range(2000).selectExpr("'x'", "0D", "2D", "1"))]
     plan = joins.rounded_coordinate_join(*many, ["station", "cluster"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate", plan.index("Join"))  # sums stand below the join
+
+
+def test_coverage_documents_are_dealt_out(spark):
+    xml = "<eml><geographicCoverage><geographicDescription> p </geographicDescription><boundingCoordinates>" + "".join(
+        f"<{s}BoundingCoordinate>{v}</{s}BoundingCoordinate>" for s, v in (("west", 1), ("east", 2), ("north", 4), ("south", 3))) + "</boundingCoordinates></geographicCoverage></eml>"
+    got = coverage.metadata_coverage(spark.range(500).selectExpr("id", f"'{xml}' as xml").coalesce(1), key="id")
+    assert got.rdd.getNumPartitions() > 1 and got.distinct().count() == 500
+    assert {tuple(r)[1:] for r in got.collect()} == {("p", 1.0, 2.0, 4.0, 3.0, "rectangle")}
