@@ -40,8 +40,9 @@ def _curve(visits):
 @query("day_grid", "T-01", sql=f"WITH {VIS} SELECT species, site, year, month, week, day_week, count(*) AS days, sum(count) AS count, sum(anchor) AS anchor, sum(dayno) AS dayno, sum(day) AS day FROM grid GROUP BY ALL",
        r="count:2", i="site year month week day_week days anchor dayno day")
 def day_grid(spark, sf):
-    return op.day_grid(_visits(spark, sf)).groupBy("species", "site", "year", "month", "week", "day_week").agg(
-        F.count(F.lit(1)).alias("days"), *[F.sum(c).alias(c) for c in ("count", "anchor", "dayno", "day")])
+    # a weekday of a week is one day of a site's year, and the grid has a row for each: every group is one row, and none is held or moved
+    return op.day_grid(_visits(spark, sf)).select("species", "site", "year", "month", "week", "day_week", F.lit(1).cast("long").alias("days"), "count",
+                                                  *[F.col(c).cast("long").alias(c) for c in ("anchor", "dayno", "day")])
 
 
 @query("flight_curve", "T-02")

@@ -50,3 +50,17 @@ def test_coverage_documents_are_dealt_out(spark):
     got = coverage.metadata_coverage(spark.range(500).selectExpr("id", f"'{xml}' as xml").coalesce(1), key="id")
     assert got.rdd.getNumPartitions() > 1 and got.distinct().count() == 500
     assert {tuple(r)[1:] for r in got.collect()} == {("p", 1.0, 2.0, 4.0, 3.0, "rectangle")}
+
+
+def test_day_grid_query_has_no_aggregate_above_the_grid(spark, tmp_path):
+    from biolattice.plans import all_queries
+    when = [datetime.datetime(1996, 1, 1), datetime.datetime(1996, 6, 5), datetime.datetime(1996, 6, 5)]
+    spark.createDataFrame([(i, 1, 7, 1, 2.0 + i, 1.0, 0.0, 0.0, t) for i, t in enumerate(when)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "n", "b", "SMALL", 3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    got = all_queries()["day_grid"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("Generate")]
+    rows = got.collect()
+    assert len(rows) == len({(r.month, r.week, r.day_week) for r in rows}) == 366 and all(r.days == 1 for r in rows)
+    assert {r.dayno: r["count"] for r in rows if r["count"]} == {157: 7.0} and sum(r.anchor for r in rows) == 10
