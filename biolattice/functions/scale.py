@@ -126,7 +126,12 @@ def describe_exact(df: DataFrame, by: Sequence[str], value: str, probs: dict[str
     return out.select(*by, "n", "n_value", "mean", "sd", "min", "max", *probs)
 
 
-def _quantiles_of(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
+def middle_values(df: DataFrame, by: Sequence[str], value: str, low: str = "low", high: str = "high") -> DataFrame:
+    """The two middle values per group, equal for an odd number of values: the median of any column that is monotone in value follows."""
+    return _quantiles_of(_value_counts(df, by, value).filter("_v IS NOT NULL"), by, {"_m": .5}, pair=(low, high))
+
+
+def _quantiles_of(counts: DataFrame, by: Sequence[str], probs: dict[str, float], pair: tuple[str, str] | None = None) -> DataFrame:
     by = list(by)
     keys = by or ["_all"]
     counts = range_buckets(counts, keys, "_v")
@@ -153,6 +158,9 @@ def _quantiles_of(counts: DataFrame, by: Sequence[str], probs: dict[str, float])
                                      F.col("_v"))).alias(f"_{side}{i}"))
     out = ranked.groupBy(*keys).agg(F.max("_tot").alias("_tot"), *aggs)
     cols = []
+    if pair:
+        h = (F.col("_tot") - 1) * F.lit(float(ps[0][1]))
+        return out.select(*by, F.col("_a0").alias(pair[0]), F.when(h == F.floor(h), F.col("_a0")).otherwise(F.col("_z0")).alias(pair[1]))
     for i, (name, p) in enumerate(ps):
         h = (F.col("_tot") - 1) * F.lit(float(p))
         cols.append((F.col(f"_a{i}") + (h - F.floor(h)) * (F.col(f"_z{i}") - F.col(f"_a{i}"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hill_number, ln_choose_ratio, safe_div
-from ..functions.scale import cut_lineage, dense_index, describe_exact, exact_quantiles, exact_quantiles_many, join_keys, join_small
+from ..functions.scale import cut_lineage, dense_index, describe_exact, exact_quantiles, join_keys, join_small, middle_values
 from .joins import pairs_within
 
 
@@ -237,18 +237,25 @@ def parametric_diversity(df: DataFrame, unit: Sequence[str], orders: Sequence[fl
 
 def turned_block_score(df: DataFrame, group: Sequence[str], turned: str = "turned",
                        unturned: str = "unturned") -> DataFrame:
-    """O-12: share of turned blocks per quadrat in classes 0..5, and statistics per site and date."""
+    """O-12: share of turned blocks per quadrat in classes 0..5, and statistics per site and date.
+
+    Score and rest follow from the share and keep or turn its order, so the two middle shares give all three medians.
+    """
     share = F.col(turned) / (F.col(turned) + F.col(unturned)) * 100
-    cls = (F.when(F.col("share") < 5, 0).when(F.col("share") < 25, 1).when(F.col("share") < 45, 2)
-           .when(F.col("share") < 65, 3).when(F.col("share") < 85, 4).otherwise(5))
+    cls = lambda c: (F.when(F.col(c) < 5, 0).when(F.col(c) < 25, 1).when(F.col(c) < 45, 2)
+                     .when(F.col(c) < 65, 3).when(F.col(c) < 85, 4).otherwise(5)).cast("double")
     q = (df.filter(F.col(turned).isNotNull() & F.col(unturned).isNotNull()
                    & ~((F.col(turned) == 0) & (F.col(unturned) == 0)))
-           .withColumn("share", share).withColumn("score", cls.cast("double"))
+           .withColumn("share", share.cast("double")).withColumn("score", cls("share"))
            .withColumn("rest", 100 - F.col("share")))
     stats = [f(c).alias(f"{c}_{n}") for c in ("score", "share", "rest") for n, f in
              (("mean", F.avg), ("sd", F.stddev_samp), ("min", F.min), ("max", F.max))]
     out = q.groupBy(*group).agg(*stats, F.count(F.lit(1)).alias("n"))
-    return join_keys(out, exact_quantiles_many(q, group, ["score", "share", "rest"], {"median": .5}), list(group))
+    mid = middle_values(q, group, "share", "_low", "_high")
+    half = lambda x, y: x + (y - x) / 2
+    mid = mid.select(*group, half(cls("_low"), cls("_high")).alias("score_median"), half(F.col("_low"), F.col("_high")).alias("share_median"),
+                     half(100 - F.col("_high"), 100 - F.col("_low")).alias("rest_median"))
+    return join_keys(out, mid, list(group))
 
 
 def rarefy(df: DataFrame, sizes: Sequence[int] | None = None, unit: Sequence[str] = ("site",),

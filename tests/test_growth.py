@@ -64,3 +64,11 @@ def test_day_grid_query_has_no_aggregate_above_the_grid(spark, tmp_path):
     rows = got.collect()
     assert len(rows) == len({(r.month, r.week, r.day_week) for r in rows}) == 366 and all(r.days == 1 for r in rows)
     assert {r.dayno: r["count"] for r in rows if r["count"]} == {157: 7.0} and sum(r.anchor for r in rows) == 10
+
+
+def test_turned_medians_come_from_one_count(spark):
+    rows = [(1, 1, 3), (1, 3, 1), (1, 0, 0), (1, None, 1), (2, 1, 3), (2, 1, 1), (2, 3, 0), (None, 0, 2)]
+    got = community.turned_block_score(spark.createDataFrame(rows, "site int, turned int, unturned int"), ["site"])
+    m = {r.site: (r.score_median, r.share_median, r.rest_median, r.n) for r in got.collect()}
+    assert m == {1: (3.0, 50.0, 50.0, 2), 2: (3.0, 50.0, 50.0, 3), None: (0.0, 0.0, 100.0, 1)}
+    assert "Generate inline" not in got._jdf.queryExecution().optimizedPlan().toString()
