@@ -40,6 +40,13 @@ def holm(df: DataFrame, p: str = "p_value", out: str = "p_holm") -> DataFrame:
 
 
 def moved_counts(raw: DataFrame, n: int, blocks: int, first: int, last: int, seed: int, rows: int = 1 << 16) -> DataFrame:
+def _species_keys(rep: int, j: np.ndarray, seed: int) -> np.ndarray:
+    """The permutation keys of the species j in a replicate."""
+    with np.errstate(over="ignore"):
+        key = (np.uint64(rep + 1) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed % (1 << 63)) * np.uint64(0xD6E8FEB86659FD93)) ^ (j + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return (key ^ key >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
     """(rep, block, place, kind, x): the counts of raw (_i, _j, _n; site and species numbers from 0) at the sites where the replicates
     first..last-1 send them, each species by a permutation of its own.
 
@@ -50,10 +57,7 @@ def moved_counts(raw: DataFrame, n: int, blocks: int, first: int, last: int, see
         def deal(i, j, x):
             size = np.full(len(i), n, np.uint64)
             for rep in range(first, last):
-                with np.errstate(over="ignore"):
-                    key = (np.uint64(rep + 1) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed % (1 << 63)) * np.uint64(0xD6E8FEB86659FD93)) ^ (j + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
-                    key = (key ^ key >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
-                to = permute(i, size, key).astype(np.int64)
+                to = permute(i, size, _species_keys(rep, j, seed)).astype(np.int64)
                 block = to * blocks // n
                 order = np.argsort(block, kind="stable")
                 block, to = block[order], to[order]
@@ -135,11 +139,61 @@ def _reached(moved: DataFrame, obs: DataFrame, n: int, blocks: int) -> DataFrame
 
 
 def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
-                     number: str = "number", slice_size: int | None = None, block_rows: int = 1 << 17) -> DataFrame:
+def _reached_held(raw: DataFrame, obs: DataFrame, n: int, kinds: int, reps: int, seed: int, piece: int = 1 << 18) -> DataFrame:
+    """(_i, _h) as by `_reached`, over all replicates: each task holds the counts of raw and the observed LCBD (16 bytes a count) and makes whole
+    replicates, so that only one copy of these for each task is moved, whatever the number of replicates."""
+    spark = raw.sparkSession
+    tasks = max(1, min(reps, 2 * spark.sparkContext.defaultParallelism))
+
+    def pack(batches):
+        for b in batches:
+            i, j, x = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            yield pa.RecordBatch.from_arrays([pa.array([v.astype(t).tobytes()], pa.binary()) for v, t in ((i, "<i4"), (j, "<i4"), (x, "<f8"))], ["i", "j", "x"])
+
+    def run(batches):
+        task, known, parts = None, np.zeros(n), []
+        for b in batches:
+            for t, i, j, x in zip(*(c.to_pylist() for c in b.columns)):
+                task, i, j, x = t, np.frombuffer(i, "<i4"), np.frombuffer(j, "<i4"), np.frombuffer(x, "<f8")
+                if len(j) and j[0] < 0:
+                    known[i] = x
+                else:
+                    parts.append((i, j, x))
+        if task is None or not parts:
+            return
+        i, j, x = (np.concatenate(c) for c in zip(*parts))
+        parts.clear()
+        hits, to, y = np.zeros(n, np.int64), np.empty(len(i), np.int32), np.empty(len(i))
+        cuts = [slice(a, a + piece) for a in range(0, len(i), piece)]
+        for rep in range(task, reps, tasks):
+            total, met, mean, value = np.zeros(n), np.zeros(n, bool), np.zeros(kinds), np.zeros(n)
+            for c in cuts:
+                to[c] = permute(i[c].astype(np.uint64), np.full(len(i[c]), n, np.uint64), _species_keys(rep, j[c].astype(np.uint64), seed))
+                total += np.bincount(to[c], x[c], n)
+                met[to[c]] = True
+            for c in cuts:
+                y[c] = np.sqrt(x[c] / total[to[c]])
+                mean += np.bincount(j[c], y[c], kinds)
+            mean /= n
+            m2 = (mean * mean).sum()
+            for c in cuts:
+                value += np.bincount(to[c], y[c] * mean[j[c]], n)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                hits += (m2 - 2 * value + met) / (met.sum() - n * m2) >= known - 1e-12
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(hits)], ["_i", "_h"])
+
+    held = raw.select("_i", "_j", F.col("_n").cast("double")).mapInArrow(pack, "i binary, j binary, x binary").unionByName(
+        obs.select(F.col("_i").cast("long"), F.lit(-1).cast("long"), "lcbd").mapInArrow(pack, "i binary, j binary, x binary"))
+    dealt = held.select(F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"), "i", "j", "x").repartitionById(tasks, F.col("task"))
+    return dealt.mapInArrow(run, "_i long, _h long").groupBy("_i").agg(F.sum("_h").alias("_h"))
+
+
+                     number: str = "number", slice_size: int | None = None, block_rows: int = 1 << 17, held_counts: int = 1 << 24) -> DataFrame:
     """O-16: LCBD of each site with its permutation p and the Holm adjustment.
 
     Each replicate sends every species' counts to other sites. p = (times LCBD is reached + 1) / (reps + 1). A site that receives nothing
-    in a replicate is an empty row of distances there. Counts, transformed values and results of a replicate travel as arrays over a range of
+    in a replicate is an empty row of distances there. Up to `held_counts` counts (a site's total of a species each) are held by every task, which makes
+    whole replicates, and nothing is moved for a replicate. More are dealt out: counts, transformed values and results of a replicate travel as arrays over a range of
     sites (about `block_rows` counts each), so `slice_size` replicates (as many as move some 2^33 counts, at least 50, if not given) share one
     shuffle of counts and one of species means; the means of a replicate, one number a species, are one row. Rows without a site or a species take no part; an empty table gives no rows.
     """
@@ -152,10 +206,13 @@ def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str =
     raw = cut_lineage(raw.join(idx, site).join(kinds, species).select(F.col("_i").cast("long").alias("_i"), F.col("_j").cast("long").alias("_j"), "_n"))
     n = idx.count()
     obs = cut_lineage(site_contributions(hellinger(raw, "_i", "_j", "_n"), [], "_i", "_j", F.lit(float(n))))
-    blocks, hits = min(n, -(-kept // block_rows)), None
-    for a, b in _slices(reps, slice_size or max(50, (1 << 33) // kept)):
-        part = _reached(moved_counts(raw, n, blocks, a, b, seed), obs, n, blocks)
-        hits = cut_lineage(part if hits is None else hits.unionByName(part).groupBy("_i").agg(F.sum("_h").alias("_h")))
+    if kept <= held_counts and slice_size is None:
+        hits = cut_lineage(_reached_held(raw, obs, n, raw.agg(F.max("_j")).first()[0] + 1, reps, seed))
+    else:
+        blocks, hits = min(n, -(-kept // block_rows)), None
+        for a, b in _slices(reps, slice_size or max(50, (1 << 33) // kept)):
+            part = _reached(moved_counts(raw, n, blocks, a, b, seed), obs, n, blocks)
+            hits = cut_lineage(part if hits is None else hits.unionByName(part).groupBy("_i").agg(F.sum("_h").alias("_h")))
     out = (obs.join(hits, "_i").join(idx, "_i")
               .select(site, "lcbd", ((F.col("_h") + 1) / F.lit(float(reps + 1))).alias("p_value")))
     return holm(out)

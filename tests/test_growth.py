@@ -72,3 +72,11 @@ def test_turned_medians_come_from_one_count(spark):
     m = {r.site: (r.score_median, r.share_median, r.rest_median, r.n) for r in got.collect()}
     assert m == {1: (3.0, 50.0, 50.0, 2), 2: (3.0, 50.0, 50.0, 3), None: (0.0, 0.0, 100.0, 1)}
     assert "Generate inline" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lcbd_held_and_moved_replicates_agree(spark):
+    rng = np.random.default_rng(1)
+    rows = [(s, f"k{k}", float(rng.integers(1, 9))) for s in range(40) for k in range(5) if rng.random() < .5]
+    d = spark.createDataFrame(rows, "site int, species string, number double")
+    held, moved = ({r.site: tuple(r) for r in permutation.lcbd_permutation(d, reps=60, seed=3, held_counts=h).collect()} for h in (1 << 24, 0))
+    assert {k: v[2:] for k, v in held.items()} == {k: v[2:] for k, v in moved.items()} and len(held) == len({r[0] for r in rows})
