@@ -7,6 +7,7 @@ results are added up. What belongs to replicates is kept in arrays, so that thos
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,6 @@ def holm(df: DataFrame, p: str = "p_value", out: str = "p_holm") -> DataFrame:
     return df.join(lv, p, "left").select(*df.columns, out)
 
 
-def moved_counts(raw: DataFrame, n: int, blocks: int, first: int, last: int, seed: int, rows: int = 1 << 16) -> DataFrame:
 def _species_keys(rep: int, j: np.ndarray, seed: int) -> np.ndarray:
     """The permutation keys of the species j in a replicate."""
     with np.errstate(over="ignore"):
@@ -47,6 +47,7 @@ def _species_keys(rep: int, j: np.ndarray, seed: int) -> np.ndarray:
         return (key ^ key >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def moved_counts(raw: DataFrame, n: int, blocks: int, first: int, last: int, seed: int, rows: int = 1 << 16) -> DataFrame:
     """(rep, block, place, kind, x): the counts of raw (_i, _j, _n; site and species numbers from 0) at the sites where the replicates
     first..last-1 send them, each species by a permutation of its own.
 
@@ -138,7 +139,6 @@ def _reached(moved: DataFrame, obs: DataFrame, n: int, blocks: int) -> DataFrame
     return full.mapInArrow(compare, "_i long, _h long").groupBy("_i").agg(F.sum("_h").alias("_h"))
 
 
-def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
 def _reached_held(raw: DataFrame, obs: DataFrame, n: int, kinds: int, reps: int, seed: int, piece: int = 1 << 18) -> DataFrame:
     """(_i, _h) as by `_reached`, over all replicates: each task holds the counts of raw and the observed LCBD (16 bytes a count) and makes whole
     replicates, so that only one copy of these for each task is moved, whatever the number of replicates."""
@@ -188,6 +188,7 @@ def _reached_held(raw: DataFrame, obs: DataFrame, n: int, kinds: int, reps: int,
     return dealt.mapInArrow(run, "_i long, _h long").groupBy("_i").agg(F.sum("_h").alias("_h"))
 
 
+def lcbd_permutation(df: DataFrame, reps: int = 999, seed: int = 1, site: str = "site", species: str = "species",
                      number: str = "number", slice_size: int | None = None, block_rows: int = 1 << 17, held_counts: int = 1 << 24) -> DataFrame:
     """O-16: LCBD of each site with its permutation p and the Holm adjustment.
 
@@ -314,13 +315,14 @@ def indicator_species(df: DataFrame, reps: int = 999, seed: int = 1, site: str =
 
 def geometric_mean_uncertainty(df: DataFrame, reps: int = 10000, seed: int = 1, region: str = "region",
                                category: str = "category", period: str = "period", mean: str = "mean",
-                               half_width: str = "half_width", reference=None) -> tuple[DataFrame, DataFrame]:
+                               half_width: str = "half_width", reference=None, region_rows: int = 1 << 14) -> tuple[DataFrame, DataFrame]:
     """O-21: (per region, overall) ratio of geometric means to the reference period: mean, sd and
     the 2.5 and 97.5 % points over lognormal replicates with the given means and half-widths.
 
     The reference period is drawn twice (independent draws), so its own ratio shows the noise. The
-    draws of a row depend only on its keys, so a lost task repeats the same numbers. Replicates are vectors of `reps` numbers: a task adds those of
-    its rows, two shuffles of sums give the ratios, and no replicate is a row. Rows whose mean is not above 0 or whose half-width is missing take no
+    draws of a row depend only on its keys, so a lost task repeats the same numbers. Replicates are vectors of `reps` numbers that stay
+    in the task that draws them: a region of up to `region_rows` rows is drawn in one task, which gives its statistics and adds its ratios to the task's
+    sums over regions. A larger region is dealt over tasks, and its vectors are added in two shuffles. Rows whose mean is not above 0 or whose half-width is missing take no
     part; a region without its reference period has no ratio.
     """
     m, h = F.col(mean).cast("double"), F.col(half_width).cast("double")
@@ -334,33 +336,90 @@ def geometric_mean_uncertainty(df: DataFrame, reps: int = 10000, seed: int = 1,
     def draws(k, mu, sg):
         return mu + sg * np.random.Generator(np.random.Philox(key=k % (1 << 64))).standard_normal(reps)
 
-    dealt = d.select("_r", "_p", "_own", F.xxhash64("_k", "_own").alias("_k"), "_mu", "_sg").repartition("_r", F.pmod("_k", F.lit(16))).sortWithinPartitions("_r", "_p", "_own", "_k")
-    vectors = _vector_sums(dealt, 3, draws)
-    logs = cut_lineage(_added(vectors, ["_r", "_p", "_own"]))
-    base = logs.filter("NOT _own").select(F.col("_r").alias("_b"), F.col("v").alias("_base"))
-    ratio = logs.filter("_own").join(base, F.col("_r").eqNullSafe(F.col("_b"))).select("_r", "_p", "v", "_base")
-    diff = lambda v, b: np.frombuffer(v, "<f8") - np.frombuffer(b, "<f8")
+    d = cut_lineage(d.select("_r", "_p", "_own", F.xxhash64("_k", "_own").alias("_k"), "_mu", "_sg"))
+    large = cut_lineage(d.groupBy("_r").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > region_rows).select(F.col("_r").alias("_b")))
+    wide = not large.isEmpty()
+    same = F.col("_r").eqNullSafe(F.col("_b"))
+    spark = d.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = (d.join(large, same, "left_anti") if wide else d).repartition(tasks, "_r").sortWithinPartitions("_r", "_own", "_p", "_k")
     names = ["ratio_mean", "ratio_sd", "q025", "q975"]
+    of_region, of_period = [[d.schema[c] for c in cols] for cols in (("_r", "_p"), ("_p",))]
+
+    def ratios(batches):
+        """(region, period, logs of the ratios); a region's second draw of the reference period comes first."""
+        at, total, n, base = None, 0, 0, (None, None)
+        for row in chain(rows(batches), [None]):
+            key = None if row is None else row[:3]
+            if n and key != at:
+                if not at[1]:
+                    base = at[0], total / n
+                elif base[1] is not None and base[0] == at[0]:
+                    yield at[0], at[2], total / n - base[1]
+                total, n = 0, 0
+            if row is not None:
+                at, total, n = key, total + draws(*row[3:]), n + 1
+
+    def rows(batches):
+        for b in batches:
+            yield from zip(*(b.column(c).to_pylist() for c in ("_r", "_own", "_p", "_k", "_mu", "_sg")))
+
+    def summary(logs):
+        r = np.exp(logs)
+        return [r.mean(), r.std(ddof=1) if len(r) > 1 else None, *np.quantile(r, [.025, .975])]
+
+    def arrow(got, schema):
+        return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], to_arrow_type(f.dataType)) for i, f in enumerate(schema.fields)], schema.names)
+
+    stat_fields = [T.StructField(c, T.DoubleType()) for c in names]
+    by_schema, sum_schema = T.StructType([*of_region, *stat_fields]), T.StructType([*of_period, T.StructField("v", T.BinaryType()), T.StructField("n", T.LongType())])
 
-    def stats(x: DataFrame, cols, value) -> DataFrame:
-        keys = cols[:-1] if len(cols) == 2 else cols[:-2]
-        schema = T.StructType([*[x.schema[c] for c in keys], *[T.StructField(c, T.DoubleType()) for c in names]])
-
-        def run(batches):
-            for b in batches:
-                got = []
-                for row in zip(*(c.to_pylist() for c in b.columns[len(keys):])):
-                    r = np.exp(value(*row))
-                    got.append([r.mean(), r.std(ddof=1) if len(r) > 1 else None, *np.quantile(r, [.025, .975])])
-                yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], *[pa.array([g[i] for g in got], pa.float64()) for i in range(4)]], schema.names)
-        return x.select(*cols).mapInArrow(run, schema)
-
-    by_region = stats(ratio, ["_r", "_p", "v", "_base"], diff)
-    whole = _added(_vector_sums(ratio.select("_p", "v", "_base").repartition("_p", F.pmod(F.xxhash64("v"), F.lit(16))).sortWithinPartitions("_p"), 1, diff), ["_p"])
-    overall = stats(whole, ["_p", "v"], lambda v: np.frombuffer(v, "<f8"))
+    def region_stats(batches):
+        got = []
+        for r, p, logs in ratios(batches):
+            got.append([r, p, *summary(logs)])
+            if len(got) >= 1024:
+                yield arrow(got, by_schema)
+                got.clear()
+        yield arrow(got, by_schema)
+
+    def period_sums(batches):
+        sums = {}
+
+        def out():
+            for p, (v, n) in sums.items():
+                yield arrow([[p, v.tobytes(), n]], sum_schema)
+            sums.clear()
+
+        for _, p, logs in ratios(batches):
+            v, n = sums.get(p, (0, 0))
+            sums[p] = v + logs, n + 1
+            if len(sums) * reps * 8 > 64 * 2 ** 20:
+                yield from out()
+        yield from out()
+
+    by_region, sums = held.mapInArrow(region_stats, by_schema), held.mapInArrow(period_sums, sum_schema)
+    if wide:
+        dealt = d.join(large, same, "left_semi").repartition(tasks, "_r", F.pmod("_k", F.lit(16))).sortWithinPartitions("_r", "_p", "_own", "_k")
+        logs = cut_lineage(_added(_vector_sums(dealt.select("_r", "_p", "_own", "_k", "_mu", "_sg"), 3, draws), ["_r", "_p", "_own"]))
+        base = logs.filter("NOT _own").select(F.col("_r").alias("_b"), F.col("v").alias("_base"))
+        ratio = logs.filter("_own").join(base, same).select("_r", "_p", "v", "_base")
+        diff = lambda v, b: np.frombuffer(v, "<f8") - np.frombuffer(b, "<f8")
+        by_region = by_region.unionByName(_ratio_stats(ratio, 2, lambda v, b: summary(diff(v, b)), by_schema))
+        sums = sums.unionByName(_vector_sums(ratio.select("_p", "v", "_base").repartition("_p", F.pmod(F.xxhash64("v"), F.lit(16))).sortWithinPartitions("_p"), 1, diff))
+    overall = _ratio_stats(_added(sums, ["_p"]), 1, lambda v: summary(np.frombuffer(v, "<f8")), T.StructType([*of_period, *stat_fields]))
     return by_region.withColumnsRenamed({"_r": region, "_p": period}), overall.withColumnRenamed("_p", period)
 
 
+def _ratio_stats(df: DataFrame, keys: int, value, schema: T.StructType) -> DataFrame:
+    """The first columns, the keys, and the statistics that `value` makes of the others."""
+    def run(batches):
+        for b in batches:
+            got = [value(*row) for row in zip(*(c.to_pylist() for c in b.columns[keys:]))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:keys], *[pa.array([g[i] for g in got], pa.float64()) for i in range(4)]], schema.names)
+    return df.mapInArrow(run, schema)
+
+
 def _vector_sums(df: DataFrame, keys: int, vector) -> DataFrame:
     """(keys, v, n): sums of the vectors of rows that follow one another with equal keys (the first columns), and their number; `vector` makes that of a
     row from the other columns."""
@@ -390,7 +449,7 @@ def _vector_sums(df: DataFrame, keys: int, vector) -> DataFrame:
 
 
 def _added(vectors: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, v): mean vectors by keys; few rows of a key come from `_vector_sums`, as it is dealt to at most 16 tasks."""
+    """(keys, v): mean vectors by keys; few rows of a key come in, at most one or a few of a task."""
     schema = T.StructType([*[vectors.schema[k] for k in keys], T.StructField("v", T.BinaryType())])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:

@@ -80,3 +80,16 @@ def test_lcbd_held_and_moved_replicates_agree(spark):
     d = spark.createDataFrame(rows, "site int, species string, number double")
     held, moved = ({r.site: tuple(r) for r in permutation.lcbd_permutation(d, reps=60, seed=3, held_counts=h).collect()} for h in (1 << 24, 0))
     assert {k: v[2:] for k, v in held.items()} == {k: v[2:] for k, v in moved.items()} and len(held) == len({r[0] for r in rows})
+
+
+def test_no_replicate_vector_is_moved_for_a_region(spark):
+    rows = [(r, c, p, 5.0 + c, .3) for r in (None, "a", "b") for c in range(3) for p in (1, 2)] + [("lost", 0, 2, 5.0, .3)]
+    d = spark.createDataFrame(rows, "region string, category int, period int, mean double, half_width double")
+    by, overall = permutation.geometric_mean_uncertainty(d, reps=50, seed=3, reference=1)
+    assert by._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInPandas") == 0
+    # dealt over tasks, as a large region is, it gives the same
+    more, whole = permutation.geometric_mean_uncertainty(d, reps=50, seed=3, reference=1, region_rows=4)
+    for x, y in ((by, more), (overall, whole)):
+        x, y = ({tuple(r)[:-4]: tuple(r)[-4:] for r in f.collect()} for f in (x, y))
+        assert x.keys() == y.keys() and all(np.allclose(x[k], y[k], rtol=1e-12) for k in x)
+    assert {tuple(r)[:2] for r in by.collect()} == {(r, p) for r in (None, "a", "b") for p in (1, 2)}
