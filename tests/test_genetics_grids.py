@@ -78,6 +78,31 @@ def test_phylogeny(spark):
         assert len(s) == 3 and s.p_value.between(0, 1).all() and s.pd_rank.between(1, 20).all()
 
 
+@pytest.mark.parametrize("model", ["tipshuffle", "rowwise", "colwise"])
+def test_large_trees_are_held_in_parts(spark, model, monkeypatch):
+    """A closure above the bound is read in parts, none of them whole, and gives what the whole tree gives without a row for each presence and replicate."""
+    tip = spark.range(0, 300).select(F.col("id").cast("string").alias("tip"), F.explode(F.array(
+        F.concat(F.lit("t"), "id"), F.concat(F.lit("g"), F.col("id") % 40), F.concat(F.lit("f"), F.col("id") % 7), F.lit("root"))).alias("edge"))
+    c = tip.withColumn("length", (F.length("edge") + F.ascii(F.reverse("edge"))) / 10).select("edge", "length", "tip").cache()
+    com = spark.range(0, 900).select((F.col("id") % 9).alias("cell"), (F.col("id") * 7 % 300 - F.col("id") % 9).cast("string").alias("species"))
+    whole = phylogeny.phylo_diversity_ses(c, com, model, reps=40, seed=3).toPandas().set_index("cell").sort_index()
+    sizes, init = [], phylogeny.Tree.__init__
+    monkeypatch.setattr(phylogeny.Tree, "__init__", lambda self, tip, *rest: (sizes.append(len(tip)), init(self, tip, *rest))[1])
+    parts = phylogeny.phylo_diversity_ses(c, com, model, reps=40, seed=3, held_edges=200, slice_size=40).toPandas().set_index("cell").sort_index()
+    assert sum(sizes) == 1200 and max(sizes) < 900 and len(sizes) > 2
+    assert list(whole.index) == list(parts.index) == list(range(9))
+    for col in ("pd_obs", "pd_rand_mean", "pd_rand_sd", "pd_rank", "p_value"):
+        assert whole[col].tolist() == pytest.approx(parts[col].tolist()), col
+
+
+def test_permutation_of_many_by_one_key():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 7, 1000, 123456):
+        for key in (0, 12345, 2**64 - 1):
+            i = rng.integers(0, n, min(n, 5000)).astype(np.uint64)
+            assert np.array_equal(scale.permute_by(i, n, key), scale.permute(i, np.full(len(i), n, np.uint64), np.full(len(i), key, np.uint64)))
+
+
 def test_replicates_of_phylogenetic_diversity(spark):
     """Arrays of replicates give what joined rows give, and what the moved presences add up to by hand."""
     names = "ABCDEFGH"
