@@ -15,6 +15,7 @@ SKETCH_BITS, MAP_BITS = 22, 24
 NO_ID = -(1 << 63)  # stands for a null doc_id, the smallest
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 POSTING = ["key", "doc", "line", "meta", "bits", "more_bits", "whole"]
+PACK = 1 << 18  # posting rows that a task holds before it packs them
 SCHEMA = "key long, doc long, line long, meta long, bits long, more_bits long, whole long"
 NAMES = ["doc", "line", "cdoc", "cline", "sure"]
 
@@ -101,25 +102,41 @@ def rarity(docs: DataFrame) -> np.ndarray:
                 _, number, different = _words(part.column(0))
                 np.add.at(total, (word_hashes(different) & np.uint64(size - 1)).astype(np.int64), np.bincount(number, minlength=len(different)).astype(np.int32))
         at = np.flatnonzero(total)
-        for k in range(0, len(at), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + (1 << 17)], pa.int64()), pa.array(total[at[k:k + (1 << 17)]].astype(np.int64))], ["at", "n"])
+        block = at >> 12
+        begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(at) else at
+        yield pa.RecordBatch.from_arrays([pa.array(block[begin].astype(np.int32)), _binary((at & 4095).astype("<u2"), begin), _binary(total[at].astype("<i4"), begin)], ["block", "at", "n"])
 
-    step = F.when(F.col("n") <= 16, F.col("n")).otherwise(16 + F.floor(8 * F.log2(F.col("n") / 16)))
-    got = (docs.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-               .groupBy(F.floor(F.col("at") / 4096).alias("g")).agg(F.collect_list(F.struct(F.col("at").cast("int").alias("at"), step.cast("smallint").alias("n"))).alias("x"))
-               .select("x.at", "x.n").toArrow())
+    def levels_of(batches):
+        sums = {}
+        for b in batches:
+            for block, at, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                if block not in sums:
+                    sums[block] = np.zeros(4096, np.int64)
+                sums[block][np.frombuffer(at.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i4")
+        for block, n in sums.items():
+            steps = np.where(n <= 16, n, 16 + np.floor(8 * np.log2(np.maximum(n, 1) / 16)))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([steps.astype(np.uint8).tobytes()], pa.binary())], ["block", "level"])
+
+    # counters travel in blocks of 4096, those of a task that are not zero
+    got = docs.select("text").mapInArrow(run, "block int, at binary, n binary").repartition("block").mapInArrow(levels_of, "block int, level binary").toArrow()
     levels = np.zeros(size, np.uint8)
-    for b in got.to_batches():
-        levels[b.column(0).flatten().to_numpy()] = b.column(1).flatten().to_numpy()
+    for block, n in zip(got["block"].to_pylist(), got["level"].to_pylist()):
+        levels[block * 4096:(block + 1) * 4096] = np.frombuffer(n, np.uint8)
     return levels
 
 
+def _binary(values: np.ndarray, begin: np.ndarray) -> pa.BinaryArray:
+    """The bytes of the rows of values, cut before the rows at begin, of which the first is 0."""
+    ends = (np.append(begin, len(values)) * (values.nbytes // max(len(values), 1))).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def prefix_length(n: np.ndarray, share: float) -> np.ndarray:
     return n - np.ceil(share * n - 1e-9).astype(np.int64) + 1
 
 
-def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int, only: np.ndarray | None = None) -> DataFrame:
-    """Posting rows of all lines.
+def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int, only: np.ndarray | None = None, buckets: int = 0) -> DataFrame:
+    """Posting rows of all lines; with `buckets`, packed by ranges of keys (see packed).
 
     A line of n different words has the words of its prefix as keys: the rarest n - ceil(share n) + 1. Words met once
     only have no partner and no posting. A word met more than `hot` times is too common for a key: it is joined
@@ -157,8 +174,6 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
         n, h, c = n[who], h[word], c[word]
         mine = np.repeat(np.arange(len(who)), n)
         k = np.arange(len(h)) - begin[mine]
-        bit, half = np.uint64(1) << (h >> np.uint64(58)), (h >> np.uint64(57) & np.uint64(1)).astype(bool)
-        bits = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin).view(np.int64) for side in (half, ~half)]
         mixed = (h ^ h >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93)
         whole = np.add.reduceat(mixed ^ mixed >> np.uint64(32), begin)
         p = np.where(n > 3, prefix_length(n, share), 0)
@@ -177,7 +192,17 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
             seen = np.flatnonzero(is_set(wanted, key.view(np.int64)))
             key, at = key[seen], at[seen]
         m = mine[at]
-        return [key.view(np.int64), doc[who[m]], line[who[m]], n[m] << 32 | k[at], bits[0][m], bits[1][m], whole[m].view(np.int64)]
+        if wanted is None:
+            here, first, of = h, begin, m
+        else:  # few lines have a wanted key: only theirs need bits
+            has, of = np.unique(m, return_inverse=True)
+            if not len(has):
+                return [np.zeros(0, np.int64)] * len(POSTING)
+            first = np.cumsum(n[has]) - n[has]
+            here = h[np.repeat(begin[has] - first, n[has]) + np.arange(n[has].sum())]
+        bit, half = np.uint64(1) << (here >> np.uint64(58)), (here >> np.uint64(57) & np.uint64(1)).astype(bool)
+        bits = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), first).view(np.int64) for side in (half, ~half)]
+        return [key.view(np.int64), doc[who[m]], line[who[m]], n[m] << 32 | k[at], bits[0][of], bits[1][of], whole[m].view(np.int64)]
 
     def run(batches):
         (n_words, wanted), met, room = model.value, {}, 0
@@ -191,7 +216,7 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                 doc = np.repeat(part.column(0).to_numpy(zero_copy_only=False), size)
                 line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
                 new, same = [], [[] for _ in POSTING]
-                for r, (t, place) in enumerate(zip(text.to_pylist(), zip(doc.tolist(), line.tolist()))):
+                for r, (t, place) in enumerate(zip(text.to_numpy(zero_copy_only=False).tolist(), zip(doc.tolist(), line.tolist()))):
                     known = met.get(t)
                     if known is None:
                         room += len(t) + ENTRY
@@ -207,9 +232,57 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, np.array(y, np.int64)])) for x, y in zip(cols, same)], POSTING)
                 if room > 32 << 20:
                     met, room = {}, 0
+    if buckets:
+        return docs.select("doc", "text").mapInArrow(lambda batches: packed(run(batches), buckets), "bucket int, rows binary")
     return docs.select("doc", "text").mapInArrow(run, SCHEMA)
 
 
+def packed(batches: Iterator[pa.RecordBatch], buckets: int, hold: int = PACK) -> Iterator[pa.RecordBatch]:
+    """Batches of posting rows as (bucket, rows): the rows of one range of keys together, 56 bytes each, so that Spark moves and sorts a few
+    long rows in place of many short ones. buckets is a power of two."""
+    held, size, shift = [], 0, np.uint64(65 - buckets.bit_length())
+
+    def pack():
+        rows = np.concatenate(held)
+        bucket = (rows[:, 0].view(np.uint64) >> shift).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[begin]), _binary(rows[order], begin)], ["bucket", "rows"])
+
+    for b in batches:
+        if b.num_rows:
+            for k in range(0, b.num_rows, hold):
+                held.append(np.column_stack([c.slice(k, hold).to_numpy(zero_copy_only=False) for c in b.columns]))
+                size += len(held[-1])
+                if size >= hold:
+                    yield pack()
+                    held, size = [], 0
+    if held:
+        yield pack()
+
+
+def bucket_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Posting rows, sorted by key and place, of packed rows sorted by bucket: whole buckets, together about `rows` rows or one bucket."""
+    held, size, last = [], 0, None
+
+    def rest():
+        m = np.frombuffer(b"".join(held), np.int64).reshape(-1, len(POSTING))
+        m = m[np.lexsort((m[:, 2], m[:, 1], m[:, 0]))]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(m[:, k])) for k in range(len(POSTING))], POSTING)
+
+    for b in batches:
+        for bucket, raw in zip(b.column(0).to_pylist(), b.column(1)):
+            if bucket != last and size >= rows * 8 * len(POSTING):
+                yield rest()
+                held, size = [], 0
+            last = bucket
+            held.append(raw.as_buffer())
+            size += held[-1].size
+    if held:
+        yield rest()
+
+
 def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
     """Whether rows a and b (arrays of row numbers) pass the length, positional and bitmap filters."""
     na, nb = n[a], n[b]
@@ -227,7 +300,8 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
 
     every=False gives the `few` earliest such lines of each posting, and where there are more a row with cline -1 and the key in cdoc; every=True
     gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place, some `rows` at a time, and pairs
-    are given out once there are `out` of them, so that a task holds the rows of one key but never its pairs.
+    are given out once there are `out` of them, so that a task holds the rows of one key but never its pairs. posts may be packed (bucket,
+    rows): a task then holds the rows of one bucket.
     """
     cols = POSTING + (["open"] if every else [])
     names = NAMES
@@ -298,6 +372,9 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
             if len(columns[0]):
                 yield from groups(columns)
 
+    if "bucket" in posts.columns:
+        return (posts.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+                     .mapInArrow(lambda batches: run(bucket_batches(batches, rows)), "doc long, line long, cdoc long, cline long, sure boolean"))
     return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
                  .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean"))
 
@@ -360,7 +437,8 @@ def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot
     d = docs.select("doc", "text")
     counts = rarity(d)
     partitions = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = cut_lineage(candidates(postings(d, counts, least_words, share, hot), share, False, partitions).groupBy("doc", "line", "cdoc", "cline").agg(F.max("sure").alias("sure")))
+    buckets = 1 << max(12, (16 * partitions - 1).bit_length())
+    first = cut_lineage(candidates(postings(d, counts, least_words, share, hot, None, buckets), share, False, partitions).groupBy("doc", "line", "cdoc", "cline").agg(F.max("sure").alias("sure")))
     pairs, more = first.filter("cline >= 0"), first.filter("cline < 0").select("doc", "line", F.col("cdoc").alias("key"))
     place = F.struct("cdoc", "cline")
     lines = cut_lineage(pairs.groupBy("doc", "line").agg(F.max("sure").alias("sure"), F.min(place).alias("c")))
@@ -414,7 +492,8 @@ def dedup_lines(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot:
 
 def line_report(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_removed, removed (line numbers, comma-joined)."""
-    n = F.size(F.split(text_or_empty(docs), "\n")).cast("long")
+    t = text_or_empty(docs)
+    n = (F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("long")
     d = docs.select("doc_id", n.alias("n_lines"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"))
     gone = repeated_lines(docs, share, least_words, hot)
     lines = F.coalesce("removed", F.array().cast("array<int>"))

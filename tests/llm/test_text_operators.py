@@ -257,3 +257,32 @@ def test_candidates_come_in_slices(spark):
         assert Counter(map(tuple, lines.candidates(frame, 0.8, every, 2, rows=16, out=5).collect())) == Counter(map(tuple, big))
         n = len(big)
         assert n == (sum(d for m in (40, 30) for d in range(0, m, 2)) if every else sum(min(d, 8) + (d > 8) for m in (40, 30) for d in range(m)))
+
+
+def test_packed_postings_are_the_same_rows(spark):
+    """Postings move by ranges of keys, far fewer rows than postings, and give the candidates that single rows give."""
+    text = ["\n".join(f"word{i % 7} other{i % 5} more{(i + j) % 11} and some words of line {j}" for j in range(12)) for i in range(60)]
+    docs = spark.createDataFrame([*enumerate(text), (0, "the twin of a place"), (99, "")], "doc long, text string").repartition(3)
+    counts = lines.rarity(docs)
+    assert counts.sum() > 0 and lines.rarity(docs.limit(0)).sum() == 0
+    single, packed = lines.postings(docs, counts, 1, 0.8, 4), lines.postings(docs, counts, 1, 0.8, 4, None, 64)
+    assert packed.columns == ["bucket", "rows"] and packed.count() * 3 < single.count()
+    for few in (8, 2):
+        a, b = (Counter(map(tuple, lines.candidates(p, 0.8, False, 2, few, rows=64).collect())) for p in (single, packed))
+        assert a == b and len(a) > 60
+    assert lines.candidates(lines.postings(docs.limit(0), counts, 1, 0.8, 4, None, 64), 0.8, False, 2).count() == 0
+
+
+def test_postings_of_wanted_keys_are_those_of_all(spark):
+    import numpy as np
+
+    text = [f"a{i % 9} b{i % 4} c{i % 3} some words that all lines have" for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(text)), "doc long, text string").coalesce(1)
+    counts = lines.rarity(docs)
+    every = [tuple(r) for r in lines.postings(docs, counts, 1, 0.8, 16).collect()]
+    some = set(sorted({r[0] for r in every if r[3] >= 0})[::3])
+    only = np.zeros((1 << lines.MAP_BITS) // 8, np.uint8)
+    for k in some:
+        only[k % (1 << lines.MAP_BITS) >> 3] |= 1 << (k % (1 << lines.MAP_BITS) & 7)
+    got = [tuple(r) for r in lines.postings(docs, counts, 1, 0.8, 16, only).collect() if r[3] >= 0]
+    assert got and Counter(got) == Counter(r for r in every if r[3] >= 0 and r[0] in some)
