@@ -1,11 +1,15 @@
 """Small helpers shared by the operators of this folder."""
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.scale import cut_lineage
 
-__all__ = ["cut_lineage", "table", "fold", "text_or_empty", "count_words", "clean_names", "components"]
+__all__ = ["cut_lineage", "table", "fold", "text_or_empty", "count_words", "clean_names", "components", "released"]
 
 #: White space of the contracts: space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +24,18 @@ def text_or_empty(df: DataFrame) -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, a function for mapInArrow, after whose last batch the worker gives the memory that the task has freed back to the system: it
+    lives on for other tasks, beside the executor's own memory."""
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+        if trim:
+            trim(0)
+    return task
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")), F.lit(0)) % 5

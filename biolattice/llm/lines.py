@@ -9,15 +9,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut_lineage, text_or_empty
+from .common import cut_lineage, released, text_or_empty
 
 SKETCH_BITS, MAP_BITS = 22, 24
 NO_ID = -(1 << 63)  # stands for a null doc_id, the smallest
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 POSTING = ["key", "doc", "line", "meta", "bits", "more_bits", "whole"]
+FIRST = np.uint64((1 << MAP_BITS) - 1 << 24)  # bits of a key of two words that come from the first one
 PACK = 1 << 18  # posting rows that a task holds before it packs them
 SCHEMA = "key long, doc long, line long, meta long, bits long, more_bits long, whole long"
-NAMES = ["doc", "line", "cdoc", "cline", "sure"]
+PLACES = ["doc", "line", "cdoc", "cline"]
+NAMES = [*PLACES, "sure"]
 
 
 FACTOR = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
@@ -82,6 +84,16 @@ def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
     return np.repeat(np.arange(len(text)), sizes), flat.indices.to_numpy(zero_copy_only=False), flat.dictionary
 
 
+def _word_sets(text: pa.Array) -> tuple[np.ndarray, tuple[pa.Array, pa.Array]]:
+    """The numbers of different words of the texts, and for every different word of a text the number of the text and the word."""
+    owner, number, different = _words(text)
+    key = np.unique(owner << 32 | number)
+    empty = np.flatnonzero(pc.binary_length(different).to_numpy(zero_copy_only=False) == 0)  # what stands before or after outer white space
+    if len(empty):
+        key = key[key & 0xFFFFFFFF != empty[0]]
+    return np.bincount(key >> 32, minlength=len(text)), (pa.array(key >> 32), different.take(pa.array(key & 0xFFFFFFFF)))
+
+
 def level(n: float) -> int:
     """Counts in one byte: as they are up to 16, then eight steps for each doubling."""
     return int(n) if n <= 16 else 16 + int(8 * np.log2(n / 16))
@@ -99,8 +111,8 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total = np.zeros(size, np.int32)
         for b in batches:
             for part in _runs(b):
-                _, number, different = _words(part.column(0))
-                np.add.at(total, (word_hashes(different) & np.uint64(size - 1)).astype(np.int64), np.bincount(number, minlength=len(different)).astype(np.int32))
+                words, n = pc.value_counts(pc.ascii_split_whitespace(pc.ascii_lower(part.column(0))).flatten()).flatten()
+                np.add.at(total, (word_hashes(words) & np.uint64(size - 1)).astype(np.int64), n.to_numpy().astype(np.int32))
         at = np.flatnonzero(total)
         block = at >> 12
         begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(at) else at
@@ -118,7 +130,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([steps.astype(np.uint8).tobytes()], pa.binary())], ["block", "level"])
 
     # counters travel in blocks of 4096, those of a task that are not zero
-    got = docs.select("text").mapInArrow(run, "block int, at binary, n binary").repartition("block").mapInArrow(levels_of, "block int, level binary").toArrow()
+    got = docs.select("text").mapInArrow(released(run), "block int, at binary, n binary").repartition("block").mapInArrow(levels_of, "block int, level binary").toArrow()
     levels = np.zeros(size, np.uint8)
     for block, n in zip(got["block"].to_pylist(), got["level"].to_pylist()):
         levels[block * 4096:(block + 1) * 4096] = np.frombuffer(n, np.uint8)
@@ -131,25 +143,40 @@ def _binary(values: np.ndarray, begin: np.ndarray) -> pa.BinaryArray:
     return pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
 
 
+def first_word(key):
+    """The bits of a key (array or column) that are those of the hash of its first word."""
+    return key.view(np.int64) >> 24 if isinstance(key, np.ndarray) else F.shiftright(key, 24)
+
+
 def prefix_length(n: np.ndarray, share: float) -> np.ndarray:
     return n - np.ceil(share * n - 1e-9).astype(np.int64) + 1
 
 
-def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int, only: np.ndarray | None = None, buckets: int = 0) -> DataFrame:
+def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float, hot: int, only: np.ndarray | None = None, buckets: int = 0, words: np.ndarray | None = None) -> DataFrame:
     """Posting rows of all lines; with `buckets`, packed by ranges of keys (see packed).
 
     A line of n different words has the words of its prefix as keys: the rarest n - ceil(share n) + 1. Words met once
     only have no partner and no posting. A word met more than `hot` times is too common for a key: it is joined
     with each later word of the prefix made one longer, since a similar line shares at least two words. Lines of
     up to three words can only match an equal set, which is their key. bits and more_bits hold for 128 classes of words whether a class has an odd
-    number of them, whole is a hash of their set, meta holds n and the place of the key in the prefix. With `only`, a bitmap of keys, other keys
-    are left out. A line equal to an earlier one that the task has met has no postings but a row with
+    number of them, whole is a hash of their set, meta holds n and the place of the key in the prefix. A key holds 24 bits of the hash of its
+    first word (see first_word). With `only`, a bitmap of keys, other keys are left out; words, a bitmap of the first words of the same keys, spares the work on lines
+    that have none of them; equal lines then all have postings, and lines of up to three words, which have no more to meet, none. A line equal to an earlier one that the task has met has no postings but a row with
     meta < 0 that names that one; what a task remembers of lines is bounded by their bytes.
     """
-    model = docs.sparkSession.sparkContext.broadcast((counts, only))
+    model = docs.sparkSession.sparkContext.broadcast((counts, only, words))
     mask = np.uint64((1 << SKETCH_BITS) - 1)
 
-    def rows_of(doc, line, text, n_words, wanted):
+    def sums(op, values, word, begin, n, which):
+        """op over the values of the words of some lines, whose words are word[begin:begin + n]."""
+        if not len(which):
+            return np.zeros(0, values.dtype)
+        first = np.cumsum(n[which]) - n[which]
+        if len(which) < len(n):
+            word = word[np.repeat(begin[which] - first, n[which]) + np.arange(n[which].sum())]
+        return op.reduceat(values[word], first)
+
+    def rows_of(doc, line, text, n_words, wanted, first_words):
         """Posting columns of some lines."""
         owner, number, different = _words(text)
         h = word_hashes(different)
@@ -159,33 +186,46 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
         rank[order] = np.arange(len(h))
         h, c = h[order], c[order]
         empty = rank[pc.binary_length(different).to_numpy(zero_copy_only=False) == 0]  # what stands before or after outer white space
+        if first_words is not None:
+            some = np.zeros(len(doc), bool)
+            some[owner[is_set(first_words, first_word(h))[rank][number]]] = True
+            some = some[owner]
+            owner, number = owner[some], number[some]
         key = np.sort(owner << 32 | rank[number])  # each line's words by rarity
         key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
         if len(empty):
             key = key[key & 0xFFFFFFFF != empty[0]]
         owner, word = key >> 32, key & 0xFFFFFFFF
         n = np.bincount(owner, minlength=len(doc))
-        keep = n >= least_words
-        word, owner = word[keep[owner]], owner[keep[owner]]
+        keep = n >= max(least_words, 4 if first_words is not None else 0)
+        if not keep[n > 0].all():
+            keep = keep[owner]
+            word, owner = word[keep], owner[keep]
         if not len(word):
             return [np.zeros(0, np.int64)] * len(POSTING)
         begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         who = owner[begin]  # lines that are left
-        n, h, c = n[who], h[word], c[word]
+        n = n[who]
         mine = np.repeat(np.arange(len(who)), n)
-        k = np.arange(len(h)) - begin[mine]
+        k = np.arange(len(word)) - begin[mine]
         mixed = (h ^ h >> np.uint64(29)) * np.uint64(0xD6E8FEB86659FD93)
-        whole = np.add.reduceat(mixed ^ mixed >> np.uint64(32), begin)
+        mixed ^= mixed >> np.uint64(32)
         p = np.where(n > 3, prefix_length(n, share), 0)
-        pick = np.flatnonzero((k < p[mine]) & (c > 1))
-        one, many = pick[c[pick] <= level(hot)], pick[c[pick] > level(hot)]
+        pick = np.flatnonzero(k < p[mine])
+        often = c[word[pick]]
+        one, many = pick[(often > 1) & (often <= level(hot))], pick[often > level(hot)]
         short = begin[n <= 3]
-        keys, at = [h[one], whole[n <= 3]], [one, short]
+        some = np.flatnonzero(n <= 3) if wanted is not None else np.arange(len(who))
+        whole = np.zeros(len(who), np.uint64)
+        whole[some] = sums(np.add, mixed, word, begin, n, some)
+        keys, at = [h[word[one]], whole[n <= 3]], [one, short]
         if len(many):
             reach = p[mine[many]] - k[many]  # later words of the longer prefix
             left = np.repeat(many, reach)
             right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(reach) - reach, reach)
-            keys.append(h[left] * np.uint64(0x9E3779B97F4A7C15) + h[right])
+            left_word = h[word[left]]
+            pair = left_word * np.uint64(0x9E3779B97F4A7C15) + h[word[right]]
+            keys.append(pair ^ (pair ^ left_word) & FIRST)
             at.append(left)
         key, at = np.concatenate(keys), np.concatenate(at)
         if wanted is not None:
@@ -193,19 +233,18 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
             key, at = key[seen], at[seen]
         m = mine[at]
         if wanted is None:
-            here, first, of = h, begin, m
+            has, of = np.arange(len(who)), m
         else:  # few lines have a wanted key: only theirs need bits
             has, of = np.unique(m, return_inverse=True)
             if not len(has):
                 return [np.zeros(0, np.int64)] * len(POSTING)
-            first = np.cumsum(n[has]) - n[has]
-            here = h[np.repeat(begin[has] - first, n[has]) + np.arange(n[has].sum())]
-        bit, half = np.uint64(1) << (here >> np.uint64(58)), (here >> np.uint64(57) & np.uint64(1)).astype(bool)
-        bits = [np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), first).view(np.int64) for side in (half, ~half)]
+            whole[has] = sums(np.add, mixed, word, begin, n, has)
+        bit, half = np.uint64(1) << (h >> np.uint64(58)), (h >> np.uint64(57) & np.uint64(1)).astype(bool)
+        bits = [sums(np.bitwise_xor, np.where(side, bit, np.uint64(0)), word, begin, n, has).view(np.int64) for side in (half, ~half)]
         return [key.view(np.int64), doc[who[m]], line[who[m]], n[m] << 32 | k[at], bits[0][of], bits[1][of], whole[m].view(np.int64)]
 
     def run(batches):
-        (n_words, wanted), met, room = model.value, {}, 0
+        (n_words, wanted, first_words), met, room = model.value, {}, 0
         enough = lambda t: len(set(t.encode().lower().split())) >= least_words
         known_enough = lru_cache(1 << 12)(enough)
         counts = lambda t: (known_enough if len(t) < 1024 else enough)(t)
@@ -215,6 +254,9 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                 text, size = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
                 doc = np.repeat(part.column(0).to_numpy(zero_copy_only=False), size)
                 line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+                if first_words is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows_of(doc, line, text, n_words, wanted, first_words)], POSTING)
+                    continue
                 new, same = [], [[] for _ in POSTING]
                 for r, (t, place) in enumerate(zip(text.to_numpy(zero_copy_only=False).tolist(), zip(doc.tolist(), line.tolist()))):
                     known = met.get(t)
@@ -228,13 +270,13 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                         met[t] = place
                         new.append(r)
                 new = np.array(new, np.int64)
-                cols = rows_of(doc[new], line[new], text.take(pa.array(new)), n_words, wanted)
+                cols = rows_of(doc[new], line[new], text.take(pa.array(new)), n_words, wanted, first_words)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, np.array(y, np.int64)])) for x, y in zip(cols, same)], POSTING)
                 if room > 32 << 20:
                     met, room = {}, 0
     if buckets:
-        return docs.select("doc", "text").mapInArrow(lambda batches: packed(run(batches), buckets), "bucket int, rows binary")
-    return docs.select("doc", "text").mapInArrow(run, SCHEMA)
+        return docs.select("doc", "text").mapInArrow(released(lambda batches: packed(run(batches), buckets)), "bucket int, rows binary")
+    return docs.select("doc", "text").mapInArrow(released(run), SCHEMA)
 
 
 def packed(batches: Iterator[pa.RecordBatch], buckets: int, hold: int = PACK) -> Iterator[pa.RecordBatch]:
@@ -268,8 +310,14 @@ def bucket_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.
 
     def rest():
         m = np.frombuffer(b"".join(held), np.int64).reshape(-1, len(POSTING))
-        m = m[np.lexsort((m[:, 2], m[:, 1], m[:, 0]))]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(m[:, k])) for k in range(len(POSTING))], POSTING)
+        key = m[:, 0].copy()
+        order = np.argsort(key)
+        key = key[order]
+        fresh = key[1:] != key[:-1]
+        pick = ~(np.append(True, fresh) & np.append(fresh, True)) | (m[order, 3] < 0)  # a key of one row has no pair
+        m = np.ascontiguousarray(m[order[pick]].T)
+        order = np.lexsort((m[2], m[1], m[0]))
+        return pa.RecordBatch.from_arrays([pa.array(c[order]) for c in m], POSTING)
 
     for b in batches:
         for bucket, raw in zip(b.column(0).to_pylist(), b.column(1)):
@@ -284,30 +332,43 @@ def bucket_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.
 
 
 def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
-    """Whether rows a and b (arrays of row numbers) pass the length, positional and bitmap filters."""
-    na, nb = n[a], n[b]
-    least = np.ceil(share / (1 + share) * (na + nb) - 1e-9)
-    ok = np.minimum(na, nb) >= share * np.maximum(na, nb) - 1e-9
-    ok &= 1 + np.minimum(na - pos[a] - 1, nb - pos[b] - 1) >= least
+    """Which rows a and b (arrays of row numbers, of lengths that fit) pass the positional and bitmap filters: their numbers in a and b."""
+    both = n[a] + n[b]
+    least = np.ceil(share / (1 + share) * both - 1e-9)
+    ok = np.flatnonzero(np.minimum(n[a] - pos[a], n[b] - pos[b]) >= least)
+    a, b, both, least = a[ok], b[ok], both[ok], least[ok]
     # a word that one line alone has flips one bit, so at least as many words differ as bits: an upper bound of the overlap
     unlike = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) + np.bitwise_count(more_bits[a] ^ more_bits[b])
-    ok &= (na + nb - unlike) // 2 >= least
-    return ok
+    return ok[(both - unlike) // 2 >= least]
 
 
-def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 17, out: int = 1 << 16) -> DataFrame:
+def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 17, out: int = 1 << 16,
+               once: bool = False) -> DataFrame:
     """(doc, line, cdoc, cline, sure): earlier lines that pass all filters against a line with the same key.
 
     every=False gives the `few` earliest such lines of each posting, and where there are more a row with cline -1 and the key in cdoc; every=True
     gives all of them for postings whose column `open` is true. Rows stream through sorted by key and place, some `rows` at a time, and pairs
     are given out once there are `out` of them, so that a task holds the rows of one key but never its pairs. posts may be packed (bucket,
-    rows): a task then holds the rows of one bucket.
+    rows): a task then holds the rows of one bucket. once=True lets of lines with equal sets of words only the earliest take part: the others are
+    settled by it (every=False names them with it, under the keys of their first word), and what matches one of them matches it too.
     """
     cols = POSTING + (["open"] if every else [])
     names = NAMES
 
     def pairs(key, doc, line, meta, bits, more_bits, whole, open_):
         """Pairs within whole key groups given as arrays: all rows of the groups meet the first row, then the second, and so on."""
+        if once:
+            order = np.lexsort((whole, key))  # stable: equal sets stay in the order of their places
+            a, b = order[:-1], order[1:]
+            run = np.append(True, (key[a] != key[b]) | (whole[a] != whole[b]) | (meta[a] != meta[b]))
+            lead = order[np.flatnonzero(run)[np.cumsum(run) - 1]]
+            told = ~run & (meta[order] & 0xFFFFFFFF == 0) & ((doc[order] != doc[lead]) | (line[order] != line[lead]))
+            x, y = (order[told], lead[told]) if open_ is None else (order[:0], lead[:0])
+            for k in range(0, len(x), out):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i[k:k + out]]) for i in (x, y) for c in (doc, line)] + [pa.array(np.ones(len(x[k:k + out]), bool))], names)
+            pick = np.sort(order[run])
+            key, doc, line, meta, bits, more_bits, whole = (c[pick] for c in (key, doc, line, meta, bits, more_bits, whole))
+            open_ = None if open_ is None else open_[pick]
         n, pos = meta >> 32, meta & 0xFFFFFFFF
         bits, more_bits = bits.view(np.uint64), more_bits.view(np.uint64)  # signed counts would be of absolute values
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -321,14 +382,23 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
             return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[x], line[x], doc[y], line[y], (whole[x] == whole[y]) & (n[x] == n[y]))], names)
 
         live = np.flatnonzero(at > 0) if open_ is None else np.flatnonzero((at > 0) & open_)
-        r = 0
+        live = live[np.argsort(-at[live], kind="stable")]  # those that still meet a row r come first
+        short = n.astype(np.int32)
+        low, high = np.ceil(share * n - 1e-9).astype(np.int32), np.floor((n + 1e-6) / share).astype(np.int64)  # numbers of words of similar lines
+        r, left, done = 0, at[live], 0
+        first, low, high = head[live], low[live], high[live]
         while len(live):
-            other = head[live] + r
-            hit = _passing(n, pos, bits, more_bits, live, other, share) & ((doc[live] != doc[other]) | (line[live] != line[other]))
-            x, y = live[hit], other[hit]
+            nb = short[first + r]
+            fit = np.flatnonzero((nb >= low) & (nb <= high))
+            x, y = live[fit], first[fit] + r
+            hit = _passing(n, pos, bits, more_bits, x, y, share)
+            x, y = x[hit], y[hit]
+            hit = ((doc[x] != doc[y]) | (line[x] != line[y])) & ~more[x]
+            x, y = x[hit], y[hit]
             if open_ is None:
                 over = found[x] >= few
                 more[x[over]] = True
+                done += int(over.sum())
                 x, y = x[~over], y[~over]
             found[x] += 1
             if len(x):
@@ -336,7 +406,11 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
                 y_all.append(y)
                 ready += len(x)
             r += 1
-            live = live[(at[live] > r) & ~more[live]]
+            alive = int(np.searchsorted(-left, -r))
+            live, first, left, low, high = (c[:alive] for c in (live, first, left, low, high))
+            if done * 8 > alive:
+                stay, done = ~more[live], 0
+                live, first, left, low, high = (c[stay] for c in (live, first, left, low, high))
             if ready >= out or ready and not len(live):
                 x, y = np.concatenate(x_all), np.concatenate(y_all)
                 x_all, y_all, ready = [], [], 0
@@ -374,13 +448,9 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
 
     if "bucket" in posts.columns:
         return (posts.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-                     .mapInArrow(lambda batches: run(bucket_batches(batches, rows)), "doc long, line long, cdoc long, cline long, sure boolean"))
+                     .mapInArrow(released(lambda batches: run(bucket_batches(batches, rows))), "doc long, line long, cdoc long, cline long, sure boolean"))
     return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
-                 .mapInArrow(run, "doc long, line long, cdoc long, cline long, sure boolean"))
-
-
-def _line_words(text: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.translate(text, UPPER, LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+                 .mapInArrow(released(run), "doc long, line long, cdoc long, cline long, sure boolean"))
 
 
 def bitmap(df: DataFrame, value: Column) -> np.ndarray:
@@ -412,7 +482,7 @@ def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
             line = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
             pick = np.flatnonzero(is_set(on, doc % (1 << 31) * 1000003 + line))
             yield pa.RecordBatch.from_arrays([pa.array(doc[pick]), pa.array(line[pick]), lists.flatten().take(pa.array(pick))], ["doc", "line", "t"])
-    return docs.select("doc", "text").mapInArrow(run, "doc long, line long, t string")
+    return docs.select("doc", "text").mapInArrow(released(run), "doc long, line long, t string")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
@@ -422,9 +492,16 @@ def verified(docs: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
     texts = cut_lineage(lines_at(docs, places))
     a = pairs.join(texts.withColumnRenamed("t", "ta"), ["doc", "line"])
     b = a.join(texts.select(F.col("doc").alias("cdoc"), F.col("line").alias("cline"), F.col("t").alias("tb")), ["cdoc", "cline"])
-    w = b.select("doc", "line", "cdoc", "cline", _line_words(F.col("ta")).alias("wa"), _line_words(F.col("tb")).alias("wb"))
-    both = F.size(F.array_intersect("wa", "wb"))
-    return w.filter(both >= F.lit(share) * (F.size("wa") + F.size("wb") - both) - 1e-9).select("doc", "line", "cdoc", "cline")
+
+    def run(batches):
+        for c in batches:
+            for part in _runs(c):
+                (na, a), (nb, b) = (_word_sets(part.column(k)) for k in (4, 5))
+                places, words = pa.concat_arrays([a[0], b[0]]), pa.concat_arrays([a[1], b[1]]).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                key = np.sort(places.to_numpy() << 32 | words)
+                both = np.bincount(key[1:][key[1:] == key[:-1]] >> 32, minlength=part.num_rows)
+                yield part.select(PLACES).filter(pa.array(both >= share * (na + nb - both) - 1e-9))
+    return b.select(*PLACES, "ta", "tb").mapInArrow(released(run), "doc long, line long, cdoc long, cline long")
 
 
 def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot: int = 1 << 14) -> DataFrame:
@@ -438,7 +515,7 @@ def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot
     counts = rarity(d)
     partitions = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 1 << max(12, (16 * partitions - 1).bit_length())
-    first = cut_lineage(candidates(postings(d, counts, least_words, share, hot, None, buckets), share, False, partitions).groupBy("doc", "line", "cdoc", "cline").agg(F.max("sure").alias("sure")))
+    first = cut_lineage(candidates(postings(d, counts, least_words, share, hot, None, buckets), share, False, partitions, once=True).groupBy("doc", "line", "cdoc", "cline").agg(F.max("sure").alias("sure")))
     pairs, more = first.filter("cline >= 0"), first.filter("cline < 0").select("doc", "line", F.col("cdoc").alias("key"))
     place = F.struct("cdoc", "cline")
     lines = cut_lineage(pairs.groupBy("doc", "line").agg(F.max("sure").alias("sure"), F.min(place).alias("c")))
@@ -457,9 +534,9 @@ def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot
     if failed.isEmpty():
         return good
     # the whole posting lists in which such lines have more candidates, and no other lists
-    rest = postings(d, counts, least_words, share, hot, bitmap(failed, F.col("key"))).filter("meta >= 0")
+    rest = postings(d, counts, least_words, share, hot, bitmap(failed, F.col("key")), words=bitmap(failed, first_word(F.col("key")))).filter("meta >= 0")
     rest = rest.join(failed.withColumn("open", F.lit(True)), ["doc", "line", "key"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    again = candidates(rest, share, True, partitions).select("doc", "line", "cdoc", "cline").distinct()
+    again = candidates(rest, share, True, partitions, once=True).select("doc", "line", "cdoc", "cline").distinct()
     return good.union(verified(d, cut_lineage(again), share).select("doc", "line").distinct())
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import fold, text_or_empty
+from .common import fold, released, text_or_empty
 
 WORD_BITS = 16
 STATS = 14
@@ -147,7 +147,7 @@ def scored(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
             text, n = b.column(b.schema.get_field_index("text")), b.column(b.schema.get_field_index("n_chars"))
             s = [m.score(*m.row(t.as_py() or "", c.as_py())) for t, c in zip(text, n)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, name])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(released(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, least: float = 0.3, sample: int = 12288) -> DataFrame:

@@ -286,3 +286,40 @@ def test_postings_of_wanted_keys_are_those_of_all(spark):
         only[k % (1 << lines.MAP_BITS) >> 3] |= 1 << (k % (1 << lines.MAP_BITS) & 7)
     got = [tuple(r) for r in lines.postings(docs, counts, 1, 0.8, 16, only).collect() if r[3] >= 0]
     assert got and Counter(got) == Counter(r for r in every if r[3] >= 0 and r[0] in some)
+
+
+def test_equal_lines_take_part_once(spark):
+    """Of 300 copies of a line and 40 near copies of it, each copy is named once with the first, and the near ones meet one of them."""
+    rows = [(7, d, 0, 20 << 32, 5, 6, 1) for d in range(300)] + [(7, 300 + d, 0, 20 << 32, 5, 6, 2 + d) for d in range(40)]
+    rows += [(7, 20, 0, 20 << 32, 5, 6, 1), (8, 1, 0, 20 << 32 | 1, 5, 6, 1), (8, 2, 0, 20 << 32 | 1, 5, 6, 1)]
+    got = [tuple(r) for r in lines.candidates(spark.createDataFrame(rows, lines.SCHEMA), 0.8, False, 2, once=True).collect()]
+    sure = [r for r in got if r[4]]
+    assert {r[0] for r in sure} == set(range(1, 300)) and {r[2:4] for r in sure} == {(0, 0)} and len(sure) <= 300
+    assert Counter(r[0] for r in got if not r[4] and r[3] >= 0) == Counter({300 + d: min(d + 1, 8) for d in range(40)})
+
+
+def test_wanted_first_words_spare_no_wanted_key(spark):
+    import numpy as np
+
+    text = [f"a{i % 9} b{i % 4} c{i % 3} some words that all lines have" for i in range(80)] + ["x y", "x y z"]
+    docs = spark.createDataFrame(list(enumerate(text)), "doc long, text string").coalesce(1)
+    counts = lines.rarity(docs)
+    marks = [np.zeros((1 << lines.MAP_BITS) // 8, np.uint8) for _ in range(2)]
+    every = [tuple(r) for r in lines.postings(docs, counts, 1, 0.8, 16).collect()]
+    for k in sorted({r[0] for r in every if r[3] >= 0})[::7]:
+        for m, v in zip(marks, (k, int(lines.first_word(np.array([k]))[0]))):
+            v %= 1 << lines.MAP_BITS
+            m[v >> 3] |= 1 << (v & 7)
+    plain, spared = ([tuple(r) for r in lines.postings(docs, counts, 1, 0.8, 16, marks[0], words=w).collect() if r[3] >= 0] for w in (None, marks[1]))
+    known = lambda rows: {(r[0], r[3], r[6]) for r in rows if r[3] >> 32 > 3}
+    assert known(plain) and known(spared) == known(plain) and set(spared) >= {r for r in plain if r[3] >> 32 > 3}
+
+
+def test_memory_of_a_task_is_given_back(monkeypatch):
+    import pyarrow as pa
+    from biolattice.llm import common
+
+    calls, pool = [], pa.default_memory_pool()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: (calls.append(1), pool.release_unused())})())
+    task = common.released(lambda batches: (b for b in batches))
+    assert list(task(iter([1, 2, 3]))) == [1, 2, 3] and calls == [1]
