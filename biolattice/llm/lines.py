@@ -212,6 +212,8 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
         mixed ^= mixed >> np.uint64(32)
         p = np.where(n > 3, prefix_length(n, share), 0)
         pick = np.flatnonzero(k < p[mine])
+        if first_words is not None:
+            pick = pick[is_set(first_words, first_word(h))[word[pick]]]
         often = c[word[pick]]
         one, many = pick[(often > 1) & (often <= level(hot))], pick[often > level(hot)]
         short = begin[n <= 3]
@@ -259,17 +261,19 @@ def postings(docs: DataFrame, counts: np.ndarray, least_words: int, share: float
                     continue
                 new, same = [], [[] for _ in POSTING]
                 for r, (t, place) in enumerate(zip(text.to_numpy(zero_copy_only=False).tolist(), zip(doc.tolist(), line.tolist()))):
-                    known = met.get(t)
-                    if known is None:
-                        room += len(t) + ENTRY
-                    elif known != place and counts(t):
+                    known = met.setdefault(t, place)
+                    if known is place:
+                        new.append(r)
+                        continue
+                    if known != place and counts(t):
                         low, high = min(known, place), max(known, place)
                         for col, v in zip(same, (hash(high), *high, -1 - low[1], low[0], 0, 0)):
                             col.append(v)
-                    if known is None or place < known:
+                    if place < known:
                         met[t] = place
                         new.append(r)
                 new = np.array(new, np.int64)
+                room += len(new) * ENTRY + int(pc.binary_length(text).to_numpy(zero_copy_only=False)[new].sum())
                 cols = rows_of(doc[new], line[new], text.take(pa.array(new)), n_words, wanted, first_words)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x, np.array(y, np.int64)])) for x, y in zip(cols, same)], POSTING)
                 if room > 32 << 20:
@@ -342,7 +346,7 @@ def _passing(n, pos, bits, more_bits, a, b, share: float) -> np.ndarray:
     return ok[(both - unlike) // 2 >= least]
 
 
-def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few: int = 8, rows: int = 1 << 17, out: int = 1 << 16,
+def candidates(posts: DataFrame, share: float, every: bool, partitions: int | None, few: int = 8, rows: int = 1 << 17, out: int = 1 << 16,
                once: bool = False) -> DataFrame:
     """(doc, line, cdoc, cline, sure): earlier lines that pass all filters against a line with the same key.
 
@@ -449,7 +453,8 @@ def candidates(posts: DataFrame, share: float, every: bool, partitions: int, few
     if "bucket" in posts.columns:
         return (posts.repartition(partitions, "bucket").sortWithinPartitions("bucket")
                      .mapInArrow(released(lambda batches: run(bucket_batches(batches, rows))), "doc long, line long, cdoc long, cline long, sure boolean"))
-    return (posts.select(*cols).repartition(partitions, "key").sortWithinPartitions("key", "doc", "line")
+    by = ["key"] if partitions is None else [partitions, "key"]  # None: as many as Spark finds right for the rows that there are
+    return (posts.select(*cols).repartition(*by).sortWithinPartitions("key", "doc", "line")
                  .mapInArrow(released(run), "doc long, line long, cdoc long, cline long, sure boolean"))
 
 
@@ -536,7 +541,7 @@ def later_matches(docs: DataFrame, share: float = 0.8, least_words: int = 1, hot
     # the whole posting lists in which such lines have more candidates, and no other lists
     rest = postings(d, counts, least_words, share, hot, bitmap(failed, F.col("key")), words=bitmap(failed, first_word(F.col("key")))).filter("meta >= 0")
     rest = rest.join(failed.withColumn("open", F.lit(True)), ["doc", "line", "key"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    again = candidates(rest, share, True, partitions, once=True).select("doc", "line", "cdoc", "cline").distinct()
+    again = candidates(rest, share, True, None, once=True).select("doc", "line", "cdoc", "cline").distinct()
     return good.union(verified(d, cut_lineage(again), share).select("doc", "line").distinct())
 
 
